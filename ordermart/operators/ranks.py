@@ -197,3 +197,29 @@ def top_k_with_ties(df: DataFrame, value: str, k: int, out: str = "rank",
         F.col(value).alias("_v"),
         F.row_number().over(Window.orderBy(ordering)).cast("int").alias(out))
     return df.join(F.broadcast(ranked), df[value].eqNullSafe(ranked["_v"]), "inner").drop("_v")
+
+
+def dense_rank_within(df: DataFrame, part: str, value: str, descending: bool = True,
+                      out: str = "dense_rank", buckets: int | None = None) -> DataFrame:
+    """``dense_rank() OVER (PARTITION BY part ORDER BY value)`` without putting
+    a whole (possibly huge) partition into one task.
+
+    Works on DISTINCT (part, value) pairs: bucketed by the sampled split points
+    of (part, value), ranked locally per (bucket, part), then offset by the
+    number of distinct values the same ``part`` has in earlier buckets (a
+    window over at most ``B`` rows per part). The ranked pairs are joined back
+    null-safely on (part, value).
+    """
+    pairs = df.select(part, value).distinct()
+    b = with_buckets(pairs, [(part, False), (value, descending)], buckets=buckets)
+    local = b.withColumn("_lr", F.row_number().over(
+        Window.partitionBy("_bkt", part).orderBy("_key")))
+    seg = b.groupBy("_bkt", part).agg(F.count(F.lit(1)).alias("_n"))
+    prior = Window.partitionBy(part).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.select(F.col("_bkt").alias("_sb"), F.col(part).alias("_sp"),
+                     F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"))
+    ranked = local.join(seg, (local["_bkt"] == seg["_sb"]) & local[part].eqNullSafe(seg["_sp"]))
+    ranked = ranked.select(F.col(part).alias("_p"), F.col(value).alias("_v"),
+                           (F.col("_off") + F.col("_lr")).cast("int").alias(out))
+    cond = df[part].eqNullSafe(ranked["_p"]) & df[value].eqNullSafe(ranked["_v"])
+    return df.join(ranked, cond, "inner").drop("_p", "_v")
