@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import hour_of, meal_period, month_label
 from ..functions.money import half_up_ratio, pct, sum_money, units
+from ..session import materialize
 from . import marts
 from .ranks import dense_rank_within, global_dense_rank
 
@@ -63,8 +64,9 @@ def restaurant_completion(silver: DataFrame) -> DataFrame:
 
 def partner_speed_rank(silver: DataFrame) -> DataFrame:
     """Partner KPI plus ``global_speed_rank`` (dense rank, fastest first)."""
-    return global_dense_rank(marts.partner_performance(silver), "avg_delivery_time",
-                             descending=False, out="global_speed_rank")
+    perf = materialize(marts.partner_performance(silver), "partner-performance")
+    return global_dense_rank(perf, "avg_delivery_time", descending=False,
+                             out="global_speed_rank")
 
 
 def meal_heatmap(silver: DataFrame) -> DataFrame:

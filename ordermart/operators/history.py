@@ -16,6 +16,11 @@ buckets and joined back on the same keys the fact is already partitioned by.
 Same-day orders that straddle a bucket boundary are added back through a
 (bucket, customer, day) aggregate. The fact is shuffled once.
 
+``customer_history_hybrid`` (the default of the silver build) counts rows per
+customer first (one partial aggregate) and sends only customers above
+``heavy_rows`` through the bucketed path; every other customer takes the plain
+window, whose groups are then bounded by ``heavy_rows``.
+
 ``customer_history_window`` is the plain one-window form (one customer = one
 task); it is kept as the reference implementation for tests.
 """
@@ -112,3 +117,39 @@ def customer_history(df: DataFrame, cust: str = "customer_id", date: str = "orde
         "running_customer_revenue": units_to_double(run),
     }).drop("_bkt", "_c", "_lrn", "_llag", "_lrun", "_lcn", "_last_date", "_spill",
             "_spill_n", "_prior_n", "_prior_s", "_prior_c", "_prev_last")
+
+
+HEAVY_ROWS = 1_000_000
+MAX_HEAVY_KEYS = 10_000
+
+
+def heavy_keys(df: DataFrame, key: str, heavy_rows: int,
+               max_keys: int = MAX_HEAVY_KEYS) -> list | None:
+    """Keys with more than ``heavy_rows`` rows (map-side pre-aggregated count).
+
+    There are at most rows / heavy_rows of them; ``None`` when more than
+    ``max_keys`` exist (the caller then treats every key as heavy).
+    """
+    rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > heavy_rows).select(key).limit(max_keys + 1).collect())
+    if len(rows) > max_keys:
+        return None
+    return [r[0] for r in rows]
+
+
+def customer_history_hybrid(df: DataFrame, cust: str = "customer_id", date: str = "order_date",
+                            oid: str = "order_id", amount: str = "final_amount",
+                            heavy_rows: int = HEAVY_ROWS, bounds_from: DataFrame | None = None,
+                            buckets: int | None = None) -> DataFrame:
+    """Plain window for ordinary customers, bucketed path for heavy ones."""
+    heavy = heavy_keys(df, cust, heavy_rows)
+    kw = dict(cust=cust, date=date, oid=oid, amount=amount)
+    if heavy is None:
+        return customer_history(df, bounds_from=bounds_from, buckets=buckets, **kw)
+    if not heavy:
+        return customer_history_window(df, **kw)
+    is_heavy = F.col(cust).isin(heavy)  # NULL key: never heavy (one plain group)
+    light = customer_history_window(df.filter(~is_heavy | F.col(cust).isNull()), **kw)
+    src = bounds_from.filter(is_heavy) if bounds_from is not None else None
+    hot = customer_history(df.filter(is_heavy), bounds_from=src, buckets=buckets, **kw)
+    return light.unionByName(hot)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.calendar import days_since, hour_of, month_label
 from ..functions.money import avg_int, avg_money, half_up_ratio, pct, sum_money, units, TENTHS
+from ..session import materialize
 from .ranks import global_dense_rank, global_ntile, top_k_with_ties
 
 
@@ -60,6 +61,7 @@ def restaurant_performance(silver: DataFrame) -> DataFrame:
         avg_money("rating", scale=TENTHS).alias("avg_rating"),
         avg_int("delivery_time_minutes").alias("avg_delivery_time"),
     )
+    g = materialize(g, "restaurant-groups")  # read by the sample, rank and join passes
     return global_dense_rank(g, "total_revenue", descending=True, out="restaurant_rank")
 
 
@@ -94,8 +96,12 @@ def customer_rfm(silver: DataFrame, as_of=None, bucket_order: str = "reference")
     g = g.withColumn("recency", days_since(as_of, "last_order_date"))
     g = g.withColumn("recency_score", recency_score(F.col("recency")))
     desc = bucket_order == "reference"
+    # each tile pass reads its input three times (sample, local rank, counts):
+    # read stored customer rows, not the silver aggregation again
+    g = materialize(g, "rfm-customers")
     g = global_ntile(g, rules.RFM_TILES, [("frequency", desc), ("customer_id", False)],
                      out="frequency_score")
+    g = materialize(g, "rfm-frequency")
     g = global_ntile(g, rules.RFM_TILES, [("monetary", desc), ("customer_id", False)],
                      out="monetary_score")
     g = g.withColumn("rfm_score", F.col("recency_score") + F.col("frequency_score")
@@ -112,6 +118,7 @@ def top_customers(silver: DataFrame, k: int = rules.TOP_CUSTOMERS) -> DataFrame:
         sum_money("final_amount").alias("total_spend"),
         F.count("order_id").alias("total_orders"),
     )
+    g = materialize(g, "customer-spend")  # read by the top-k pass and the join
     return top_k_with_ties(g, "total_spend", k, out="customer_rank")
 
 
@@ -203,21 +210,25 @@ def cuisine_performance(silver: DataFrame) -> DataFrame:
     )
 
 
+# name -> builder(silver, as_of)
+MART_FUNCTIONS = {
+    "gold_order_summary": lambda s, as_of=None: order_summary(s),
+    "gold_revenue_city": lambda s, as_of=None: revenue_by_city(s),
+    "gold_restaurant_performance": lambda s, as_of=None: restaurant_performance(s),
+    "gold_customer_rfm": lambda s, as_of=None: customer_rfm(s, as_of),
+    "gold_top_customers": lambda s, as_of=None: top_customers(s),
+    "gold_partner_performance": lambda s, as_of=None: partner_performance(s),
+    "gold_payment_analysis": lambda s, as_of=None: payment_analysis(s),
+    "gold_peak_hours": lambda s, as_of=None: peak_hours(s),
+    "gold_monthly_trends": lambda s, as_of=None: monthly_trends(s),
+    "gold_delivery_analysis": lambda s, as_of=None: delivery_analysis(s),
+    "gold_customer_retention": lambda s, as_of=None: customer_retention(s),
+    "gold_cuisine_performance": lambda s, as_of=None: cuisine_performance(s),
+}
+
+
 def all_marts(silver: DataFrame, as_of=None) -> dict[str, DataFrame]:
-    return {
-        "gold_order_summary": order_summary(silver),
-        "gold_revenue_city": revenue_by_city(silver),
-        "gold_restaurant_performance": restaurant_performance(silver),
-        "gold_customer_rfm": customer_rfm(silver, as_of),
-        "gold_top_customers": top_customers(silver),
-        "gold_partner_performance": partner_performance(silver),
-        "gold_payment_analysis": payment_analysis(silver),
-        "gold_peak_hours": peak_hours(silver),
-        "gold_monthly_trends": monthly_trends(silver),
-        "gold_delivery_analysis": delivery_analysis(silver),
-        "gold_customer_retention": customer_retention(silver),
-        "gold_cuisine_performance": cuisine_performance(silver),
-    }
+    return {name: build(silver, as_of) for name, build in MART_FUNCTIONS.items()}
 
 
 # Presentation order of the marts that the pipeline displays sorted.

@@ -15,6 +15,13 @@ numbers with the work spread over many tasks:
    at most ``B`` rows; the offsets table is broadcast (its size is bounded by
    ``B``, not by the data).
 
+Size check: an input of at most ``SMALL_RANK_ROWS`` rows (counted first; a
+metadata-cheap count on the staged inputs the marts pass in) is ranked with
+the plain window instead: one task holding a proven-bounded number of rows is
+cheaper than the extra sample and count jobs. Beyond the bound, always the
+bucketed path (like a broadcast join behind a size check, with the shuffle
+join beyond it). ``small_rows=0`` forces the bucketed path (tests).
+
 Ties: ``row_number``-based operators require a total order (callers append a
 unique tiebreak column), so a heavy key value is spread over many buckets.
 ``dense_rank`` works on the DISTINCT values, so duplicates collapse in the
@@ -29,8 +36,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 OrderSpec = Sequence[tuple[str, bool]]  # (column, descending)
 
+SMALL_RANK_ROWS = 2_000_000
 MAX_BUCKETS = 4096
 SAMPLE_PER_BUCKET = 16
 SEED = 20240917
@@ -60,9 +70,30 @@ def sort_key(df: DataFrame, order: OrderSpec) -> Column:
     return F.struct(*fields)
 
 
-def _lit_struct(row, schema: T.StructType) -> Column:
-    return F.struct(*[F.lit(row[i]).cast(f.dataType).alias(f.name)
-                      for i, f in enumerate(schema.fields)])
+def _sql_literal(v, t: T.DataType) -> str:
+    """A typed SQL literal for one bound value (exact for doubles via repr)."""
+    sql_type = t.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {sql_type})"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return f"CAST('{v!r}' AS {sql_type})"
+    if isinstance(t, T.TimestampNTZType):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+    if isinstance(t, T.TimestampType):
+        return f"CAST('{v.isoformat(sep=' ')}' AS TIMESTAMP)"
+    if isinstance(t, T.DateType):
+        return f"DATE '{v.isoformat()}'"
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {sql_type})"
+
+
+def _lit_struct(row, schema: T.StructType) -> str:
+    parts = []
+    for i, f in enumerate(schema.fields):
+        parts += [f"'{f.name}'", _sql_literal(row[i], f.dataType)]
+    return f"named_struct({', '.join(parts)})"
 
 
 def _none_safe(row) -> tuple:
@@ -91,18 +122,23 @@ def sample_bounds(df: DataFrame, order: OrderSpec, buckets: int | None = None,
     return bounds, schema
 
 
-def bucket_expr(key: Column, bounds: list, schema: T.StructType) -> Column:
-    """Number of bounds <= key, as a balanced CASE tree (pure, deterministic)."""
+def bucket_expr(key_col: str, bounds: list, schema: T.StructType) -> Column:
+    """Number of bounds <= key, as a balanced CASE tree (pure, deterministic).
+
+    Built as one SQL expression string (a single call into the JVM however
+    many bounds there are); each row evaluates about log2(B) comparisons.
+    """
     lits = [_lit_struct(b, schema) for b in bounds]
 
-    def search(lo: int, hi: int) -> Column:
+    def search(lo: int, hi: int) -> str:
         # bounds[lo-1] <= key < bounds[hi] is known; answer lies in [lo, hi]
         if lo >= hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(key >= lits[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
+        return (f"CASE WHEN `{key_col}` >= {lits[mid]} THEN {search(mid + 1, hi)} "
+                f"ELSE {search(lo, mid)} END")
 
-    return search(0, len(lits))
+    return F.expr(search(0, len(lits)))
 
 
 def with_buckets(df: DataFrame, order: OrderSpec, bucket_col: str = "_bkt",
@@ -118,44 +154,72 @@ def with_buckets(df: DataFrame, order: OrderSpec, bucket_col: str = "_bkt",
     bounds, _ = sample_bounds(src, order, buckets)
     keyed = df.withColumn(key_col, sort_key(df, order))
     schema = keyed.schema[key_col].dataType
-    return keyed.withColumn(bucket_col, bucket_expr(F.col(key_col), bounds, schema))
+    return keyed.withColumn(bucket_col, bucket_expr(key_col, bounds, schema))
+
+
+def window_order(order: OrderSpec) -> list[Column]:
+    """Spark's default null placement: ASC NULLS FIRST, DESC NULLS LAST."""
+    return [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in order]
+
+
+def _small(df: DataFrame, small_rows: int) -> int | None:
+    """Row count when it is within ``small_rows``, else None."""
+    if small_rows <= 0:
+        return None
+    n = df.count()
+    return n if n <= small_rows else None
 
 
 def global_row_number(df: DataFrame, order: OrderSpec, out: str = "row_number",
                       total_col: str | None = None, bounds_from: DataFrame | None = None,
-                      buckets: int | None = None) -> DataFrame:
+                      buckets: int | None = None,
+                      small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
     """``row_number() OVER (ORDER BY order)`` computed bucket-parallel.
 
     ``order`` must be a total order (end it with a unique column) for the result
     to be deterministic. Optionally adds the total row count as ``total_col``.
     """
+    n = _small(df, small_rows)
+    if n is not None:
+        out_df = df.withColumn(out, F.row_number().over(
+            Window.orderBy(*window_order(order))).cast("long"))
+        return out_df.withColumn(total_col, F.lit(n).cast("long")) if total_col else out_df
     b = with_buckets(df, order, bounds_from=bounds_from, buckets=buckets)
+    offsets, total = bucket_offsets(b)
     local = b.withColumn("_lrn", F.row_number().over(
         Window.partitionBy("_bkt").orderBy("_key")))
-    counts = b.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    prior = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_bkt",
-        F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
-    )
-    out_df = local.join(F.broadcast(offsets), "_bkt").withColumn(
-        out, (F.col("_off") + F.col("_lrn")).cast("long"))
+    out_df = local.withColumn(out, (offsets[F.col("_bkt")] + F.col("_lrn")).cast("long"))
     if total_col:
-        out_df = out_df.withColumnRenamed("_total", total_col)
-    return out_df.drop("_bkt", "_key", "_lrn", "_off", "_total")
+        out_df = out_df.withColumn(total_col, F.lit(total).cast("long"))
+    return out_df.drop("_bkt", "_key", "_lrn")
+
+
+def bucket_offsets(bucketed: DataFrame, bucket_col: str = "_bkt") -> tuple[Column, int]:
+    """Rows before each bucket, as a literal array indexed by bucket, and the
+    total row count. One small job; the driver receives at most B rows."""
+    counts = dict(bucketed.groupBy(bucket_col).agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, run = [], 0
+    for i in range(max(counts, default=0) + 1):
+        offsets.append(run)
+        run += counts.get(i, 0)
+    return F.array(*[F.lit(o).cast("long") for o in offsets or [0]]), run
 
 
 def global_dense_rank(df: DataFrame, value: str, descending: bool = True,
-                      out: str = "dense_rank", buckets: int | None = None) -> DataFrame:
+                      out: str = "dense_rank", buckets: int | None = None,
+                      small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
     """``dense_rank() OVER (ORDER BY value [DESC])`` on distinct values.
 
     Duplicates collapse in the partial aggregate of ``distinct()``; the ranked
     distinct values are joined back null-safely (a NULL value ranks last for
     DESC, first for ASC, as in Spark).
     """
-    vals = df.select(value).distinct()
-    ranked = global_row_number(vals, [(value, descending)], out=out, buckets=buckets) \
+    if _small(df, small_rows) is not None:
+        return df.withColumn(out, F.dense_rank().over(
+            Window.orderBy(*window_order([(value, descending)]))).cast("int"))
+    vals = materialize(df.select(value).distinct(), "rank-values")
+    ranked = global_row_number(vals, [(value, descending)], out=out, buckets=buckets,
+                               small_rows=0) \
         .withColumnRenamed(value, "_v")
     joined = df.join(ranked, df[value].eqNullSafe(ranked["_v"]), "inner").drop("_v")
     return joined.withColumn(out, F.col(out).cast("int"))
@@ -175,9 +239,12 @@ def ntile_from_row_number(rn: Column, total: Column, n: int) -> Column:
 
 
 def global_ntile(df: DataFrame, n: int, order: OrderSpec, out: str = "ntile",
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
     """``ntile(n) OVER (ORDER BY order)`` with a total order, bucket-parallel."""
-    numbered = global_row_number(df, order, out="_rn", total_col="_tot", buckets=buckets)
+    if _small(df, small_rows) is not None:
+        return df.withColumn(out, F.ntile(n).over(Window.orderBy(*window_order(order))))
+    numbered = global_row_number(df, order, out="_rn", total_col="_tot", buckets=buckets,
+                                 small_rows=0)
     return numbered.withColumn(out, ntile_from_row_number(F.col("_rn"), F.col("_tot"), n)) \
         .drop("_rn", "_tot")
 
@@ -200,7 +267,8 @@ def top_k_with_ties(df: DataFrame, value: str, k: int, out: str = "rank",
 
 
 def dense_rank_within(df: DataFrame, part: str, value: str, descending: bool = True,
-                      out: str = "dense_rank", buckets: int | None = None) -> DataFrame:
+                      out: str = "dense_rank", buckets: int | None = None,
+                      heavy_rows: int | None = None) -> DataFrame:
     """``dense_rank() OVER (PARTITION BY part ORDER BY value)`` without putting
     a whole (possibly huge) partition into one task.
 
@@ -210,7 +278,16 @@ def dense_rank_within(df: DataFrame, part: str, value: str, descending: bool = T
     window over at most ``B`` rows per part). The ranked pairs are joined back
     null-safely on (part, value).
     """
-    pairs = df.select(part, value).distinct()
+    from .history import HEAVY_ROWS, heavy_keys
+    heavy_rows = HEAVY_ROWS if heavy_rows is None else heavy_rows
+    plain = Window.partitionBy(part).orderBy(*window_order([(value, descending)]))
+    if heavy_rows > 0:
+        heavy = heavy_keys(df, part, heavy_rows)
+        if heavy == []:
+            # every partition is bounded by heavy_rows: the plain window is safe
+            return df.withColumn(out, F.dense_rank().over(plain).cast("int"))
+    # the pairs are read by the sample, the local ranks and the offsets
+    pairs = materialize(df.select(part, value).distinct(), "rank-pairs")
     b = with_buckets(pairs, [(part, False), (value, descending)], buckets=buckets)
     local = b.withColumn("_lr", F.row_number().over(
         Window.partitionBy("_bkt", part).orderBy("_key")))

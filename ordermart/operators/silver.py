@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 from .. import rules
 from ..functions.calendar import is_weekend, local_load_time
 from ..functions.text import normalise_city
+from ..session import materialize
 from ..schemas import CUSTOMER_DIM_COLS, PARTNER_DIM_COLS, RESTAURANT_DIM_COLS
 from . import quality
-from .history import customer_history, customer_history_window
+from .history import (HEAVY_ROWS, customer_history, customer_history_hybrid,
+                      customer_history_window)
 
 
 # ---------------------------------------------------------------- cleaning --
@@ -125,10 +127,15 @@ def derive(silver: DataFrame) -> DataFrame:
 
 
 def with_history(silver: DataFrame, skew_safe: bool = True,
-                 bounds_from: DataFrame | None = None) -> DataFrame:
-    if skew_safe:
+                 bounds_from: DataFrame | None = None,
+                 heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Customer history; ``skew_safe`` splits customers above ``heavy_rows``
+    rows over many tasks (``heavy_rows=0`` sends every customer that way)."""
+    if not skew_safe:
+        return customer_history_window(silver)
+    if heavy_rows <= 0:
         return customer_history(silver, bounds_from=bounds_from)
-    return customer_history_window(silver)
+    return customer_history_hybrid(silver, heavy_rows=heavy_rows, bounds_from=bounds_from)
 
 
 # ------------------------------------------------------------------ build --
@@ -140,17 +147,24 @@ def flagged_orders(raw_orders: DataFrame, null_policy: str = "pass", **clean_kw)
 def build_silver(raw_orders: DataFrame, customers: DataFrame, restaurants: DataFrame,
                  partners: DataFrame, now=None, broadcast_dims: bool = False,
                  skew_safe: bool = True, null_policy: str = "pass",
+                 stage: bool = True, heavy_rows: int = HEAVY_ROWS,
                  **clean_kw) -> tuple[DataFrame, DataFrame]:
-    """(silver_orders, quarantine_orders), both lazy.
+    """(silver_orders, quarantine_orders).
 
+    With ``stage=True`` the deduplicated, classified orders are written once
+    to the shared scratch folder: the quarantine, the history windows and its
+    summary aggregates all read that copy, so the dedup shuffle runs once.
     The customer-history windows run on the clean fact BEFORE the dimension
     joins, so they shuffle only the order columns; bucket bounds are sampled
-    from the raw input (no need to evaluate dedup twice).
+    from the raw input.
     """
     flagged = flagged_orders(raw_orders, null_policy, **clean_kw)
+    if stage:
+        flagged = materialize(flagged, "flagged-orders")
     clean_rows, quarantine = quality.split(flagged)
     hist = with_history(clean_rows, skew_safe,
-                        bounds_from=raw_orders.select("customer_id", "order_date", "order_id"))
+                        bounds_from=raw_orders.select("customer_id", "order_date", "order_id"),
+                        heavy_rows=heavy_rows)
     silver = derive(enrich(hist, customers, restaurants, partners, broadcast_dims))
     silver = silver.withColumn("silver_load_time", local_load_time(now))
     return silver.select(*silver_column_order(silver.columns)), quarantine

@@ -58,6 +58,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), "ordermart", f"{name}-{uuid.uuid4().hex}")
 
 
+def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` once to a fresh folder under the shared scratch root and
+    return the stored copy.
+
+    Used where one intermediate feeds several passes (a quarantine split, the
+    windows and aggregates of the history, the sample/rank/offset passes of a
+    global rank): every consumer then scans the stored rows instead of
+    re-running the upstream shuffles, and a lost executor costs a re-read,
+    not a recomputation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     scratch_root(df.sparkSession)
