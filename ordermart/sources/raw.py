@@ -19,7 +19,10 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
     """
     if isinstance(schema, str):
         schema = RAW_SCHEMAS[schema]
-    reader = spark.read.schema(schema).option("header", True).option("mode", mode)
+    # enforceSchema=False: the header must name the schema's columns in order,
+    # so a reordered file fails loudly instead of shifting values
+    reader = (spark.read.schema(schema).option("header", True).option("mode", mode)
+              .option("enforceSchema", False))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.csv(path)
