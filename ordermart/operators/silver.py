@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,21 +27,22 @@ from .history import (HEAVY_ROWS, customer_history, customer_history_hybrid,
 
 def dedup(orders: DataFrame, key: str = "order_id",
           order_by: Sequence[str] | None = None) -> DataFrame:
-    """One row per ``key``: the row with the smallest ``order_by`` tuple.
-
-    Expressed as ``min(struct(order_by..., rest...))`` per key, i.e. an
-    AGGREGATE: the map side keeps one candidate per key before the shuffle, so
-    a key with millions of copies costs one row per task in the exchange, not
-    millions of rows in one task. ``order_by`` defaults to all other columns
-    (then the survivor is the lexicographically smallest row). NULL keys
-    collapse into one row, like ``dropDuplicates``.
+    """One row per ``key``: the first row by ``order_by`` (ascending).
+
+    ``row_number() = 1`` per key. Spark plans this as a WindowGroupLimit in
+    two steps: a PARTIAL limit sorts each input partition and keeps one row per
+    key BEFORE the shuffle, a final one after it. So a key with millions of
+    copies sends at most one row per map task through the exchange, like a
+    partial aggregate, and the survivor is deterministic (the pipeline's
+    ``dropDuplicates`` kept an arbitrary row). ``order_by`` defaults to all
+    other columns (then the survivor is the smallest row). NULL keys collapse
+    into one row, like ``dropDuplicates``.
     """
     rest = [c for c in orders.columns if c != key]
     order_by = list(order_by) if order_by is not None else rest
-    payload = order_by + [c for c in rest if c not in order_by]
-    best = orders.groupBy(key).agg(F.min(F.struct(*payload)).alias("_row"))
-    return best.select(key, *[F.col(f"_row.{c}").alias(c) for c in payload]) \
-        .select(*orders.columns)
+    w = Window.partitionBy(key).orderBy(*order_by)
+    return (orders.withColumn("_dup_rn", F.row_number().over(w))
+            .filter(F.col("_dup_rn") == 1).drop("_dup_rn"))
 
 
 def fill_defaults(orders: DataFrame, columns: Sequence[str] = rules.FILL_ZERO_COLUMNS,

@@ -595,8 +595,7 @@ def _snk_roundtrip(c: Ctx) -> DataFrame:
 @register("snk_partitioned", q("SELECT * FROM silver"))
 def _snk_partitioned(c: Ctx) -> DataFrame:
     path = writers.write_partitioned(ntz(c.silver, "silver_load_time"),
-                                     scratch_path(c.spark, "silver"), ["delivery_city"],
-                                     spread_by=["order_id"])
+                                     scratch_path(c.spark, "silver"), ["delivery_city"])
     return raw.read_path(c.spark, path)
 
 

@@ -20,34 +20,38 @@ from ..sinks import writers
 from ..sources import bronze, raw
 
 SILVER_PARTITION = "delivery_city"
-# Layout column of bronze orders: the order MONTH. Day partitions (one folder
-# per order date) give thousands of tiny files at small volumes and gain no
-# pruning for these queries; a month is a sizeable unit at any volume.
+# Optional layout column of bronze orders. By default bronze is written
+# unpartitioned: the ingest is then map-only (scan -> audit columns -> write,
+# no shuffle of the raw table), and no query prunes on a bronze partition.
+# ``"order_month"`` (derived) gives month folders; day folders (the order date
+# itself) give thousands of tiny files at small volumes.
 BRONZE_ORDERS_PARTITION = "order_month"
 
 
 def persist_silver(silver: DataFrame, path: str, partition_col: str = SILVER_PARTITION,
                    fmt: str = "parquet") -> DataFrame:
-    """Write silver partitioned (range-spread on order_id) and return the stored copy."""
-    writers.write_partitioned(silver, path, [partition_col], fmt=fmt, spread_by=["order_id"])
+    """Write silver partitioned (rebalanced) and return the stored copy."""
+    writers.write_partitioned(silver, path, [partition_col], fmt=fmt)
     return raw.read_path(silver.sparkSession, path, fmt)
 
 
 def ingest_bronze(spark: SparkSession, sources: Mapping[str, str], target: str, now=None,
-                  fmt: str = "parquet", schemas=None) -> dict[str, str]:
+                  fmt: str = "parquet", schemas=None,
+                  orders_partition: str | None = None) -> dict[str, str]:
     """Raw CSVs -> bronze tables (raw columns + audit columns), written once.
 
-    Orders are partitioned by order date, range-spread by order id so that a
-    busy day is still written by many tasks.
+    ``orders_partition`` ("order_month" or "order_date") lays bronze orders
+    out in folders (rebalanced, so a busy month is still written by many
+    tasks); this costs a shuffle of the raw table.
     """
     ingested = bronze.ingest_all(spark, sources, now, schemas)
     paths = {}
     for name, df in ingested.items():
         path = os.path.join(target, "bronze", name)
-        if name == "orders":
-            df = df.withColumn(BRONZE_ORDERS_PARTITION, month_label("order_date"))
-            writers.write_partitioned(df, path, [BRONZE_ORDERS_PARTITION], fmt=fmt,
-                                      spread_by=["order_id"])
+        if name == "orders" and orders_partition:
+            if orders_partition == BRONZE_ORDERS_PARTITION:
+                df = df.withColumn(BRONZE_ORDERS_PARTITION, month_label("order_date"))
+            writers.write_partitioned(df, path, [orders_partition], fmt=fmt)
         else:
             writers.write_overwrite(df, path, fmt)
         paths[name] = path
@@ -59,15 +63,14 @@ def build_silver_layer(spark: SparkSession, bronze_paths: Mapping[str, str], tar
                        **clean_kw) -> dict[str, str]:
     """Stored bronze -> silver_orders (partitioned) + quarantine_orders."""
     b = {n: raw.read_path(spark, p, fmt) for n, p in bronze_paths.items()}
-    b["orders"] = b["orders"].drop(BRONZE_ORDERS_PARTITION)
+    b["orders"] = b["orders"].drop(BRONZE_ORDERS_PARTITION)  # layout column, if any
     silver_df, quarantine = S.build_silver(b["orders"], b["customers"], b["restaurants"],
                                            b["partners"], now=now,
                                            broadcast_dims=broadcast_dims, **clean_kw)
     q_path = writers.write_overwrite(quarantine, os.path.join(target, "silver", "quarantine"),
                                      fmt)
     s_path = os.path.join(target, "silver", "orders")
-    writers.write_partitioned(silver_df, s_path, [SILVER_PARTITION], fmt=fmt,
-                              spread_by=["order_id"])
+    writers.write_partitioned(silver_df, s_path, [SILVER_PARTITION], fmt=fmt)
     return {"silver_orders": s_path, "quarantine_orders": q_path}
 
 

@@ -38,14 +38,22 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       partitions: int | None = None) -> str:
     """Hive-style partitioned overwrite with few, evenly sized files.
 
-    Rows are range-partitioned on (partition columns, ``spread_by``) first:
-    each task then holds one or two partition values (few files per task),
-    and a partition value with a third of all rows is still cut across many
-    tasks (``repartition(col)`` would put it into one).
+    Default: a ``REBALANCE`` hint on the partition columns — one hash shuffle
+    whose partitions AQE splits when they exceed
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (a partition value
+    with a third of all rows becomes many tasks and files) and coalesces when
+    small. No sampling pass over the input, unlike a range repartition, which
+    would evaluate the whole upstream plan once more just to pick bounds.
+
+    ``spread_by``: range-partition on (partition columns, spread_by) instead;
+    for sessions with AQE disabled, where the rebalance cannot split.
     """
-    keys = list(partition_cols) + list(spread_by)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    laid_out = df.repartitionByRange(n, *keys) if keys else df
+    if spread_by:
+        keys = list(partition_cols) + list(spread_by)
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        laid_out = df.repartitionByRange(n, *keys)
+    else:
+        laid_out = df.hint("rebalance", *partition_cols)
     laid_out.write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(path)
     return path
 

@@ -42,6 +42,8 @@ def test_csv_roundtrip_and_audit(spark):
 def test_partitioned_write_and_table(spark):
     df = spark.createDataFrame([(i, f"c{i % 3}") for i in range(100)], "id long, city string")
     p = writers.write_partitioned(df, scratch_path(spark, "t-part"), ["city"], spread_by=["id"])
+    p2 = writers.write_partitioned(df, scratch_path(spark, "t-part2"), ["city"])
+    assert rows(raw.read_path(spark, p2), ["id", "city"]) == rows(df)
     assert sorted(d for d in os.listdir(p) if d.startswith("city=")) == ["city=c0", "city=c1", "city=c2"]
     assert rows(raw.read_path(spark, p), ["id", "city"]) == rows(df)
     writers.ensure_database(spark, "ordermart_t", scratch_path(spark, "t-db"))
