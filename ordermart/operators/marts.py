@@ -241,9 +241,10 @@ PRESENT_ORDER = {
 }
 
 
-def present(name: str, df: DataFrame) -> DataFrame:
-    """Sorted view for display (a stored table carries no order)."""
+def present(name: str, df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Sorted view for display (a stored table carries no order); with
+    ``limit`` a bounded preview (a top-k, not a full sort, when ordered)."""
     order = PRESENT_ORDER.get(name)
-    if not order:
-        return df
-    return df.orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in order])
+    if order:
+        df = df.orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in order])
+    return df.limit(limit) if limit else df

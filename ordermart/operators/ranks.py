@@ -4,9 +4,9 @@
 ONE task (``Exchange SinglePartition``). The operators here compute the same
 numbers with the work spread over many tasks:
 
-1. **Bounds.** A uniform random sample of the sort key (``orderBy(rand).limit``
-   keeps at most ``sample`` rows per task, so the driver receives a bounded
-   number of rows) gives ``B-1`` split points.
+1. **Bounds.** A Bernoulli sample of the sort key with fraction
+   ``1.5 * sample / rows`` (a map-side filter; the driver receives about
+   ``1.5 * sample`` rows whatever the data size) gives ``B-1`` split points.
 2. **Bucket.** Each row's bucket is a pure function of its key and those
    literal bounds (a binary-search ``CASE`` tree, about log2(B) comparisons),
    so a re-executed task puts every row in the same bucket again.
@@ -102,14 +102,21 @@ def _none_safe(row) -> tuple:
 
 
 def sample_bounds(df: DataFrame, order: OrderSpec, buckets: int | None = None,
-                  sample: int | None = None) -> tuple[list, T.StructType]:
-    """Up to ``buckets - 1`` ascending split points of ``sort_key(order)``."""
+                  sample: int | None = None, rows_hint: int | None = None
+                  ) -> tuple[list, T.StructType]:
+    """Up to ``buckets - 1`` ascending split points of ``sort_key(order)``.
+
+    ``rows_hint``: the input's row count when already known (else counted).
+    """
     buckets = buckets or default_buckets(df)
     sample = sample or SAMPLE_PER_BUCKET * buckets
     keyed = df.select(sort_key(df, order).alias("k"))
     schema = keyed.schema["k"].dataType
-    rows = (keyed.select("k", F.rand(SEED).alias("r")).orderBy("r").limit(sample)
-            .select("k").collect())
+    n = rows_hint if rows_hint is not None else df.count()
+    if n == 0:
+        return [], schema
+    fraction = min(1.0, 1.5 * sample / n)
+    rows = keyed.sample(False, fraction, SEED).collect()
     keys = sorted((tuple(r["k"]) for r in rows), key=_none_safe)
     if not keys or buckets <= 1:
         return [], schema
@@ -143,7 +150,7 @@ def bucket_expr(key_col: str, bounds: list, schema: T.StructType) -> Column:
 
 def with_buckets(df: DataFrame, order: OrderSpec, bucket_col: str = "_bkt",
                  key_col: str = "_key", bounds_from: DataFrame | None = None,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, rows_hint: int | None = None) -> DataFrame:
     """Adds the normalised sort key and its bucket.
 
     ``bounds_from`` may be a cheaper DataFrame with (nearly) the same key
@@ -151,7 +158,8 @@ def with_buckets(df: DataFrame, order: OrderSpec, bucket_col: str = "_bkt",
     balance, never correctness.
     """
     src = bounds_from if bounds_from is not None else df
-    bounds, _ = sample_bounds(src, order, buckets)
+    bounds, _ = sample_bounds(src, order, buckets,
+                              rows_hint=rows_hint if bounds_from is None else None)
     keyed = df.withColumn(key_col, sort_key(df, order))
     schema = keyed.schema[key_col].dataType
     return keyed.withColumn(bucket_col, bucket_expr(key_col, bounds, schema))

@@ -103,3 +103,8 @@ def manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def list_tables(spark: SparkSession, database: str) -> DataFrame:
+    """``SHOW TABLES IN database`` as a DataFrame (namespace, tableName, isTemporary)."""
+    return spark.sql(f"SHOW TABLES IN {database}")

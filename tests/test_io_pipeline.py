@@ -72,6 +72,11 @@ def test_pipeline_run_end_to_end(spark):
         F.sum("total_revenue")).first()[0]
     assert abs(total - by_city) < 1e-6
     assert spark.table("ordermart_run.gold_order_summary").count() == 1
+    names = {r.tableName for r in writers.list_tables(spark, "ordermart_run").collect()}
+    assert {f"gold_{x}" for x in ("order_summary", "customer_rfm", "peak_hours")} <= names
+    top = M.present("gold_revenue_city",
+                    raw.read_path(spark, out["gold"]["gold_revenue_city"]), limit=3).collect()
+    assert len(top) == 3 and top[0].total_revenue >= top[1].total_revenue >= top[2].total_revenue
 
 
 def test_incremental_bronze_stream(spark):
