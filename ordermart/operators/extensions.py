@@ -13,7 +13,7 @@ from ..functions.calendar import hour_of, meal_period, month_label
 from ..functions.money import half_up_ratio, pct, sum_money, units
 from ..session import materialize
 from . import marts
-from .ranks import dense_rank_within, global_dense_rank
+from .ranks import SMALL_RANK_ROWS, dense_rank_within, global_dense_rank
 
 
 def _status_count(status: str):
@@ -62,11 +62,11 @@ def restaurant_completion(silver: DataFrame) -> DataFrame:
                         pct(F.col("delivered_orders"), F.col("total_orders")))
 
 
-def partner_speed_rank(silver: DataFrame) -> DataFrame:
+def partner_speed_rank(silver: DataFrame, small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
     """Partner KPI plus ``global_speed_rank`` (dense rank, fastest first)."""
     perf = materialize(marts.partner_performance(silver), "partner-performance")
     return global_dense_rank(perf, "avg_delivery_time", descending=False,
-                             out="global_speed_rank")
+                             out="global_speed_rank", small_rows=small_rows)
 
 
 def meal_heatmap(silver: DataFrame) -> DataFrame:
@@ -119,8 +119,8 @@ def cuisine_discount(silver: DataFrame) -> DataFrame:
     )
 
 
-def customer_dense_rank(silver: DataFrame) -> DataFrame:
+def customer_dense_rank(silver: DataFrame, heavy_rows: int | None = None) -> DataFrame:
     """Dense rank of each order's amount within its customer (largest = 1)."""
     base = silver.select("order_id", "customer_id", "final_amount")
     return dense_rank_within(base, "customer_id", "final_amount", descending=True,
-                             out="spend_rank")
+                             out="spend_rank", heavy_rows=heavy_rows)

@@ -16,7 +16,7 @@ from .. import rules
 from ..functions.calendar import days_since, hour_of, month_label
 from ..functions.money import avg_int, avg_money, half_up_ratio, pct, sum_money, units, TENTHS
 from ..session import materialize
-from .ranks import global_dense_rank, global_ntile, top_k_with_ties
+from .ranks import SMALL_RANK_ROWS, global_dense_rank, global_ntile, top_k_with_ties
 
 
 def _count_if(cond: Column) -> Column:
@@ -53,7 +53,7 @@ def revenue_by_city(silver: DataFrame) -> DataFrame:
     )
 
 
-def restaurant_performance(silver: DataFrame) -> DataFrame:
+def restaurant_performance(silver: DataFrame, small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
     """KPI 3: per restaurant x name x cuisine x city, global dense rank by revenue."""
     g = silver.groupBy("restaurant_id", "restaurant_name", "cuisine_type", "delivery_city").agg(
         F.count("order_id").alias("total_orders"),
@@ -62,7 +62,8 @@ def restaurant_performance(silver: DataFrame) -> DataFrame:
         avg_int("delivery_time_minutes").alias("avg_delivery_time"),
     )
     g = materialize(g, "restaurant-groups")  # read by the sample, rank and join passes
-    return global_dense_rank(g, "total_revenue", descending=True, out="restaurant_rank")
+    return global_dense_rank(g, "total_revenue", descending=True, out="restaurant_rank",
+                             small_rows=small_rows)
 
 
 def recency_score(recency: Column) -> Column:
@@ -81,7 +82,8 @@ def rfm_segment(score: Column) -> Column:
     return expr.otherwise(F.lit(rules.RFM_OTHERWISE))
 
 
-def customer_rfm(silver: DataFrame, as_of=None, bucket_order: str = "reference") -> DataFrame:
+def customer_rfm(silver: DataFrame, as_of=None, bucket_order: str = "reference",
+                 small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
     """KPI 4: recency band + frequency and monetary tiles + segment.
 
     ``bucket_order="reference"`` keeps the pipeline's tiles (ordered
@@ -100,10 +102,10 @@ def customer_rfm(silver: DataFrame, as_of=None, bucket_order: str = "reference")
     # read stored customer rows, not the silver aggregation again
     g = materialize(g, "rfm-customers")
     g = global_ntile(g, rules.RFM_TILES, [("frequency", desc), ("customer_id", False)],
-                     out="frequency_score")
+                     out="frequency_score", small_rows=small_rows)
     g = materialize(g, "rfm-frequency")
     g = global_ntile(g, rules.RFM_TILES, [("monetary", desc), ("customer_id", False)],
-                     out="monetary_score")
+                     out="monetary_score", small_rows=small_rows)
     g = g.withColumn("rfm_score", F.col("recency_score") + F.col("frequency_score")
                      + F.col("monetary_score"))
     return g.withColumn("segment", rfm_segment(F.col("rfm_score"))).select(

@@ -73,6 +73,13 @@ class Ctx:
     def history(self) -> DataFrame:
         return S.with_history(self.clean, bounds_from=self._bounds_src)
 
+    @cached_property
+    def history_split(self) -> DataFrame:
+        """Every customer through the bucketed (skew-safe) path, whatever its
+        size: the operator-level window keys use it, so the oracle checks the
+        path that big customers take at scale."""
+        return S.with_history(self.clean, bounds_from=self._bounds_src, heavy_rows=0)
+
     @property
     def _bounds_src(self) -> DataFrame:
         return self.star.orders.select("customer_id", "order_date", "order_id")
@@ -369,19 +376,19 @@ def _silver_calendar(c: Ctx) -> DataFrame:
 @register("win_customer_order_number",
           q("SELECT order_id, customer_id, order_date, customer_order_number FROM hist"))
 def _win_order_number(c: Ctx) -> DataFrame:
-    return c.history.select("order_id", "customer_id", "order_date", "customer_order_number")
+    return c.history_split.select("order_id", "customer_id", "order_date", "customer_order_number")
 
 
 @register("win_previous_order_amount",
           q("SELECT order_id, customer_id, final_amount, previous_order_amount FROM hist"))
 def _win_previous(c: Ctx) -> DataFrame:
-    return c.history.select("order_id", "customer_id", "final_amount", "previous_order_amount")
+    return c.history_split.select("order_id", "customer_id", "final_amount", "previous_order_amount")
 
 
 @register("win_running_revenue",
           q("SELECT order_id, customer_id, order_date, running_customer_revenue FROM hist"))
 def _win_running(c: Ctx) -> DataFrame:
-    return c.history.select("order_id", "customer_id", "order_date", "running_customer_revenue")
+    return c.history_split.select("order_id", "customer_id", "order_date", "running_customer_revenue")
 
 
 @register("silver_orders", q("SELECT * FROM silver"))
@@ -413,7 +420,9 @@ def _rfm_recency(c: Ctx) -> DataFrame:
 @register("rfm_segments", q(f"SELECT customer_id, rfm_score, segment FROM "
                             f"({MART_SQL['gold_customer_rfm']})"))
 def _rfm_segments(c: Ctx) -> DataFrame:
-    return M.customer_rfm(c.silver, AS_OF).select("customer_id", "rfm_score", "segment")
+    # bucket-parallel tiles regardless of size (the path large inputs take)
+    return M.customer_rfm(c.silver, AS_OF, small_rows=0).select(
+        "customer_id", "rfm_score", "segment")
 
 
 @register("sort_revenue_city",
@@ -483,7 +492,8 @@ def _ext_completion(c: Ctx) -> DataFrame:
               AS global_speed_rank
     FROM ({MART_SQL['gold_partner_performance']})"""))
 def _ext_speed_rank(c: Ctx) -> DataFrame:
-    return X.partner_speed_rank(c.silver)
+    # bucket-parallel dense rank regardless of size (the path large inputs take)
+    return X.partner_speed_rank(c.silver, small_rows=0)
 
 
 @register("ext_meal_heatmap", q(f"""
@@ -540,7 +550,8 @@ def _ext_cuisine_discount(c: Ctx) -> DataFrame:
                 AS INTEGER) AS spend_rank
     FROM silver"""))
 def _ext_dense_rank(c: Ctx) -> DataFrame:
-    return X.customer_dense_rank(c.silver)
+    # every customer through the bucketed path (the one heavy customers take)
+    return X.customer_dense_rank(c.silver, heavy_rows=0)
 
 
 # ------------------------------------------------------- sources / sinks --
