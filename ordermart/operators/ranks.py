@@ -46,9 +46,18 @@ SAMPLE_PER_BUCKET = 16
 SEED = 20240917
 
 
-def default_buckets(df: DataFrame) -> int:
+MIN_ROWS_PER_BUCKET = 20_000
+
+
+def default_buckets(df: DataFrame, rows: int | None = None) -> int:
+    """About four buckets per shuffle partition, at most ``MAX_BUCKETS``, and
+    no more than one per ``MIN_ROWS_PER_BUCKET`` rows (tiny buckets only add
+    overhead)."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(MAX_BUCKETS, 4 * parts))
+    b = min(MAX_BUCKETS, 4 * parts)
+    if rows is not None:
+        b = min(b, -(-rows // MIN_ROWS_PER_BUCKET))
+    return max(2, b)
 
 
 def sort_key(df: DataFrame, order: OrderSpec) -> Column:
@@ -108,13 +117,13 @@ def sample_bounds(df: DataFrame, order: OrderSpec, buckets: int | None = None,
 
     ``rows_hint``: the input's row count when already known (else counted).
     """
-    buckets = buckets or default_buckets(df)
-    sample = sample or SAMPLE_PER_BUCKET * buckets
     keyed = df.select(sort_key(df, order).alias("k"))
     schema = keyed.schema["k"].dataType
     n = rows_hint if rows_hint is not None else df.count()
     if n == 0:
         return [], schema
+    buckets = buckets or default_buckets(df, n)
+    sample = sample or SAMPLE_PER_BUCKET * buckets
     fraction = min(1.0, 1.5 * sample / n)
     rows = keyed.sample(False, fraction, SEED).collect()
     keys = sorted((tuple(r["k"]) for r in rows), key=_none_safe)
