@@ -26,8 +26,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ordermart.operators import marts, quality  # noqa: E402
-from ordermart.operators import silver as S  # noqa: E402
+from ordermart.operators import marts  # noqa: E402
 from ordermart.plans import pipeline  # noqa: E402
 from ordermart.session import local_session, scratch_root  # noqa: E402
 from ordermart.sinks import writers  # noqa: E402
@@ -70,8 +69,9 @@ def main() -> None:
     target = os.path.join(work, "out")
     bronze_paths = timed("bronze_ingest", lambda: pipeline.ingest_bronze(
         spark, sources, target, now=None, schemas=schemas))
-    silver_paths = timed("silver_build", lambda: pipeline.build_silver_layer(
+    silver_out = timed("silver_build", lambda: pipeline.build_silver_layer(
         spark, bronze_paths, target, order_by=TIEBREAK_COLS, drop=TIEBREAK_COLS))
+    silver_paths = {k: silver_out[k] for k in ("silver_orders", "quarantine_orders")}
     silver = raw.read_path(spark, silver_paths["silver_orders"])
     for name, build in marts.MART_FUNCTIONS.items():
         key = name.replace("gold_", "kpi_")
@@ -79,10 +79,7 @@ def main() -> None:
         # staging jobs while the DataFrame is built
         timed(key, lambda build=build, name=name: writers.write_overwrite(
             build(silver, AS_OF), os.path.join(target, "gold", name)))
-    bronze_orders = raw.read_path(spark, bronze_paths["orders"]).drop(
-        pipeline.BRONZE_ORDERS_PARTITION)
-    timed("dq_summary", lambda: quality.summary(
-        S.flagged_orders(bronze_orders, order_by=TIEBREAK_COLS, drop=TIEBREAK_COLS)).collect())
+    timed("dq_summary", lambda: silver_out["dq_summary"].collect())
     timed("manifest", lambda: writers.manifest(
         {n: raw.read_path(spark, p) for n, p in {**bronze_paths, **silver_paths}.items()}
     ).collect())

@@ -150,7 +150,19 @@ def build_silver(raw_orders: DataFrame, customers: DataFrame, restaurants: DataF
                  skew_safe: bool = True, null_policy: str = "pass",
                  stage: bool = True, heavy_rows: int = HEAVY_ROWS,
                  **clean_kw) -> tuple[DataFrame, DataFrame]:
-    """(silver_orders, quarantine_orders).
+    """(silver_orders, quarantine_orders); see ``build_silver_parts``."""
+    parts = build_silver_parts(raw_orders, customers, restaurants, partners, now,
+                               broadcast_dims, skew_safe, null_policy, stage, heavy_rows,
+                               **clean_kw)
+    return parts["silver"], parts["quarantine"]
+
+
+def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants: DataFrame,
+                       partners: DataFrame, now=None, broadcast_dims: bool = False,
+                       skew_safe: bool = True, null_policy: str = "pass",
+                       stage: bool = True, heavy_rows: int = HEAVY_ROWS,
+                       **clean_kw) -> dict[str, DataFrame]:
+    """``silver``, ``quarantine`` and the (staged) classified ``flagged`` orders.
 
     With ``stage=True`` the deduplicated, classified orders are written once
     to the shared scratch folder: the quarantine, the history windows and its
@@ -168,7 +180,8 @@ def build_silver(raw_orders: DataFrame, customers: DataFrame, restaurants: DataF
                         heavy_rows=heavy_rows)
     silver = derive(enrich(hist, customers, restaurants, partners, broadcast_dims))
     silver = silver.withColumn("silver_load_time", local_load_time(now))
-    return silver.select(*silver_column_order(silver.columns)), quarantine
+    return {"silver": silver.select(*silver_column_order(silver.columns)),
+            "quarantine": quarantine, "flagged": flagged}
 
 
 def silver_column_order(cols: Sequence[str]) -> list[str]:

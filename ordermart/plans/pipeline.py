@@ -60,18 +60,23 @@ def ingest_bronze(spark: SparkSession, sources: Mapping[str, str], target: str,
 
 def build_silver_layer(spark: SparkSession, bronze_paths: Mapping[str, str], target: str,
                        now=None, fmt: str = "parquet", broadcast_dims: bool = False,
-                       **clean_kw) -> dict[str, str]:
-    """Stored bronze -> silver_orders (partitioned) + quarantine_orders."""
+                       **clean_kw) -> dict[str, object]:
+    """Stored bronze -> silver_orders (partitioned) + quarantine_orders.
+
+    Also returns ``dq_summary`` (lazy), computed over the STAGED classified
+    orders, so it does not re-run the dedup.
+    """
     b = {n: raw.read_path(spark, p, fmt) for n, p in bronze_paths.items()}
     b["orders"] = b["orders"].drop(BRONZE_ORDERS_PARTITION)  # layout column, if any
-    silver_df, quarantine = S.build_silver(b["orders"], b["customers"], b["restaurants"],
-                                           b["partners"], now=now,
-                                           broadcast_dims=broadcast_dims, **clean_kw)
-    q_path = writers.write_overwrite(quarantine, os.path.join(target, "silver", "quarantine"),
-                                     fmt)
+    parts = S.build_silver_parts(b["orders"], b["customers"], b["restaurants"],
+                                 b["partners"], now=now, broadcast_dims=broadcast_dims,
+                                 **clean_kw)
+    q_path = writers.write_overwrite(parts["quarantine"],
+                                     os.path.join(target, "silver", "quarantine"), fmt)
     s_path = os.path.join(target, "silver", "orders")
-    writers.write_partitioned(silver_df, s_path, [SILVER_PARTITION], fmt=fmt)
-    return {"silver_orders": s_path, "quarantine_orders": q_path}
+    writers.write_partitioned(parts["silver"], s_path, [SILVER_PARTITION], fmt=fmt)
+    return {"silver_orders": s_path, "quarantine_orders": q_path,
+            "dq_summary": quality.summary(parts["flagged"])}
 
 
 def gold_marts(spark: SparkSession, silver_path: str, as_of=None,
@@ -93,7 +98,8 @@ def run(spark: SparkSession, sources: Mapping[str, str], target: str, as_of=None
     if database:
         writers.ensure_database(spark, database, os.path.join(target, "_catalog"))
     bronze_paths = ingest_bronze(spark, sources, target, now, fmt)
-    silver_paths = build_silver_layer(spark, bronze_paths, target, now, fmt, broadcast_dims)
+    silver_out = build_silver_layer(spark, bronze_paths, target, now, fmt, broadcast_dims)
+    silver_paths = {k: silver_out[k] for k in ("silver_orders", "quarantine_orders")}
     gold = gold_marts(spark, silver_paths["silver_orders"], as_of, fmt)
     gold_paths = writers.publish(gold, os.path.join(target, "gold"), database, fmt)
 
@@ -102,8 +108,7 @@ def run(spark: SparkSession, sources: Mapping[str, str], target: str, as_of=None
         "bronze": bronze_paths,
         **silver_paths,
         "gold": gold_paths,
-        "dq_summary": quality.summary(S.flagged_orders(
-            read(bronze_paths["orders"]).drop(BRONZE_ORDERS_PARTITION))),
+        "dq_summary": silver_out["dq_summary"],
         "manifest": writers.manifest({
             **{f"bronze_{n}": read(p) for n, p in bronze_paths.items()},
             **{n: read(p) for n, p in silver_paths.items()},
