@@ -87,19 +87,33 @@ def clean(orders: DataFrame, key: str = "order_id", order_by: Sequence[str] | No
 
 # -------------------------------------------------------------- enrichment --
 
-def _dim(df: DataFrame, cols: Sequence[str], broadcast: bool) -> DataFrame:
+BROADCAST_MAX_ROWS = 5_000_000
+
+
+def _dim(df: DataFrame, cols: Sequence[str], broadcast: bool | int) -> DataFrame:
+    """Projected dimension; with ``broadcast`` the hint is added only after a
+    row count proves the dimension within the bound (True = BROADCAST_MAX_ROWS)."""
     d = df.select(*cols)
-    return F.broadcast(d) if broadcast else d
+    if broadcast is False or broadcast is None:
+        return d
+    bound = BROADCAST_MAX_ROWS if broadcast is True else int(broadcast)
+    return F.broadcast(d) if d.count() <= bound else d
 
 
 def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame,
-           partners: DataFrame, broadcast_dims: bool = False) -> DataFrame:
+           partners: DataFrame, broadcast_dims: bool | int = False) -> DataFrame:
     """Three LEFT joins to the dimensions (orphans keep NULL attributes).
 
     ``broadcast_dims=False`` leaves the strategy to Spark: a dimension below
     ``spark.sql.autoBroadcastJoinThreshold`` (estimated from its scan size) or
     found small at runtime by AQE is broadcast; a large one is joined by
-    shuffle (AQE splits skewed fact partitions). ``True`` forces the hint.
+    shuffle (AQE splits skewed fact partitions). ``True`` (or a row bound)
+    counts each dimension and hints a broadcast only for those within the
+    bound; the rest are still left to Spark.
+
+    The customer join comes first: after the history window the fact is
+    already hash-partitioned by customer, so a shuffle join on customer_id
+    only moves the dimension.
     """
     s = clean_orders.join(_dim(customers, CUSTOMER_DIM_COLS, broadcast_dims),
                           on="customer_id", how="left")

@@ -92,6 +92,12 @@ def test_enrich_left_joins_keep_orphans(spark):
     got = {r.order_id: (r.customer_name, r.cuisine_type, r.vehicle_type) for r in e.collect()}
     assert got == {1: ("Asha", "Indian", "BIKE"), 2: (None, None, None)}
     assert e.columns[:3] == ["delivery_partner_id", "restaurant_id", "customer_id"]
+    hinted = S.enrich(S.clean(df), customers, restaurants, partners, broadcast_dims=True)
+    assert rows(hinted) == rows(e)
+    plan = hinted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    capped = S.enrich(S.clean(df), customers, restaurants, partners, broadcast_dims=1)
+    assert rows(capped) == rows(e)  # dimensions over the bound: no hint, same rows
     orph = {r.dimension: (r.orphan_orders, r.orphan_keys) for r in Q.orphans(
         df, {"customers": (customers, "customer_id"),
              "restaurants": (restaurants, "restaurant_id"),
