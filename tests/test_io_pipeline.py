@@ -90,3 +90,16 @@ def test_incremental_bronze_stream(spark):
     assert n2 == 0
     out = raw.read_path(spark, target)
     assert out.count() == n1 and "source_file" in out.columns
+
+
+def test_cli_runs_pipeline(spark, capsys):
+    from ordermart.__main__ import main
+    root = scratch_path(spark, "t-cli")
+    _, paths, _ = _land(spark, root)
+    args = [f"--{k}={v}" for k, v in paths.items()] + [f"--target={root}/out",
+                                                       "--as-of=2001-08-02"]
+    main(args)
+    import json
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["manifest"]["silver_orders"] == out["dq_summary"]["valid_records"]
+    assert len(out["gold"]) == 12
