@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.calendar import month_label
 from ..operators import marts, quality
 from ..operators import silver as S
+from ..session import release_staged, staged_mark
 from ..sinks import writers
 from ..sources import bronze, raw
 
@@ -87,28 +88,35 @@ def gold_marts(spark: SparkSession, silver_path: str, as_of=None,
 
 def run(spark: SparkSession, sources: Mapping[str, str], target: str, as_of=None, now=None,
         database: str | None = None, fmt: str = "parquet",
-        broadcast_dims: bool = False) -> dict[str, object]:
+        broadcast_dims: bool = False, release: bool = True) -> dict[str, object]:
     """Ingest the four raw CSVs, build silver + quarantine, publish the 12 marts.
 
     ``sources`` maps ``orders``/``customers``/``restaurants``/``partners`` to CSV
     paths. ``as_of`` (recency) and ``now`` (audit / load times) default to the
-    clock. Returns the written paths plus the DQ summary and the table
-    manifest (both lazy DataFrames).
+    clock. The DQ summary is written as a small table next to silver; with
+    ``release`` the staged intermediates are deleted at the end. Returns the
+    written paths plus the DQ summary and the table manifest (lazy reads of
+    the written tables).
     """
+    mark = staged_mark()
     if database:
         writers.ensure_database(spark, database, os.path.join(target, "_catalog"))
     bronze_paths = ingest_bronze(spark, sources, target, now, fmt)
     silver_out = build_silver_layer(spark, bronze_paths, target, now, fmt, broadcast_dims)
     silver_paths = {k: silver_out[k] for k in ("silver_orders", "quarantine_orders")}
+    dq_path = writers.write_overwrite(silver_out["dq_summary"].coalesce(1),
+                                      os.path.join(target, "silver", "dq_summary"), fmt)
     gold = gold_marts(spark, silver_paths["silver_orders"], as_of, fmt)
     gold_paths = writers.publish(gold, os.path.join(target, "gold"), database, fmt)
+    if release:
+        release_staged(spark, mark)
 
     read = lambda p: raw.read_path(spark, p, fmt)
     return {
         "bronze": bronze_paths,
         **silver_paths,
         "gold": gold_paths,
-        "dq_summary": silver_out["dq_summary"],
+        "dq_summary": read(dq_path),
         "manifest": writers.manifest({
             **{f"bronze_{n}": read(p) for n, p in bronze_paths.items()},
             **{n: read(p) for n, p in silver_paths.items()},

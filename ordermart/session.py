@@ -58,6 +58,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), "ordermart", f"{name}-{uuid.uuid4().hex}")
 
 
+_STAGED: list[str] = []
+
+
 def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` once to a fresh folder under the shared scratch root and
     return the stored copy.
@@ -71,9 +74,28 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
+    _STAGED.append(path)
     return spark.read.format(fmt).load(path)
 
 
+def staged_mark() -> int:
+    """Position in the staged-folder log; pass to ``release_staged``."""
+    return len(_STAGED)
+
+
+def release_staged(spark: SparkSession, since: int = 0) -> int:
+    """Delete the folders written by ``materialize`` after mark ``since``
+    (through the Hadoop FileSystem of each path, so it works on any shared
+    storage). Call only when no DataFrame that reads them is still needed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while len(_STAGED) > since:
+        p = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     scratch_root(df.sparkSession)

@@ -56,8 +56,11 @@ def test_partitioned_write_and_table(spark):
 def test_pipeline_run_end_to_end(spark):
     root = scratch_path(spark, "t-run")
     _, paths, _ = _land(spark, root)
+    from ordermart import session
+    before = session.staged_mark()
     out = pipeline.run(spark, paths, os.path.join(root, "out"), as_of="2001-08-02",
                        now="2001-08-02 00:00:00", database="ordermart_run")
+    assert session.staged_mark() == before  # staged intermediates were released
     man = dict(out["manifest"].collect())
     summ = dict(out["dq_summary"].collect())
     assert man["silver_orders"] == summ["valid_records"]
