@@ -89,3 +89,18 @@ def orphans(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFram
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def duplicate_keys(dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Per dimension: keys that occur more than once, and their extra rows
+    (each would multiply the fact rows it joins to). One aggregate each."""
+    parts = []
+    for name, (dim, key) in dims.items():
+        dup = (dim.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+               .agg(F.count(F.lit(1)).alias("duplicate_keys"),
+                    F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("extra_rows")))
+        parts.append(dup.select(F.lit(name).alias("dimension"), "duplicate_keys", "extra_rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -100,8 +100,21 @@ def _dim(df: DataFrame, cols: Sequence[str], broadcast: bool | int) -> DataFrame
     return F.broadcast(d) if d.count() <= bound else d
 
 
+def unique_dimension(dim: DataFrame, key: str) -> DataFrame:
+    """One row per key (the smallest row), so a duplicated dimension key can
+    not fan out the fact in the join. Map-side group limit, like ``dedup``."""
+    return dedup(dim, key)
+
+
+def normalise_dimension_city(dim: DataFrame, col: str = "city",
+                             aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """The fact's ``upper(trim(city))`` (and alias map) applied to a dimension."""
+    return dim.withColumn(col, normalise_city(col, aliases)) if col in dim.columns else dim
+
+
 def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame,
-           partners: DataFrame, broadcast_dims: bool | int = False) -> DataFrame:
+           partners: DataFrame, broadcast_dims: bool | int = False,
+           dedup_dims: bool = False, normalise_dims: bool = False) -> DataFrame:
     """Three LEFT joins to the dimensions (orphans keep NULL attributes).
 
     ``broadcast_dims=False`` leaves the strategy to Spark: a dimension below
@@ -114,7 +127,19 @@ def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame
     The customer join comes first: after the history window the fact is
     already hash-partitioned by customer, so a shuffle join on customer_id
     only moves the dimension.
+
+    ``dedup_dims`` keeps one row per dimension key first (the pipeline does
+    not, so a duplicated key multiplies fact rows); ``normalise_dims`` applies
+    the fact's city normalisation to the dimensions' ``city`` columns.
     """
+    if normalise_dims:
+        customers = normalise_dimension_city(customers)
+        restaurants = normalise_dimension_city(restaurants)
+        partners = normalise_dimension_city(partners)
+    if dedup_dims:
+        customers = unique_dimension(customers, "customer_id")
+        restaurants = unique_dimension(restaurants, "restaurant_id")
+        partners = unique_dimension(partners, "delivery_partner_id")
     s = clean_orders.join(_dim(customers, CUSTOMER_DIM_COLS, broadcast_dims),
                           on="customer_id", how="left")
     s = s.join(_dim(restaurants, RESTAURANT_DIM_COLS, broadcast_dims),
@@ -163,11 +188,12 @@ def build_silver(raw_orders: DataFrame, customers: DataFrame, restaurants: DataF
                  partners: DataFrame, now=None, broadcast_dims: bool = False,
                  skew_safe: bool = True, null_policy: str = "pass",
                  stage: bool = True, heavy_rows: int = HEAVY_ROWS,
+                 dedup_dims: bool = False, normalise_dims: bool = False,
                  **clean_kw) -> tuple[DataFrame, DataFrame]:
     """(silver_orders, quarantine_orders); see ``build_silver_parts``."""
     parts = build_silver_parts(raw_orders, customers, restaurants, partners, now,
                                broadcast_dims, skew_safe, null_policy, stage, heavy_rows,
-                               **clean_kw)
+                               dedup_dims, normalise_dims, **clean_kw)
     return parts["silver"], parts["quarantine"]
 
 
@@ -175,6 +201,7 @@ def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants:
                        partners: DataFrame, now=None, broadcast_dims: bool = False,
                        skew_safe: bool = True, null_policy: str = "pass",
                        stage: bool = True, heavy_rows: int = HEAVY_ROWS,
+                       dedup_dims: bool = False, normalise_dims: bool = False,
                        **clean_kw) -> dict[str, DataFrame]:
     """``silver``, ``quarantine`` and the (staged) classified ``flagged`` orders.
 
@@ -192,7 +219,8 @@ def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants:
     hist = with_history(clean_rows, skew_safe,
                         bounds_from=raw_orders.select("customer_id", "order_date", "order_id"),
                         heavy_rows=heavy_rows)
-    silver = derive(enrich(hist, customers, restaurants, partners, broadcast_dims))
+    silver = derive(enrich(hist, customers, restaurants, partners, broadcast_dims,
+                           dedup_dims, normalise_dims))
     silver = silver.withColumn("silver_load_time", local_load_time(now))
     return {"silver": silver.select(*silver_column_order(silver.columns)),
             "quarantine": quarantine, "flagged": flagged}

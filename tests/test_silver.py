@@ -114,3 +114,19 @@ def test_build_silver_schema(spark):
     assert len(silver.columns) == 34  # 37 in the pipeline minus 3 bronze audit columns
     t = silver.select(F.col("silver_load_time").cast("timestamp_ntz").cast("string")).first()[0]
     assert t == "2024-01-01 05:30:00"
+
+
+def test_duplicate_dimension_keys(spark):
+    customers, restaurants, partners = dims(spark)
+    dup_customers = customers.unionByName(customers.filter("customer_id = 1"))
+    df = orders_df(spark, order(order_id=1), order(order_id=2, customer_id=2))
+    fanned = S.enrich(S.clean(df), dup_customers, restaurants, partners)
+    assert fanned.count() == 3  # the pipeline's behaviour: order 1 is doubled
+    kept = S.enrich(S.clean(df), dup_customers, restaurants, partners, dedup_dims=True)
+    assert kept.count() == 2
+    report = {r.dimension: (r.duplicate_keys, r.extra_rows) for r in Q.duplicate_keys(
+        {"customers": (dup_customers, "customer_id"),
+         "restaurants": (restaurants, "restaurant_id")}).collect()}
+    assert report == {"customers": (1, 1), "restaurants": (0, 0)}
+    norm = S.enrich(S.clean(df), customers, restaurants, partners, normalise_dims=True)
+    assert {r.city for r in norm.collect()} == {"DELHI", "MUMBAI"}
