@@ -28,7 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ordermart.operators import marts  # noqa: E402
 from ordermart.plans import pipeline  # noqa: E402
-from ordermart.session import local_session, scratch_root  # noqa: E402
+from ordermart.session import local_session, release_staged, scratch_root  # noqa: E402
 from ordermart.sinks import writers  # noqa: E402
 from ordermart.sources import raw  # noqa: E402
 from ordermart.sources.adapter import TIEBREAK_COLS, star_schema  # noqa: E402
@@ -84,6 +84,7 @@ def main() -> None:
         {n: raw.read_path(spark, p) for n, p in {**bronze_paths, **silver_paths}.items()}
     ).collect())
 
+    release_staged(spark)  # staged intermediates of the silver and rank stages
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "pipeline_sec", "value": total, "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus}))
