@@ -126,7 +126,13 @@ def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame
 
     The customer join comes first: after the history window the fact is
     already hash-partitioned by customer, so a shuffle join on customer_id
-    only moves the dimension.
+    only moves the dimension. The windows run BEFORE the joins on purpose:
+    with heavy customers present the history is a union (plain + bucketed)
+    and the customer join re-shuffles the fact, but AQE can then split a hot
+    customer's join partition, because the restaurant join re-shuffles
+    anyway. Joining customers first would leave the hot customer in one join
+    task: the window above it needs customer clustering, so AQE would not
+    split it.
 
     ``dedup_dims`` keeps one row per dimension key first (the pipeline does
     not, so a duplicated key multiplies fact rows); ``normalise_dims`` applies
