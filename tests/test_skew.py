@@ -73,3 +73,33 @@ def test_marts_on_skewed_silver(spark, skewed):
     assert got == ref and got[HOT] == 1
     top = {r.customer_id for r in M.top_customers(silver, k=3).collect()}
     assert HOT in top
+
+
+def test_aqe_splits_hot_customer_join_when_dimensions_are_large(spark, skewed):
+    st, orders = skewed
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",  # as if dimensions were huge
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             # AQE's skew thresholds scaled down to this data size
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        silver, _ = S.build_silver(orders, st.customers, st.restaurants, st.partners,
+                                   heavy_rows=1000, order_by=TIEBREAK_COLS,
+                                   drop=TIEBREAK_COLS)
+        silver.collect()
+        plan = silver._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert "isFinalPlan=true" in plan
+        assert any("SortMergeJoin(skew=true)" in line and "customer_id" in line
+                   for line in final.split("\n"))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
