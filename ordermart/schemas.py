@@ -8,8 +8,8 @@ driver's tables (BIGINT keys) and 32-bit CSV ids alike.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType,
-    StructField, StructType, TimestampNTZType, TimestampType,
+    DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    TimestampNTZType,
 )
 
 
@@ -51,23 +51,9 @@ RAW_SCHEMAS = {
     "partners": PARTNERS_RAW,
 }
 
-AUDIT_FIELDS = _s(
-    ("ingestion_timestamp", TimestampType()), ("source_file", StringType()),
-    ("bronze_layer", StringType()),
-)
-
 # Dimension columns carried into silver by each enrichment join (key first).
 CUSTOMER_DIM_COLS = ["customer_id", "customer_name", "gender", "age", "city",
                      "signup_date", "loyalty_tier"]
 RESTAURANT_DIM_COLS = ["restaurant_id", "restaurant_name", "cuisine_type",
                        "avg_preparation_time"]
 PARTNER_DIM_COLS = ["delivery_partner_id", "partner_name", "vehicle_type", "joining_date"]
-
-ORDER_COLS = [f.name for f in ORDERS_RAW.fields]
-
-SILVER_DERIVED = _s(
-    ("delivery_speed_category", StringType()), ("high_value_order", IntegerType()),
-    ("is_weekend", BooleanType()), ("customer_order_number", IntegerType()),
-    ("previous_order_amount", DoubleType()), ("running_customer_revenue", DoubleType()),
-    ("silver_load_time", TimestampType()),
-)

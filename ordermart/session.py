@@ -94,9 +94,3 @@ def release_staged(spark: SparkSession, since: int = 0) -> int:
         p = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
         n += bool(p.getFileSystem(conf).delete(p, True))
     return n
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
