@@ -7,11 +7,12 @@ tables (untimed: it stands in for the upstream system). Then, timed:
   (orders partitioned by order date);
 * ``silver_build``   — dedup, DQ split, per-customer history, 3 enrichment
   joins, derived columns; silver (partitioned by city) and quarantine written;
-* ``kpi_*``          — each of the 12 marts computed from the STORED silver and
-  written;
+* ``gold_publish``   — the 12 marts computed from the STORED silver and written
+  by 4 concurrent jobs (``kpi_*``: each mart's own, overlapping, wall time);
 * ``dq_summary`` and ``manifest`` — one-pass summary / row-count jobs.
 
-Prints ONE JSON line; ``value`` is the sum of the timed stages.
+Prints ONE JSON line; ``value`` is the sum of the timed stages (the kpi_*
+entries overlap inside gold_publish and are not added again).
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 """
 
@@ -23,10 +24,10 @@ import re
 import sys
 import tempfile
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ordermart.operators import marts  # noqa: E402
 from ordermart.plans import pipeline  # noqa: E402
 from ordermart.session import local_session, release_staged, scratch_root  # noqa: E402
 from ordermart.sinks import writers  # noqa: E402
@@ -72,22 +73,31 @@ def main() -> None:
     silver_out = timed("silver_build", lambda: pipeline.build_silver_layer(
         spark, bronze_paths, target, order_by=TIEBREAK_COLS, drop=TIEBREAK_COLS))
     silver_paths = {k: silver_out[k] for k in ("silver_orders", "quarantine_orders")}
-    silver = raw.read_path(spark, silver_paths["silver_orders"])
-    for name, build in marts.MART_FUNCTIONS.items():
-        key = name.replace("gold_", "kpi_")
-        # construction is inside the timer: rank marts run their sample and
-        # staging jobs while the DataFrame is built
-        timed(key, lambda build=build, name=name: writers.write_overwrite(
-            build(silver, AS_OF), os.path.join(target, "gold", name)))
+    # gold: the 12 marts built and written by 4 concurrent jobs (as
+    # pipeline.run does); each mart's own wall time is reported as kpi_*
+    # (they overlap), the stage's wall time as gold_publish
+    builders = pipeline.gold_builders(spark, silver_paths["silver_orders"], AS_OF)
+    kpi_times: dict[str, float] = {}
+
+    def one(name):
+        t0 = time.perf_counter()
+        writers.write_overwrite(builders[name](), os.path.join(target, "gold", name))
+        kpi_times[name.replace("gold_", "kpi_")] = round(time.perf_counter() - t0, 3)
+
+    def gold_stage():
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(one, list(builders)))
+
+    timed("gold_publish", gold_stage)
     timed("dq_summary", lambda: silver_out["dq_summary"].collect())
     timed("manifest", lambda: writers.manifest(
         {n: raw.read_path(spark, p) for n, p in {**bronze_paths, **silver_paths}.items()}
     ).collect())
 
     release_staged(spark)  # staged intermediates of the silver and rank stages
-    total = round(sum(times.values()), 3)
+    total = round(sum(times.values()), 3)  # stages run one after another
     print(json.dumps({"metric": "pipeline_sec", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+                      "queries": {**times, **kpi_times}, "sf": sf, "cpus": cpus}))
     spark.stop()
 
 

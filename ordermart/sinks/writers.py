@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,21 +77,35 @@ def save_table(df: DataFrame, table: str, path: str, fmt: str = "parquet",
     return table
 
 
-def publish(tables: Mapping[str, DataFrame], root: str, database: str | None = None,
-            fmt: str = "parquet") -> dict[str, str]:
+def publish(tables: Mapping[str, DataFrame | Callable[[], DataFrame]], root: str,
+            database: str | None = None, fmt: str = "parquet",
+            parallelism: int = 1) -> dict[str, str]:
     """Write every table to a fresh versioned directory under ``root``; when a
-    database is given, (re)point a catalog table at it. Returns name -> path."""
+    database is given, (re)point a catalog table at it. Returns name -> path.
+
+    A table may be given as a zero-argument builder (marts with global ranks
+    run jobs while they are built). ``parallelism > 1`` submits the
+    independent writes from a thread pool: Spark runs them as concurrent jobs,
+    so the small final stages of one mart overlap with the scans of another.
+    """
     version = uuid.uuid4().hex[:12]
-    out = {}
-    for name, df in tables.items():
+
+    def one(name: str) -> tuple[str, str]:
+        spec = tables[name]
+        df = spec() if callable(spec) else spec
         path = os.path.join(root, name, f"v-{version}")
         options = {"overwriteSchema": "true"} if fmt == "delta" else None
         if database:
             save_table(df, f"{database}.{name}", path, fmt, options=options)
         else:
             write_overwrite(df, path, fmt, options)
-        out[name] = path
-    return out
+        return name, path
+
+    if parallelism <= 1:
+        return dict(one(n) for n in tables)
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        done = dict(pool.map(one, list(tables)))
+    return {n: done[n] for n in tables}
 
 
 def manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
