@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,8 +47,9 @@ def ingest_bronze(spark: SparkSession, sources: Mapping[str, str], target: str,
     tasks); this costs a shuffle of the raw table.
     """
     ingested = bronze.ingest_all(spark, sources, now, schemas)
-    paths = {}
-    for name, df in ingested.items():
+
+    def one(name: str) -> str:
+        df = ingested[name]
         path = os.path.join(target, "bronze", name)
         if name == "orders" and orders_partition:
             if orders_partition == BRONZE_ORDERS_PARTITION:
@@ -55,8 +57,12 @@ def ingest_bronze(spark: SparkSession, sources: Mapping[str, str], target: str,
             writers.write_partitioned(df, path, [orders_partition], fmt=fmt)
         else:
             writers.write_overwrite(df, path, fmt)
-        paths[name] = path
-    return paths
+        return path
+
+    # the four ingests are independent map-only jobs: submit them concurrently
+    with ThreadPoolExecutor(max_workers=len(ingested) or 1) as pool:
+        done = dict(zip(ingested, pool.map(one, list(ingested))))
+    return done
 
 
 def build_silver_layer(spark: SparkSession, bronze_paths: Mapping[str, str], target: str,
@@ -72,10 +78,14 @@ def build_silver_layer(spark: SparkSession, bronze_paths: Mapping[str, str], tar
     parts = S.build_silver_parts(b["orders"], b["customers"], b["restaurants"],
                                  b["partners"], now=now, broadcast_dims=broadcast_dims,
                                  **clean_kw)
-    q_path = writers.write_overwrite(parts["quarantine"],
-                                     os.path.join(target, "silver", "quarantine"), fmt)
+    q_path = os.path.join(target, "silver", "quarantine")
     s_path = os.path.join(target, "silver", "orders")
-    writers.write_partitioned(parts["silver"], s_path, [SILVER_PARTITION], fmt=fmt)
+    # independent writes over the staged orders: run them as concurrent jobs
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        q = pool.submit(writers.write_overwrite, parts["quarantine"], q_path, fmt)
+        s = pool.submit(writers.write_partitioned, parts["silver"], s_path,
+                        [SILVER_PARTITION], fmt)
+        q.result(), s.result()
     return {"silver_orders": s_path, "quarantine_orders": q_path,
             "dq_summary": quality.summary(parts["flagged"])}
 
