@@ -101,9 +101,13 @@ def customer_rfm(silver: DataFrame, as_of=None, bucket_order: str = "reference",
     # each tile pass reads its input three times (sample, local rank, counts):
     # read stored customer rows, not the silver aggregation again
     g = materialize(g, "rfm-customers")
+    bucketed = small_rows <= 0 or g.count() > small_rows  # count: parquet metadata
     g = global_ntile(g, rules.RFM_TILES, [("frequency", desc), ("customer_id", False)],
                      out="frequency_score", small_rows=small_rows)
-    g = materialize(g, "rfm-frequency")
+    if bucketed:
+        # the bucketed tiles are a multi-pass plan; stage them before the
+        # second tile reads its input three times
+        g = materialize(g, "rfm-frequency")
     g = global_ntile(g, rules.RFM_TILES, [("monetary", desc), ("customer_id", False)],
                      out="monetary_score", small_rows=small_rows)
     g = g.withColumn("rfm_score", F.col("recency_score") + F.col("frequency_score")
