@@ -59,8 +59,9 @@ def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("restaurant_id"),
         F.col("l_partkey").alias("delivery_partner_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
+        # wall-clock timestamps whatever the reader's timestamp inference
         F.timestamp_add("HOUR", (F.col("l_partkey") % 24).cast("int"),
-                       F.col("o_orderdate")).alias("order_timestamp"),
+                        F.col("o_orderdate")).cast("timestamp_ntz").alias("order_timestamp"),
         F.concat(F.lit(" "), F.lower("n_name"), F.lit(" ")).alias("delivery_city"),
         F.col("o_orderpriority").alias("payment_method"),
         status.alias("order_status"),
@@ -74,7 +75,8 @@ def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_quantity") < 4, F.lit(None))
         .otherwise(F.round(F.col("l_quantity") / F.lit(9.0), 1)).cast("double").alias("rating"),
         F.col("l_partkey").alias("tb1"), F.col("l_suppkey").alias("tb2"),
-        F.col("l_extendedprice").alias("tb3"), F.col("l_shipdate").alias("tb4"),
+        F.col("l_extendedprice").alias("tb3"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("tb4"),
     )
 
 
