@@ -625,8 +625,9 @@ def _snk_table(c: Ctx) -> DataFrame:
 def _publish(c: Ctx) -> DataFrame:
     from ..plans.pipeline import persist_silver
     silver = persist_silver(c.silver, scratch_path(c.spark, "silver-store"))
-    marts = {name: b(silver) for name, b in MART_BUILDERS.items()}
-    paths = writers.publish(marts, scratch_path(c.spark, "gold"))
+    # as pipeline.run: builders published by concurrent jobs
+    builders = {name: (lambda b=b: b(silver)) for name, b in MART_BUILDERS.items()}
+    paths = writers.publish(builders, scratch_path(c.spark, "gold"), parallelism=4)
     return writers.manifest({name: raw.read_path(c.spark, p) for name, p in paths.items()})
 
 
