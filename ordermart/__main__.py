@@ -2,7 +2,7 @@
 
     spark-submit --py-files ordermart.zip -m ordermart \\
         --orders s3://.../orders.csv --customers ... --restaurants ... --partners ... \\
-        --target s3://.../food_delivery [--database food_delivery] [--as-of 2024-06-30]
+        --target s3://.../orders_mart [--database orders_mart] [--as-of 2024-06-30]
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """The end-to-end run: bronze -> silver -> gold, one callable for any scheduler.
 
 Layers are written once and each next layer reads the STORED previous one, so
-nothing upstream is recomputed per mart (the notebooks re-ran silver for every
+nothing upstream is recomputed per mart (the original job re-ran silver for every
 display and for each of two writes). The stages are separate functions so a
 scheduler (or the bench) can run and time them one by one.
 """
