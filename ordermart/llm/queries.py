@@ -4,19 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints
+from . import chat, fingerprints, id_shards, packing
 from .common import table
 
+#: the tricky conversation that op3 formats beside the table
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_turns(turns.unionByName(extra)))
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = id_shards.tokenize_to_shards(table(spark, sf_dir, "documents"),
+                                        public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_fingerprints,)}
+    return {f.__name__: f for f in (op2_packing, op3_chat_format, op8_token_shards, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_chat_format": rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(14 + length(regexp_replace(role, '[\\<#:]', 'xx', 'g')) + length(regexp_replace(text, '[\\<#]', 'xx', 'g'))) AS BIGINT) AS formatted_chars,
+  CAST(0 AS BIGINT) AS n_attachments,
+  CAST(sum(len(list_filter(regexp_split_to_array(text, '[ \t\n\r\f\v]+'), lambda x: x <> ''))) AS BIGINT) AS tokens
+FROM t GROUP BY conv_id"""}
