@@ -1,19 +1,24 @@
 """Winnowing fingerprints of documents, in native column expressions only.
 
-Method: a text's UTF-8 bytes are cut into overlapping k-grams, each hashed to
-32 bits.  Of every window of ``w`` consecutive k-grams the smallest hash is
-chosen, the rightmost on ties, and kept with its byte position.  Two texts that
-share a run of at least ``k + w - 1`` bytes share a chosen hash (the match
-guarantee), wherever the run stands in either text.
+Method: a text is cut into overlapping k-grams, each hashed to 32 bits.  Of
+every window of ``w`` consecutive k-grams the smallest hash is chosen, the
+rightmost on ties, and kept with its position.  Two texts that share a run of
+at least ``k + w - 1`` units share a chosen hash (the match guarantee),
+wherever the run stands in either text.
+
+The units are words between white space.  A text whose words are over
+``LONG_WORD`` bytes on average (no white space to speak of) is cut into UTF-8
+bytes instead, with k and w of its own.
 
 A chosen k-gram is one long: hash in the upper 32 bits, ``MAX_POS - position``
 in the lower 31, so that the plain minimum of a window is already "smallest
 hash, rightmost position".
 
-Defined results: a null text counts as empty; an empty text has no k-grams and
-an empty fingerprint; a text below k bytes is one gram of its whole length;
-fewer than ``w`` grams form one window.  Likeness of two empty fingerprints is
-1.  Extra columns are ignored.  Equal texts have equal fingerprints.
+Defined results: a null text counts as empty; an empty text, or one of white
+space only, has an empty fingerprint; a text below k units is one gram of its
+whole length; fewer than ``w`` grams form one window.  Likeness of two empty
+fingerprints is 1.  Extra columns are ignored.  Equal texts have equal
+fingerprints.
 """
 
 from __future__ import annotations
@@ -23,8 +28,10 @@ from pyspark.sql import functions as F
 
 from .common import shuffle_partitions
 
-K, W = 16, 16
+K, W = 3, 6  # words
+BYTE_K, BYTE_W, LONG_WORD = 16, 16, 24
 MAX_POS = 2**31 - 1
+WHITE_SPACE = "[ \\t-\\r]+"
 
 
 def bind(value: Column, body) -> Column:
@@ -32,15 +39,26 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def gram_hashes(data: Column, k: int) -> Column:
+def _packed(digest: Column, position: Column) -> Column:
+    high = F.shiftleft(F.shiftrightunsigned(digest, 32), 31)
+    return high + (F.lit(MAX_POS).cast("long") - position.cast("long"))
+
+
+def byte_grams(data: Column, k: int) -> Column:
     """Packed (hash, position) of every k-gram of a binary value."""
     last = F.greatest(F.octet_length(data) - F.lit(k - 1), F.lit(1))
+    return F.transform(F.sequence(F.lit(1), last), lambda i: _packed(
+        F.xxhash64(F.substring(data, i, F.lit(k))), i - F.lit(1)))
+
 
-    def packed(i: Column) -> Column:
-        h = F.shiftrightunsigned(F.xxhash64(F.substring(data, i, F.lit(k))), 32)
-        return F.shiftleft(h, 31) + (F.lit(MAX_POS).cast("long") - (i - F.lit(1)).cast("long"))
+def word_grams(words: Column, k: int) -> Column:
+    """Packed (hash, position) of every k-gram of an array of words."""
+    def grams(one: Column) -> Column:
+        n = F.greatest(F.size(one) - F.lit(k - 1), F.lit(1))
+        return F.transform(F.slice(one, F.lit(1), n), lambda x, i: _packed(
+            F.xxhash64(x, *[F.get(one, i + F.lit(j)) for j in range(1, k)]), i))
 
-    return F.transform(F.sequence(F.lit(1), last), packed)
+    return bind(F.transform(words, lambda w: F.xxhash64(w)), grams)
 
 
 def window_minima(hashes: Column, w: int) -> Column:
@@ -62,11 +80,18 @@ def window_minima(hashes: Column, w: int) -> Column:
 
 def winnow(text: Column, k: int = K, w: int = W) -> Column:
     """Chosen k-grams of a text as packed longs, in order of position."""
-    data = F.coalesce(text, F.lit("")).cast("binary")
-    chosen = bind(data, lambda b: bind(
-        gram_hashes(b, k), lambda h: F.array_distinct(window_minima(h, w))))
-    return F.when(F.octet_length(F.coalesce(text, F.lit(""))) > 0, chosen).otherwise(
-        F.array().cast("array<bigint>"))
+    text = F.coalesce(text, F.lit(""))
+
+    def chosen(grams: Column, width: int) -> Column:
+        return bind(grams, lambda h: F.array_distinct(window_minima(h, width)))
+
+    def of(words: Column) -> Column:
+        in_bytes = bind(text.cast("binary"), lambda b: chosen(byte_grams(b, BYTE_K), BYTE_W))
+        return (F.when(F.size(words) == 0, F.array().cast("array<bigint>"))
+                .when(F.octet_length(text) > F.lit(LONG_WORD) * F.size(words), in_bytes)
+                .otherwise(chosen(word_grams(words, k), w)))
+
+    return bind(F.array_remove(F.split(text, WHITE_SPACE), F.lit("")), of)
 
 
 def hashes(chosen: Column) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, id_shards, packing
+from . import chat, fingerprints, id_shards, packing, pieces, quality, secrets
 from .common import table
 
 #: the tricky conversation that op3 formats beside the table
@@ -27,18 +27,42 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(extra)))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", secrets.spans("text").alias("found"))
+    return found.select("doc_id", *secrets.report(F.col("found")))
+
+
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = id_shards.tokenize_to_shards(table(spark, sf_dir, "documents"),
                                         public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the text they decode to: number and crc32 of
+    the ids, digest of the decoded text, and whether that is the text (marks
+    U+2581 read as spaces)."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = pieces.decode(pieces.encode(docs, model), model)
+    return rows.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.replace("text", F.lit(pieces.MARK), F.lit(" "))).alias("round_trip"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op3_chat_format, op8_token_shards, op10_fingerprints)}
+    return {f.__name__: f for f in (
+        op2_packing, op3_chat_format, op5_quality, op6_secrets, op8_token_shards, op9_sentencepiece,
+        op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
