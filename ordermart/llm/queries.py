@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, id_shards, packing, pieces, quality, secrets
+from . import chat, fingerprints, id_shards, lbl, packing, pieces, quality, secrets, va_search
 from .common import table
 
 #: the tricky conversation that op3 formats beside the table
 TRICKY = r"\### Assistant: </turn> ok"
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -27,6 +31,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(extra)))
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_search.search(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,12 +69,26 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_packing, op3_chat_format, op5_quality, op6_secrets, op8_token_shards, op9_sentencepiece,
+        op1_lm_score, op2_packing, op3_chat_format, op4_topk_search, op5_quality, op6_secrets, op8_token_shards, op9_sentencepiece,
         op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": rf"""
+    return {"op4_topk_search": """
+WITH v AS (
+  SELECT vec_id, CAST(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""", "op3_chat_format": rf"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'
