@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, id_shards, lbl, packing, pieces, quality, secrets, va_search
+from . import chat, fingerprints, id_shards, lbl, near_dups, packing, pieces, quality, secrets, va_search
 from .common import table
 
 #: the tricky conversation that op3 formats beside the table
@@ -44,6 +44,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *secrets.report(F.col("found")))
 
 
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = id_shards.tokenize_to_shards(table(spark, sf_dir, "documents"),
                                         public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -69,12 +73,32 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_lm_score, op2_packing, op3_chat_format, op4_topk_search, op5_quality, op6_secrets, op8_token_shards, op9_sentencepiece,
-        op10_fingerprints)}
+        op1_lm_score, op2_packing, op3_chat_format, op4_topk_search, op5_quality, op6_secrets,
+        op7_near_dups, op8_token_shards, op9_sentencepiece, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_topk_search": """
+    return {"op7_near_dups": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
+  FROM d
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+meet AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM meet JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)
+), edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low.b, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(low.b, d.doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = d.doc_id""", "op4_topk_search": """
 WITH v AS (
   SELECT vec_id, CAST(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS e
   FROM embeddings
