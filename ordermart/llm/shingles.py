@@ -31,8 +31,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power_tables(n: int) -> list[np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         with np.errstate(over="ignore"):
-            _powers[:] = [np.cumprod(np.concatenate([[1], np.full(n - 1, b)]).astype(np.uint64), dtype=np.uint64)
-                          for b in (np.uint64(_BASE), np.uint64(_INVERSE))]
+            steps = [np.full(n, b, np.uint64) for b in (_BASE, _INVERSE)]
+            for s in steps:
+                s[0] = 1
+            _powers[:] = [np.cumprod(s, dtype=np.uint64) for s in steps]
     return _powers
 
 
