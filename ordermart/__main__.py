@@ -1,6 +1,6 @@
 """Command line: run the whole pipeline once (for any scheduler).
 
-    spark-submit --py-files ordermart.zip -m ordermart \\
+    spark-submit --py-files ordermart.zip tools/run_pipeline.py \\
         --orders s3://.../orders.csv --customers ... --restaurants ... --partners ... \\
         --target s3://.../orders_mart [--database orders_mart] [--as-of 2024-06-30]
 """

@@ -3,7 +3,7 @@
 ``round(avg(double), 2)`` depends on the order in which partial sums are
 combined, so two engines (or two runs with different partitioning) can round a
 half-cent differently. Everything here works on integer units (cents for money,
-tenths for one-decimal ratings): sums are exact, and averages / ratios are
+millionths for ratings, which keeps their digits): sums are exact, and averages / ratios are
 rounded HALF_UP from an exact integer numerator and denominator. Results stay
 ``double`` at the boundary so output schemas match the reference.
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CENTS = 100
-TENTHS = 10
+MILLIONTHS = 1_000_000
 
 
 def units(c: Column | str, scale: int = CENTS) -> Column:

@@ -62,11 +62,13 @@ def restaurant_completion(silver: DataFrame) -> DataFrame:
                         pct(F.col("delivered_orders"), F.col("total_orders")))
 
 
-def partner_speed_rank(silver: DataFrame, small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
+def partner_speed_rank(silver: DataFrame, small_rows: int = SMALL_RANK_ROWS,
+                       buckets: int | None = None) -> DataFrame:
     """Partner KPI plus ``global_speed_rank`` (dense rank, fastest first)."""
     perf = materialize(marts.partner_performance(silver), "partner-performance")
     return global_dense_rank(perf, "avg_delivery_time", descending=False,
-                             out="global_speed_rank", small_rows=small_rows)
+                             out="global_speed_rank", buckets=buckets,
+                             small_rows=small_rows)
 
 
 def meal_heatmap(silver: DataFrame) -> DataFrame:
@@ -119,8 +121,9 @@ def cuisine_discount(silver: DataFrame) -> DataFrame:
     )
 
 
-def customer_dense_rank(silver: DataFrame, heavy_rows: int | None = None) -> DataFrame:
+def customer_dense_rank(silver: DataFrame, heavy_rows: int | None = None,
+                        buckets: int | None = None) -> DataFrame:
     """Dense rank of each order's amount within its customer (largest = 1)."""
     base = silver.select("order_id", "customer_id", "final_amount")
     return dense_rank_within(base, "customer_id", "final_amount", descending=True,
-                             out="spend_rank", heavy_rows=heavy_rows)
+                             out="spend_rank", buckets=buckets, heavy_rows=heavy_rows)

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import units, units_to_double
+from ..session import materialize
 from .ranks import with_buckets
 
 OUT_COLS = ["customer_order_number", "previous_order_amount", "running_customer_revenue"]
@@ -64,7 +65,8 @@ def customer_history(df: DataFrame, cust: str = "customer_id", date: str = "orde
                      bounds_from: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
     order = [(cust, False), (date, False), (oid, False)]
     b = with_buckets(df, order, bounds_from=bounds_from, buckets=buckets).drop("_key")
-    b = b.withColumn("_c", units(amount))
+    # read by the local windows, the segment summary and the day summary
+    b = materialize(b.withColumn("_c", units(amount)), "history-buckets")
     seg_keys = ["_bkt", cust]
 
     ordered = Window.partitionBy(*seg_keys).orderBy(date, oid)
@@ -153,8 +155,12 @@ def customer_history_hybrid(df: DataFrame, cust: str = "customer_id", date: str
         return customer_history(df, bounds_from=bounds_from, buckets=buckets, **kw)
     if not heavy:
         return customer_history_window(df, **kw)
-    is_heavy = F.col(cust).isin(heavy)  # NULL key: never heavy (one plain group)
-    light = customer_history_window(df.filter(~is_heavy | F.col(cust).isNull()), **kw)
+    # the split must be a true/false test for every row: x IN (..., NULL) is not
+    named = [k for k in heavy if k is not None]
+    is_heavy = F.coalesce(F.col(cust).isin(named), F.lit(False))
+    if len(named) < len(heavy):  # orders without a customer are many: split them too
+        is_heavy = is_heavy | F.col(cust).isNull()
+    light = customer_history_window(df.filter(~is_heavy), **kw)
     src = bounds_from.filter(is_heavy) if bounds_from is not None else None
     hot = customer_history(df.filter(is_heavy), bounds_from=src, buckets=buckets, **kw)
     return light.unionByName(hot)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.calendar import days_since, hour_of, month_label
-from ..functions.money import avg_int, avg_money, half_up_ratio, pct, sum_money, units, TENTHS
+from ..functions.money import avg_int, avg_money, half_up_ratio, pct, sum_money, units, MILLIONTHS
 from ..session import materialize
 from .ranks import SMALL_RANK_ROWS, global_dense_rank, global_ntile, top_k_with_ties
 
@@ -26,17 +26,26 @@ def _count_if(cond: Column) -> Column:
 
 def order_summary(silver: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """KPI 1: one row, also on empty input."""
-    distinct = F.countDistinct if exact_distinct else F.approx_count_distinct
-    agg = silver.agg(
+    keys = {"total_customers": "customer_id", "total_restaurants": "restaurant_id",
+            "total_partners": "delivery_partner_id"}
+    plain = [
         F.count("order_id").alias("total_orders"),
-        distinct("customer_id").alias("total_customers"),
-        distinct("restaurant_id").alias("total_restaurants"),
-        distinct("delivery_partner_id").alias("total_partners"),
         sum_money("final_amount").alias("total_revenue"),
         avg_money("final_amount").alias("avg_order_value"),
         _count_if(F.col("order_status") == "DELIVERED").alias("delivered_orders"),
         _count_if(F.col("order_status") == "CANCELLED").alias("cancelled_orders"),
-    )
+    ]
+    if exact_distinct:
+        # one distinct per column on its own pruned scan (several in one
+        # aggregate would multiply the fact's rows); single rows, put together
+        agg = silver.agg(*plain)
+        for name, key in keys.items():
+            agg = agg.unionByName(silver.select(key).distinct().agg(F.count(key).alias(name)),
+                                  allowMissingColumns=True)
+        agg = agg.agg(*[F.max(c).alias(c) for c in agg.columns])
+    else:
+        agg = silver.agg(*plain, *[F.approx_count_distinct(k).alias(n) for n, k in keys.items()])
+    agg = agg.select("total_orders", *keys, *[c for c in agg.columns if c != "total_orders" and c not in keys])
     return agg.withColumns({
         "delivery_rate_pct": pct(F.col("delivered_orders"), F.col("total_orders")),
         "cancellation_rate_pct": pct(F.col("cancelled_orders"), F.col("total_orders")),
@@ -58,7 +67,7 @@ def restaurant_performance(silver: DataFrame, small_rows: int = SMALL_RANK_ROWS)
     g = silver.groupBy("restaurant_id", "restaurant_name", "cuisine_type", "delivery_city").agg(
         F.count("order_id").alias("total_orders"),
         sum_money("final_amount").alias("total_revenue"),
-        avg_money("rating", scale=TENTHS).alias("avg_rating"),
+        avg_money("rating", scale=MILLIONTHS).alias("avg_rating"),
         avg_int("delivery_time_minutes").alias("avg_delivery_time"),
     )
     g = materialize(g, "restaurant-groups")  # read by the sample, rank and join passes
@@ -83,12 +92,12 @@ def rfm_segment(score: Column) -> Column:
 
 
 def customer_rfm(silver: DataFrame, as_of=None, bucket_order: str = "reference",
-                 small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
+                 small_rows: int = SMALL_RANK_ROWS, buckets: int | None = None) -> DataFrame:
     """KPI 4: recency band + frequency and monetary tiles + segment.
 
     ``bucket_order="reference"`` keeps the pipeline's tiles (ordered
     DESCENDING, so the best customers get tile 1); ``"ascending"`` gives the
-    conventional RFM where 5 is best. Tile ties break on ``customer_id``.
+    conventional RFM where 5 is best. Tile ties break on the group keys.
     """
     g = silver.groupBy("customer_id", "customer_name", "city", "loyalty_tier").agg(
         F.max("order_date").alias("last_order_date"),
@@ -101,15 +110,18 @@ def customer_rfm(silver: DataFrame, as_of=None, bucket_order: str = "reference",
     # each tile pass reads its input three times (sample, local rank, counts):
     # read stored customer rows, not the silver aggregation again
     g = materialize(g, "rfm-customers")
-    bucketed = small_rows <= 0 or g.count() > small_rows  # count: parquet metadata
-    g = global_ntile(g, rules.RFM_TILES, [("frequency", desc), ("customer_id", False)],
-                     out="frequency_score", small_rows=small_rows)
+    n = g.count()  # parquet metadata
+    bucketed = small_rows <= 0 or n > small_rows
+    # a duplicated dimension row gives two groups of one id: all group keys break ties
+    ties = [(c, False) for c in ("customer_id", "customer_name", "city", "loyalty_tier")]
+    g = global_ntile(g, rules.RFM_TILES, [("frequency", desc), *ties],
+                     out="frequency_score", small_rows=small_rows, rows=n, buckets=buckets)
     if bucketed:
         # the bucketed tiles are a multi-pass plan; stage them before the
         # second tile reads its input three times
         g = materialize(g, "rfm-frequency")
-    g = global_ntile(g, rules.RFM_TILES, [("monetary", desc), ("customer_id", False)],
-                     out="monetary_score", small_rows=small_rows)
+    g = global_ntile(g, rules.RFM_TILES, [("monetary", desc), *ties],
+                     out="monetary_score", small_rows=small_rows, rows=n, buckets=buckets)
     g = g.withColumn("rfm_score", F.col("recency_score") + F.col("frequency_score")
                      + F.col("monetary_score"))
     return g.withColumn("segment", rfm_segment(F.col("rfm_score"))).select(
@@ -142,7 +154,7 @@ def partner_performance(silver: DataFrame) -> DataFrame:
          .groupBy("delivery_partner_id", "partner_name", "vehicle_type").agg(
              F.count("order_id").alias("deliveries"),
              avg_int("delivery_time_minutes").alias("avg_delivery_time"),
-             avg_money("rating", scale=TENTHS).alias("avg_rating"),
+             avg_money("rating", scale=MILLIONTHS).alias("avg_rating"),
          ))
     return g.withColumn("performance_tier",
                         partner_tier(F.col("avg_rating"), F.col("avg_delivery_time")))
@@ -212,7 +224,7 @@ def cuisine_performance(silver: DataFrame) -> DataFrame:
     return silver.groupBy("cuisine_type").agg(
         F.count("order_id").alias("orders"),
         sum_money("final_amount").alias("revenue"),
-        avg_money("rating", digits=1, scale=TENTHS).alias("avg_rating"),
+        avg_money("rating", digits=1, scale=MILLIONTHS).alias("avg_rating"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..schemas import CORRUPT_COL
 
 _OPS = {
     "<=": lambda c, v: c <= v,
@@ -50,7 +51,7 @@ def classify(orders: DataFrame, null_policy: str = "pass") -> DataFrame:
 def split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean rows without ``dq_flag``, quarantined rows with it)."""
     ok = F.col("dq_flag") == rules.OK_FLAG
-    return flagged.filter(ok).drop("dq_flag"), flagged.filter(~ok)
+    return flagged.filter(ok).drop("dq_flag", CORRUPT_COL), flagged.filter(~ok)
 
 
 def summary(flagged: DataFrame, per_flag: Sequence[str] | None = None) -> DataFrame:
@@ -60,7 +61,8 @@ def summary(flagged: DataFrame, per_flag: Sequence[str] | None = None) -> DataFr
     separate ``count()`` actions and a driver-built DataFrame.
     """
     flags = list(per_flag) if per_flag is not None else (
-        [r[0] for r in rules.DQ_RULES] + [rules.UNKNOWN_STATUS_FLAG])
+        [r[0] for r in rules.DQ_RULES] + [rules.UNKNOWN_STATUS_FLAG]
+        + ([rules.MALFORMED_FLAG] if CORRUPT_COL in flagged.columns else []))
     ok = F.col("dq_flag") == rules.OK_FLAG
     aggs = [F.count(F.lit(1)).alias("total_records"),
             F.count_if(ok).alias("valid_records"),

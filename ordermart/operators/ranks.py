@@ -8,7 +8,7 @@ numbers with the work spread over many tasks:
    ``1.5 * sample / rows`` (a map-side filter; the driver receives about
    ``1.5 * sample`` rows whatever the data size) gives ``B-1`` split points.
 2. **Bucket.** Each row's bucket is a pure function of its key and those
-   literal bounds (a binary-search ``CASE`` tree, about log2(B) comparisons),
+   literal bounds (a binary search in a literal array, log2(B) comparisons),
    so a re-executed task puts every row in the same bucket again.
 3. **Local rank** inside each bucket with a window partitioned by the bucket.
 4. **Offsets.** Per-bucket counts (partial aggregation) and a prefix sum over
@@ -40,7 +40,7 @@ from ..session import materialize
 
 OrderSpec = Sequence[tuple[str, bool]]  # (column, descending)
 
-SMALL_RANK_ROWS = 2_000_000
+SMALL_RANK_ROWS = 200_000
 MAX_BUCKETS = 4096
 SAMPLE_PER_BUCKET = 16
 SEED = 20240917
@@ -64,21 +64,44 @@ def sort_key(df: DataFrame, order: OrderSpec) -> Column:
     """A struct whose plain ascending order is the requested order.
 
     Spark orders ASC with NULLS FIRST and DESC with NULLS LAST; each column
-    contributes a null flag and a value (negated for DESC, numeric only).
+    contributes a null flag and a value (turned round for DESC).
     """
     fields = []
     types = {f.name: f.dataType for f in df.schema.fields}
     for i, (name, desc) in enumerate(order):
         c = F.col(name)
         if desc:
-            if not isinstance(types[name], T.NumericType):
-                raise TypeError(f"descending bucketed order needs a numeric column: {name}")
-            fields += [c.isNull().alias(f"n{i}"), (-c).alias(f"v{i}")]
+            fields += [c.isNull().alias(f"n{i}"),
+                       *[x.alias(f"v{i}_{j}") for j, x in enumerate(_turned(c, types[name]))]]
         else:
             fields += [c.isNotNull().alias(f"n{i}"), c.alias(f"v{i}")]
     return F.struct(*fields)
 
 
+def _turned(c: Column, t: T.DataType) -> list[Column]:
+    """Columns whose ascending order is the descending order of ``c``."""
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        # NaN is the largest value, so it comes first
+        return [F.coalesce(~F.isnan(c), F.lit(True)), F.when(~F.isnan(c), -c)]
+    if isinstance(t, T.NumericType):
+        # -1 - x reaches every integer where -x overflows on the smallest
+        return [-F.lit(1) - c] if isinstance(t, T.IntegralType) else [-c]
+    if isinstance(t, T.BooleanType):
+        return [~c]
+    if isinstance(t, T.DateType):
+        return [-F.unix_date(c)]
+    if isinstance(t, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return [-F.timestamp_diff("MICROSECOND", epoch, c)]
+    if isinstance(t, T.TimestampType):
+        return [-F.unix_micros(c)]
+    if isinstance(t, T.StringType):
+        # inverted hex digits, and an end mark above them: a prefix comes last
+        turned = F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210")
+        return [F.concat(turned, F.lit("G"))]
+    raise TypeError(f"no descending order for {t.simpleString()}")
+
+
 def _sql_literal(v, t: T.DataType) -> str:
     """A typed SQL literal for one bound value (exact for doubles via repr)."""
     sql_type = t.simpleString()
@@ -139,22 +162,18 @@ def sample_bounds(df: DataFrame, order: OrderSpec, buckets: int | None = None,
 
 
 def bucket_expr(key_col: str, bounds: list, schema: T.StructType) -> Column:
-    """Number of bounds <= key, as a balanced CASE tree (pure, deterministic).
+    """Number of bounds <= key: a binary search in one literal array.
 
-    Built as one SQL expression string (a single call into the JVM however
-    many bounds there are); each row evaluates about log2(B) comparisons.
+    The array is folded into a constant, and the search is one ``aggregate``
+    over the step sizes, so the expression's code does not grow with the number
+    of bounds. Past the array's end ``get`` is NULL, which means "not below".
     """
-    lits = [_lit_struct(b, schema) for b in bounds]
-
-    def search(lo: int, hi: int) -> str:
-        # bounds[lo-1] <= key < bounds[hi] is known; answer lies in [lo, hi]
-        if lo >= hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return (f"CASE WHEN `{key_col}` >= {lits[mid]} THEN {search(mid + 1, hi)} "
-                f"ELSE {search(lo, mid)} END")
-
-    return F.expr(search(0, len(lits)))
+    if not bounds:
+        return F.lit(0)
+    cuts = f"array({', '.join(_lit_struct(b, schema) for b in bounds)})"
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    return F.expr(f"aggregate(array({', '.join(map(str, steps))}), 0, (at, step) -> "
+                  f"if(get({cuts}, at + step - 1) <= `{key_col}`, at + step, at))")
 
 
 def with_buckets(df: DataFrame, order: OrderSpec, bucket_col: str = "_bkt",
@@ -179,29 +198,29 @@ def window_order(order: OrderSpec) -> list[Column]:
     return [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in order]
 
 
-def _small(df: DataFrame, small_rows: int) -> int | None:
-    """Row count when it is within ``small_rows``, else None."""
+def _small(df: DataFrame, small_rows: int, rows: int | None = None) -> int | None:
+    """Row count (``rows`` when known) when it is within ``small_rows``, else None."""
     if small_rows <= 0:
         return None
-    n = df.count()
+    n = df.count() if rows is None else rows
     return n if n <= small_rows else None
 
 
 def global_row_number(df: DataFrame, order: OrderSpec, out: str = "row_number",
                       total_col: str | None = None, bounds_from: DataFrame | None = None,
                       buckets: int | None = None,
-                      small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
+                      small_rows: int = SMALL_RANK_ROWS, rows: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY order)`` computed bucket-parallel.
 
-    ``order`` must be a total order (end it with a unique column) for the result
+    ``rows``: the input's row count when already known. ``order`` must be a total order (end it with a unique column) for the result
     to be deterministic. Optionally adds the total row count as ``total_col``.
     """
-    n = _small(df, small_rows)
+    n = _small(df, small_rows, rows)
     if n is not None:
         out_df = df.withColumn(out, F.row_number().over(
             Window.orderBy(*window_order(order))).cast("long"))
         return out_df.withColumn(total_col, F.lit(n).cast("long")) if total_col else out_df
-    b = with_buckets(df, order, bounds_from=bounds_from, buckets=buckets)
+    b = with_buckets(df, order, bounds_from=bounds_from, buckets=buckets, rows_hint=rows)
     offsets, total = bucket_offsets(b)
     local = b.withColumn("_lrn", F.row_number().over(
         Window.partitionBy("_bkt").orderBy("_key")))
@@ -256,12 +275,14 @@ def ntile_from_row_number(rn: Column, total: Column, n: int) -> Column:
 
 
 def global_ntile(df: DataFrame, n: int, order: OrderSpec, out: str = "ntile",
-                 buckets: int | None = None, small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
-    """``ntile(n) OVER (ORDER BY order)`` with a total order, bucket-parallel."""
-    if _small(df, small_rows) is not None:
+                 buckets: int | None = None, small_rows: int = SMALL_RANK_ROWS,
+                 rows: int | None = None) -> DataFrame:
+    """``ntile(n) OVER (ORDER BY order)`` with a total order, bucket-parallel.
+    ``rows``: the input's row count when already known."""
+    if _small(df, small_rows, rows) is not None:
         return df.withColumn(out, F.ntile(n).over(Window.orderBy(*window_order(order))))
     numbered = global_row_number(df, order, out="_rn", total_col="_tot", buckets=buckets,
-                                 small_rows=0)
+                                 small_rows=0, rows=rows)
     return numbered.withColumn(out, ntile_from_row_number(F.col("_rn"), F.col("_tot"), n)) \
         .drop("_rn", "_tot")
 

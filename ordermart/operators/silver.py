@@ -17,7 +17,7 @@ from .. import rules
 from ..functions.calendar import is_weekend, local_load_time
 from ..functions.text import normalise_city
 from ..session import materialize
-from ..schemas import CUSTOMER_DIM_COLS, PARTNER_DIM_COLS, RESTAURANT_DIM_COLS
+from ..schemas import CORRUPT_COL, CUSTOMER_DIM_COLS, PARTNER_DIM_COLS, RESTAURANT_DIM_COLS
 from . import quality
 from .history import (HEAVY_ROWS, customer_history, customer_history_hybrid,
                       customer_history_window)
@@ -82,22 +82,36 @@ def clean(orders: DataFrame, key: str = "order_id", order_by: Sequence[str] | No
     d = dedup(orders, key, order_by)
     if drop:
         d = d.drop(*drop)
-    return enforce_types(recompute_final(normalise_cities(fill_defaults(d), city_aliases)))
+    return _normalise(d, city_aliases)
+
+
+def _normalise(orders: DataFrame, city_aliases: Mapping[str, str] | None = None) -> DataFrame:
+    return enforce_types(recompute_final(normalise_cities(fill_defaults(orders), city_aliases)))
 
 
 # -------------------------------------------------------------- enrichment --
 
-BROADCAST_MAX_ROWS = 5_000_000
+BROADCAST_MAX_BYTES = 64 << 20
+ROW_BYTES = 16  # a row's own cost in a hash table, beside its values
+
+
+def data_bytes(df: DataFrame) -> int:
+    """Bytes of all values (8 for each that is not text) and rows; one pass."""
+    size = F.lit(ROW_BYTES)
+    for f in df.schema.fields:
+        text = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) + 8 if text else F.lit(8))
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
 
 
 def _dim(df: DataFrame, cols: Sequence[str], broadcast: bool | int) -> DataFrame:
     """Projected dimension; with ``broadcast`` the hint is added only after a
-    row count proves the dimension within the bound (True = BROADCAST_MAX_ROWS)."""
+    pass over it proves its bytes within the bound (True = BROADCAST_MAX_BYTES)."""
     d = df.select(*cols)
     if broadcast is False or broadcast is None:
         return d
-    bound = BROADCAST_MAX_ROWS if broadcast is True else int(broadcast)
-    return F.broadcast(d) if d.count() <= bound else d
+    bound = BROADCAST_MAX_BYTES if broadcast is True else int(broadcast)
+    return F.broadcast(d) if data_bytes(d) <= bound else d
 
 
 def unique_dimension(dim: DataFrame, key: str) -> DataFrame:
@@ -120,9 +134,9 @@ def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame
     ``broadcast_dims=False`` leaves the strategy to Spark: a dimension below
     ``spark.sql.autoBroadcastJoinThreshold`` (estimated from its scan size) or
     found small at runtime by AQE is broadcast; a large one is joined by
-    shuffle (AQE splits skewed fact partitions). ``True`` (or a row bound)
-    counts each dimension and hints a broadcast only for those within the
-    bound; the rest are still left to Spark.
+    shuffle (AQE splits skewed fact partitions). ``True`` (or a bound in
+    bytes) measures each dimension and hints a broadcast only for those within
+    the bound; the rest are still left to Spark.
 
     The customer join comes first: after the history window the fact is
     already hash-partitioned by customer, so a shuffle join on customer_id
@@ -187,7 +201,16 @@ def with_history(silver: DataFrame, skew_safe: bool = True,
 # ------------------------------------------------------------------ build --
 
 def flagged_orders(raw_orders: DataFrame, null_policy: str = "pass", **clean_kw) -> DataFrame:
-    return quality.classify(clean(raw_orders, **clean_kw), null_policy)
+    """Clean, classified orders. Records that the raw scan could not parse
+    (``CORRUPT_COL``) are flagged MALFORMED and take no part in dedup, where
+    their NULL ids would merge them."""
+    if CORRUPT_COL not in raw_orders.columns:
+        return quality.classify(clean(raw_orders, **clean_kw), null_policy)
+    broken = F.col(CORRUPT_COL).isNotNull()
+    good = quality.classify(clean(raw_orders.filter(~broken), **clean_kw), null_policy)
+    bad = _normalise(raw_orders.filter(broken).drop(*clean_kw.get("drop", ())),
+                     clean_kw.get("city_aliases"))
+    return good.unionByName(bad.withColumn("dq_flag", F.lit(rules.MALFORMED_FLAG)))
 
 
 def build_silver(raw_orders: DataFrame, customers: DataFrame, restaurants: DataFrame,
@@ -216,15 +239,13 @@ def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants:
     summary aggregates all read that copy, so the dedup shuffle runs once.
     The customer-history windows run on the clean fact BEFORE the dimension
     joins, so they shuffle only the order columns; bucket bounds are sampled
-    from the raw input.
+    from the staged rows.
     """
     flagged = flagged_orders(raw_orders, null_policy, **clean_kw)
     if stage:
         flagged = materialize(flagged, "flagged-orders")
     clean_rows, quarantine = quality.split(flagged)
-    hist = with_history(clean_rows, skew_safe,
-                        bounds_from=raw_orders.select("customer_id", "order_date", "order_id"),
-                        heavy_rows=heavy_rows)
+    hist = with_history(clean_rows, skew_safe, heavy_rows=heavy_rows)
     silver = derive(enrich(hist, customers, restaurants, partners, broadcast_dims,
                            dedup_dims, normalise_dims))
     silver = silver.withColumn("silver_load_time", local_load_time(now))

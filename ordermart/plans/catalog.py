@@ -9,6 +9,7 @@ Source and sink keys do real I/O into the shared scratch folder
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -19,11 +20,12 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.calendar import days_since, local_load_time
 from ..operators import extensions as X
+from ..operators import history as H
 from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators import silver as S
-from ..schemas import CUSTOMER_DIM_COLS, PARTNER_DIM_COLS, RESTAURANT_DIM_COLS
-from ..session import scratch_path
+from ..schemas import CORRUPT_COL, CUSTOMER_DIM_COLS, PARTNER_DIM_COLS, RESTAURANT_DIM_COLS
+from ..session import materialize, scratch_path
 from ..sinks import writers
 from ..sinks.writers import write_raw_csv
 from ..sources import bronze, raw
@@ -32,6 +34,8 @@ from . import oracle as O
 from .oracle import AS_OF, NOW, q
 
 Builder = Callable[[SparkSession, str], DataFrame]
+# buckets of the keys that exercise the bucketed paths
+MANY_BUCKETS = 64
 
 
 @dataclass
@@ -71,18 +75,15 @@ class Ctx:
 
     @cached_property
     def history(self) -> DataFrame:
-        return S.with_history(self.clean, bounds_from=self._bounds_src)
+        return S.with_history(self.clean)
 
     @cached_property
     def history_split(self) -> DataFrame:
         """Every customer through the bucketed (skew-safe) path, whatever its
-        size: the operator-level window keys use it, so the oracle checks the
-        path that big customers take at scale."""
-        return S.with_history(self.clean, bounds_from=self._bounds_src, heavy_rows=0)
-
-    @property
-    def _bounds_src(self) -> DataFrame:
-        return self.star.orders.select("customer_id", "order_date", "order_id")
+        size, in many buckets: the operator-level window keys use it, so the
+        oracle checks the path that big customers take at scale. Staged first,
+        so the sample and the windows do not run the dedup again."""
+        return H.customer_history(materialize(self.clean, "clean-orders"), buckets=MANY_BUCKETS)
 
     def enrich(self, df: DataFrame) -> DataFrame:
         st = self.star
@@ -147,7 +148,7 @@ MART_SQL = {
         FROM (SELECT restaurant_id, restaurant_name, cuisine_type, delivery_city,
                      COUNT(order_id) AS total_orders,
                      {O.sum_money('final_amount')} AS total_revenue,
-                     {O.avg_money('rating', 2, 10)} AS avg_rating,
+                     {O.avg_exact('rating')} AS avg_rating,
                      {O.avg_int('delivery_time_minutes')} AS avg_delivery_time
               FROM silver GROUP BY 1, 2, 3, 4)""",
     "gold_customer_rfm": f"""
@@ -187,7 +188,7 @@ MART_SQL = {
         FROM (SELECT delivery_partner_id, partner_name, vehicle_type,
                      COUNT(order_id) AS deliveries,
                      {O.avg_int('delivery_time_minutes')} AS avg_delivery_time,
-                     {O.avg_money('rating', 2, 10)} AS avg_rating
+                     {O.avg_exact('rating')} AS avg_rating
               FROM silver WHERE order_status = 'DELIVERED' GROUP BY 1, 2, 3)""",
     "gold_payment_analysis": f"""
         SELECT payment_method, COUNT(order_id) AS orders,
@@ -221,7 +222,7 @@ MART_SQL = {
     "gold_cuisine_performance": f"""
         SELECT cuisine_type, COUNT(order_id) AS orders,
                {O.sum_money('final_amount')} AS revenue,
-               {O.avg_money('rating', 1, 10)} AS avg_rating
+               {O.avg_exact('rating', 1)} AS avg_rating
         FROM silver GROUP BY cuisine_type""",
 }
 
@@ -352,6 +353,12 @@ def _silver_enriched(c: Ctx) -> DataFrame:
     return c.enrich(c.clean)
 
 
+@register("join_broadcast_hint", q(_ENRICHED_FROM_CLEAN))
+def _join_broadcast(c: Ctx) -> DataFrame:
+    st = c.star
+    return S.enrich(c.clean, st.customers, st.restaurants, st.partners, broadcast_dims=True)
+
+
 @register("silver_bands", q("""
     SELECT order_id, delivery_time_minutes,
            CASE WHEN delivery_time_minutes <= 30 THEN 'FAST'
@@ -391,6 +398,30 @@ def _win_running(c: Ctx) -> DataFrame:
     return c.history_split.select("order_id", "customer_id", "order_date", "running_customer_revenue")
 
 
+_HEAVY_HIST = f"""
+    , c AS (SELECT * EXCLUDE (customer_id), CASE WHEN customer_id % 3 <> 0 THEN customer_id END
+              AS customer_id FROM clean)
+    SELECT order_id, customer_id,
+      CAST(row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS INTEGER)
+        AS customer_order_number,
+      lag(final_amount) OVER (PARTITION BY customer_id ORDER BY order_date, order_id)
+        AS previous_order_amount,
+      CAST(SUM({O.units('final_amount')}) OVER (PARTITION BY customer_id ORDER BY order_date
+        RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / 100
+        AS running_customer_revenue
+    FROM c"""
+
+
+@register("win_history_null_heavy", q(_HEAVY_HIST))
+def _win_null_heavy(c: Ctx) -> DataFrame:
+    # a third of the orders has no customer: NULL is a heavy key, beside plain ones
+    rows = c.clean.withColumn("customer_id", F.when(F.col("customer_id") % 3 != 0,
+                                                    F.col("customer_id")))
+    out = H.customer_history_hybrid(materialize(rows, "null-heavy"), heavy_rows=30,
+                                    buckets=MANY_BUCKETS)
+    return out.select("order_id", "customer_id", *H.OUT_COLS)
+
+
 @register("silver_orders", q("SELECT * FROM silver"))
 def _silver_orders(c: Ctx) -> DataFrame:
     return ntz(c.silver, "silver_load_time")
@@ -421,7 +452,7 @@ def _rfm_recency(c: Ctx) -> DataFrame:
                             f"({MART_SQL['gold_customer_rfm']})"))
 def _rfm_segments(c: Ctx) -> DataFrame:
     # bucket-parallel tiles regardless of size (the path large inputs take)
-    return M.customer_rfm(c.silver, AS_OF, small_rows=0).select(
+    return M.customer_rfm(c.silver, AS_OF, small_rows=0, buckets=MANY_BUCKETS).select(
         "customer_id", "rfm_score", "segment")
 
 
@@ -493,7 +524,7 @@ def _ext_completion(c: Ctx) -> DataFrame:
     FROM ({MART_SQL['gold_partner_performance']})"""))
 def _ext_speed_rank(c: Ctx) -> DataFrame:
     # bucket-parallel dense rank regardless of size (the path large inputs take)
-    return X.partner_speed_rank(c.silver, small_rows=0)
+    return X.partner_speed_rank(c.silver, small_rows=0, buckets=MANY_BUCKETS)
 
 
 @register("ext_meal_heatmap", q(f"""
@@ -551,7 +582,7 @@ def _ext_cuisine_discount(c: Ctx) -> DataFrame:
     FROM silver"""))
 def _ext_dense_rank(c: Ctx) -> DataFrame:
     # every customer through the bucketed path (the one heavy customers take)
-    return X.customer_dense_rank(c.silver, heavy_rows=0)
+    return X.customer_dense_rank(c.silver, heavy_rows=0, buckets=MANY_BUCKETS)
 
 
 # ------------------------------------------------------- sources / sinks --
@@ -569,17 +600,78 @@ def _src_csv(c: Ctx) -> DataFrame:
 
 @register("bronze_audit", q(f"""
     SELECT {O.RAW_COLS}, tb1, tb2, tb3, tb4, TIMESTAMP '{NOW}' AS ingestion_timestamp,
-           true AS source_is_csv, 'bronze' AS bronze_layer
+           'raw-orders-csv' AS source_folder, 'bronze' AS bronze_layer
     FROM orders_raw"""))
 def _bronze_audit(c: Ctx) -> DataFrame:
     orders = c.star.orders
     path = scratch_path(c.spark, "raw-orders-csv")
     write_raw_csv(orders, path)
     b = bronze.ingest_csv(c.spark, path, orders.schema, now=NOW)
-    # the file path is run-specific; expose that it was captured and from which format
-    return ntz(b, "ingestion_timestamp").withColumn(
-        "source_is_csv", F.col("source_file").endswith(".csv")).drop("source_file")
-
+    # the path of a file, without the run's own part of its folder's name
+    folder = F.regexp_extract("source_file", r"/([a-z-]+)-[0-9a-f]{32}/part-[^/]+\.csv$", 1)
+    return ntz(b, "ingestion_timestamp").withColumn("source_folder", folder).drop(
+        "source_file", CORRUPT_COL)
+
+
+# raw values that no column type can hold, each by a rule on the order id
+_BROKEN = {"order_amount": (11, "1,500.0"), "order_date": (13, "soon"), "customer_id": (17, "x12")}
+_BROKEN_SQL = " OR ".join(f"order_id % {m} = 0" for m, _ in _BROKEN.values())
+
+
+@register("src_csv_malformed", q(f"""
+    , d AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY tb1, tb2, tb3, tb4) AS rn_
+            FROM orders_raw WHERE NOT ({_BROKEN_SQL})),
+    m AS (SELECT COUNT(*) AS n FROM orders_raw WHERE {_BROKEN_SQL}),
+    f AS (SELECT *, {O.DQ_CASE} AS dq_flag FROM (
+            SELECT *, round(order_amount - coalesce(discount_amount, 0.0) + coalesce(tip_amount, 0.0), 2)
+              AS final_amount FROM d WHERE rn_ = 1))
+    SELECT 'rows_in' AS metric, COUNT(*) AS value FROM orders_raw
+    UNION ALL SELECT 'malformed', n FROM m
+    UNION ALL SELECT 'valid', COUNT(*) FROM f WHERE dq_flag = 'OK'
+    UNION ALL SELECT 'quarantine', COUNT(*) FILTER (dq_flag <> 'OK') + (SELECT n FROM m) FROM f
+    UNION ALL SELECT 'merged_duplicates', COUNT(*) FROM d WHERE rn_ > 1
+    UNION ALL SELECT 'records_kept', n FROM m"""))
+def _src_malformed(c: Ctx) -> DataFrame:
+    orders = c.star.orders
+    text = orders.withColumns({
+        name: F.when(F.col("order_id") % m == 0, F.lit(bad)).otherwise(F.col(name).cast("string"))
+        for name, (m, bad) in _BROKEN.items()})
+    path = write_raw_csv(text, scratch_path(c.spark, "raw-orders-csv"))
+    rows = materialize(raw.read_csv(c.spark, path, orders.schema, corrupt=True), "bronze-orders")
+    flagged = S.flagged_orders(rows, order_by=TIEBREAK_COLS, drop=TIEBREAK_COLS)
+    flag = F.col("dq_flag")
+    totals = flagged.agg(
+        F.count_if(flag == rules.MALFORMED_FLAG).alias("malformed"),
+        F.count_if(flag == rules.OK_FLAG).alias("valid"),
+        F.count_if(flag != rules.OK_FLAG).alias("quarantine"),
+        F.count(F.lit(1)).alias("after"), F.count(CORRUPT_COL).alias("records_kept"))
+    wide = rows.agg(F.count(F.lit(1)).alias("rows_in")).join(totals).withColumn(
+        "merged_duplicates", F.col("rows_in") - F.col("after")).drop("after")  # single rows
+    return wide.unpivot([], wide.columns, "metric", "value")
+
+
+@register("src_csv_dimensions", q("""
+    SELECT 'customers' AS source, customer_id AS id, customer_name AS name, city, loyalty_tier AS kind,
+           signup_date AS since, 'bronze' AS bronze_layer FROM customers_raw
+    UNION ALL SELECT 'restaurants', restaurant_id, restaurant_name, city, cuisine_type, NULL, 'bronze'
+    FROM restaurants_raw
+    UNION ALL SELECT 'partners', delivery_partner_id, partner_name, city, vehicle_type, joining_date,
+           'bronze' FROM partners_raw"""))
+def _src_dimensions(c: Ctx) -> DataFrame:
+    cols = {"customers": ("customer_id", "customer_name", "loyalty_tier", "signup_date"),
+            "restaurants": ("restaurant_id", "restaurant_name", "cuisine_type", None),
+            "partners": ("delivery_partner_id", "partner_name", "vehicle_type", "joining_date")}
+    paths = {n: write_raw_csv(df, scratch_path(c.spark, f"raw-{n}-csv"))
+             for n, df in c.star.as_dict().items() if n in cols}
+    read = bronze.ingest_all(c.spark, paths, NOW, {n: c.star.as_dict()[n].schema for n in paths})
+    out = None
+    for n, (key, name, kind, since) in cols.items():
+        part = read[n].select(F.lit(n).alias("source"), F.col(key).alias("id"), F.col(name).alias("name"),
+                              "city", F.col(kind).alias("kind"),
+                              (F.col(since) if since else F.lit(None).cast("date")).alias("since"),
+                              "bronze_layer")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 @register("src_path_scan", _ORDERS_RAW_SQL)
 def _src_path(c: Ctx) -> DataFrame:
@@ -607,7 +699,7 @@ def _snk_roundtrip(c: Ctx) -> DataFrame:
 def _snk_partitioned(c: Ctx) -> DataFrame:
     path = writers.write_partitioned(ntz(c.silver, "silver_load_time"),
                                      scratch_path(c.spark, "silver"), ["delivery_city"])
-    return raw.read_path(c.spark, path)
+    return raw.read_path(c.spark, path, text_partitions=["delivery_city"])
 
 
 @register("snk_table", mart_sql("gold_cuisine_performance"))
@@ -631,6 +723,44 @@ def _publish(c: Ctx) -> DataFrame:
     return writers.manifest({name: raw.read_path(c.spark, p) for name, p in paths.items()})
 
 
+def _scratch_db(spark: SparkSession) -> str:
+    db = f"ordermart_{uuid.uuid4().hex[:8]}"
+    writers.ensure_database(spark, db, scratch_path(spark, "db"))
+    return db
+
+
+@register("publish_catalog", q("\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM ({body})"
+    for name, body in MART_SQL.items())))
+def _publish_catalog(c: Ctx) -> DataFrame:
+    silver = materialize(c.silver, "silver-store")
+    db, root = _scratch_db(c.spark), scratch_path(c.spark, "gold")
+    writers.publish({name: (lambda b=b: b(silver)) for name, b in MART_BUILDERS.items()}, root, db,
+                    parallelism=4)
+    return writers.manifest({name: c.spark.table(f"{db}.{name}") for name in MART_BUILDERS})
+
+
+_SHOWN = ("gold_payment_analysis", "gold_peak_hours", "gold_revenue_city")
+
+
+@register("show_tables", q("\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, false AS is_temporary, COUNT(*) AS row_count FROM ({MART_SQL[name]})"
+    for name in _SHOWN)))
+def _show_tables(c: Ctx) -> DataFrame:
+    db = _scratch_db(c.spark)
+    silver = materialize(c.silver, "silver-store")
+    writers.publish({n: MART_BUILDERS[n](silver) for n in _SHOWN}, scratch_path(c.spark, "gold"), db)
+    shown = writers.list_tables(c.spark, db).filter(F.col("namespace") == db).select(
+        F.col("tableName").alias("table_name"), F.col("isTemporary").alias("is_temporary"))
+    return shown.join(writers.manifest({n: c.spark.table(f"{db}.{n}") for n in _SHOWN}), "table_name")
+
+
+@register("preview_limit", q(f"SELECT * FROM ({MART_SQL['gold_revenue_city']}) "
+                             f"ORDER BY total_revenue DESC LIMIT 5"))
+def _preview(c: Ctx) -> DataFrame:
+    return M.present("gold_revenue_city", M.revenue_by_city(c.silver), limit=5)
+
+
 @register("table_manifest", q("""
     SELECT 'bronze_orders' AS table_name, COUNT(*) AS row_count FROM orders_raw
     UNION ALL SELECT 'bronze_customers', COUNT(*) FROM customers_raw

@@ -37,6 +37,12 @@ def avg_money(x: str, digits: int = 2, scale: int = 100) -> str:
     return half_up(f"SUM({units(x, scale)})", f"COUNT({x})", digits, scale)
 
 
+def avg_exact(x: str, digits: int = 2) -> str:
+    """Average of decimal values with up to six digits, rounded HALF_UP."""
+    total = f"CAST(SUM(CAST({x} AS DECIMAL(20, 6))) * 1000000 AS HUGEINT)"
+    return half_up(total, f"COUNT({x})", digits, 1000000)
+
+
 def avg_int(x: str, digits: int = 2) -> str:
     return half_up(f"SUM({x})", f"COUNT({x})", digits)
 
@@ -50,9 +56,9 @@ def pct(a: str, b: str) -> str:
 ADAPTER = """
 orders_raw AS (
   SELECT l_orderkey * 10 + l_linenumber AS order_id,
-         o_custkey AS customer_id,
-         l_suppkey AS restaurant_id,
-         l_partkey AS delivery_partner_id,
+         CASE WHEN l_orderkey % 19 <> 0 THEN o_custkey END AS customer_id,
+         CASE WHEN l_partkey % 23 <> 0 THEN l_suppkey END AS restaurant_id,
+         CASE WHEN l_suppkey % 29 <> 0 THEN l_partkey END AS delivery_partner_id,
          CAST(o_orderdate AS DATE) AS order_date,
          o_orderdate + to_hours(CAST(l_partkey % 24 AS INTEGER)) AS order_timestamp,
          ' ' || lower(n_name) || ' ' AS delivery_city,
@@ -65,7 +71,7 @@ orders_raw AS (
          CAST(CAST(round(l_extendedprice * 100) AS BIGINT) % 200000 - 5000 AS DOUBLE) / 100 AS order_amount,
          CASE WHEN l_tax = 0 THEN NULL ELSE round(l_tax * 1000) END AS tip_amount,
          CASE WHEN l_discount = 0 THEN NULL ELSE round(l_discount * 3000) END AS discount_amount,
-         CASE WHEN l_quantity < 4 THEN NULL ELSE round(l_quantity / 9.0, 1) END AS rating,
+         CASE WHEN l_quantity < 4 THEN NULL ELSE round(l_quantity / 9.0, 2) END AS rating,
          l_partkey AS tb1, l_suppkey AS tb2, l_extendedprice AS tb3, l_shipdate AS tb4
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -76,18 +82,19 @@ customers_raw AS (
          CAST(18 + c_custkey % 43 AS INTEGER) AS age,
          n_name AS city, DATE '1994-01-01' + CAST(c_custkey % 365 AS INTEGER) AS signup_date,
          c_mktsegment AS loyalty_tier
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 13 <> 5
 ),
 restaurants_raw AS (
   SELECT s_suppkey AS restaurant_id, s_name AS restaurant_name, r_name AS cuisine_type,
          n_name AS city, CAST(10 + s_suppkey % 36 AS INTEGER) AS avg_preparation_time,
          CAST(10 + s_suppkey % 41 AS DOUBLE) / 10 AS restaurant_rating
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE s_suppkey % 11 <> 3
 ),
 partners_raw AS (
   SELECT p_partkey AS delivery_partner_id, p_name AS partner_name, p_type AS vehicle_type,
          DATE '1992-01-01' + CAST(p_partkey % 1000 AS INTEGER) AS joining_date, p_brand AS city
-  FROM part
+  FROM part WHERE p_partkey % 17 <> 4
 )"""
 
 RAW_COLS = ("order_id, customer_id, restaurant_id, delivery_partner_id, order_date, "

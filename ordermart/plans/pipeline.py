@@ -11,13 +11,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.calendar import month_label
 from ..operators import marts, quality
 from ..operators import silver as S
-from ..session import release_staged, staged_mark
+from ..session import staging
 from ..sinks import writers
 from ..sources import bronze, raw
 
@@ -34,13 +35,19 @@ def persist_silver(silver: DataFrame, path: str, partition_col: str = SILVER_PAR
                    fmt: str = "parquet") -> DataFrame:
     """Write silver partitioned (rebalanced) and return the stored copy."""
     writers.write_partitioned(silver, path, [partition_col], fmt=fmt)
-    return raw.read_path(silver.sparkSession, path, fmt)
+    return raw.read_path(silver.sparkSession, path, fmt, [partition_col])
+
+
+def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Stored silver; its city folders are text, whatever they look like."""
+    return raw.read_path(spark, path, fmt, [SILVER_PARTITION])
 
 
 def ingest_bronze(spark: SparkSession, sources: Mapping[str, str], target: str, now=None,
-                  fmt: str = "parquet", schemas=None,
-                  orders_partition: str | None = None) -> dict[str, str]:
-    """Raw CSVs -> bronze tables (raw columns + audit columns), written once.
+                  fmt: str = "parquet", schemas=None, orders_partition: str | None = None,
+                  database: str | None = None) -> dict[str, str]:
+    """Raw CSVs -> bronze tables (raw columns + audit columns), written once,
+    as new versions (``writers.publish_folder``).
 
     ``orders_partition`` ("order_month" or "order_date") lays bronze orders
     out in folders (rebalanced, so a busy month is still written by many
@@ -50,25 +57,24 @@ def ingest_bronze(spark: SparkSession, sources: Mapping[str, str], target: str,
 
     def one(name: str) -> str:
         df = ingested[name]
-        path = os.path.join(target, "bronze", name)
-        if name == "orders" and orders_partition:
-            if orders_partition == BRONZE_ORDERS_PARTITION:
-                df = df.withColumn(BRONZE_ORDERS_PARTITION, month_label("order_date"))
-            writers.write_partitioned(df, path, [orders_partition], fmt=fmt)
-        else:
-            writers.write_overwrite(df, path, fmt)
-        return path
+        parts = [orders_partition] if name == "orders" and orders_partition else []
+        if parts == [BRONZE_ORDERS_PARTITION]:
+            df = df.withColumn(BRONZE_ORDERS_PARTITION, month_label("order_date"))
+        return writers.publish_folder(df, os.path.join(target, "bronze", name),
+                                      f"{database}.bronze_{name}" if database else None,
+                                      fmt, parts)
 
     # the four ingests are independent map-only jobs: submit them concurrently
     with ThreadPoolExecutor(max_workers=len(ingested) or 1) as pool:
-        done = dict(zip(ingested, pool.map(one, list(ingested))))
-    return done
+        jobs = {n: pool.submit(copy_context().run, one, n) for n in ingested}
+        return {n: j.result() for n, j in jobs.items()}
 
 
 def build_silver_layer(spark: SparkSession, bronze_paths: Mapping[str, str], target: str,
                        now=None, fmt: str = "parquet", broadcast_dims: bool = False,
-                       **clean_kw) -> dict[str, object]:
-    """Stored bronze -> silver_orders (partitioned) + quarantine_orders.
+                       database: str | None = None, **clean_kw) -> dict[str, object]:
+    """Stored bronze -> silver_orders (partitioned) + quarantine_orders, as new
+    versions.
 
     Also returns ``dq_summary`` (lazy), computed over the STAGED classified
     orders, so it does not re-run the dedup.
@@ -78,29 +84,32 @@ def build_silver_layer(spark: SparkSession, bronze_paths: Mapping[str, str], tar
     parts = S.build_silver_parts(b["orders"], b["customers"], b["restaurants"],
                                  b["partners"], now=now, broadcast_dims=broadcast_dims,
                                  **clean_kw)
-    q_path = os.path.join(target, "silver", "quarantine")
-    s_path = os.path.join(target, "silver", "orders")
+    tables = {"silver_orders": ("orders", parts["silver"], [SILVER_PARTITION]),
+              "quarantine_orders": ("quarantine", parts["quarantine"], [])}
+
+    def one(name: str) -> str:
+        folder, df, by = tables[name]
+        return writers.publish_folder(df, os.path.join(target, "silver", folder),
+                                      f"{database}.{name}" if database else None, fmt, by)
+
     # independent writes over the staged orders: run them as concurrent jobs
     with ThreadPoolExecutor(max_workers=2) as pool:
-        q = pool.submit(writers.write_overwrite, parts["quarantine"], q_path, fmt)
-        s = pool.submit(writers.write_partitioned, parts["silver"], s_path,
-                        [SILVER_PARTITION], fmt)
-        q.result(), s.result()
-    return {"silver_orders": s_path, "quarantine_orders": q_path,
-            "dq_summary": quality.summary(parts["flagged"])}
+        jobs = {n: pool.submit(copy_context().run, one, n) for n in tables}
+        paths = {n: j.result() for n, j in jobs.items()}
+    return {**paths, "dq_summary": quality.summary(parts["flagged"])}
 
 
 def gold_marts(spark: SparkSession, silver_path: str, as_of=None,
                fmt: str = "parquet") -> dict[str, DataFrame]:
     """The twelve marts over the STORED silver (lazy)."""
-    return marts.all_marts(raw.read_path(spark, silver_path, fmt), as_of)
+    return marts.all_marts(read_silver(spark, silver_path, fmt), as_of)
 
 
 def gold_builders(spark: SparkSession, silver_path: str, as_of=None,
                   fmt: str = "parquet") -> dict[str, Callable[[], DataFrame]]:
     """Zero-argument builders of the twelve marts (for concurrent publishing:
     the rank marts run their staging jobs while being built)."""
-    silver = raw.read_path(spark, silver_path, fmt)
+    silver = read_silver(spark, silver_path, fmt)
     return {name: (lambda b=b: b(silver, as_of)) for name, b in marts.MART_FUNCTIONS.items()}
 
 
@@ -112,25 +121,26 @@ def run(spark: SparkSession, sources: Mapping[str, str], target: str, as_of=None
 
     ``sources`` maps ``orders``/``customers``/``restaurants``/``partners`` to CSV
     paths. ``as_of`` (recency) and ``now`` (audit / load times) default to the
-    clock. The DQ summary is written as a small table next to silver; the
-    marts are published by ``gold_parallelism`` concurrent jobs; with
-    ``release`` the staged intermediates are deleted at the end. Returns the
-    written paths plus the DQ summary and the table manifest (lazy reads of
-    the written tables).
+    clock. Every table is a new version below ``target``, switched to when it is
+    complete; with ``database``, bronze, silver, quarantine and gold are catalog
+    tables too. The DQ summary is a small table next to silver; the marts are
+    published by ``gold_parallelism`` concurrent jobs. Intermediates are staged
+    under ``target`` and (with ``release``) deleted at the end, also when the
+    run fails. Returns the written paths plus the DQ summary and the table
+    manifest (lazy reads of the written tables).
     """
-    mark = staged_mark()
     if database:
         writers.ensure_database(spark, database, os.path.join(target, "_catalog"))
-    bronze_paths = ingest_bronze(spark, sources, target, now, fmt)
-    silver_out = build_silver_layer(spark, bronze_paths, target, now, fmt, broadcast_dims)
-    silver_paths = {k: silver_out[k] for k in ("silver_orders", "quarantine_orders")}
-    dq_path = writers.write_overwrite(silver_out["dq_summary"].coalesce(1),
-                                      os.path.join(target, "silver", "dq_summary"), fmt)
-    gold = gold_builders(spark, silver_paths["silver_orders"], as_of, fmt)
-    gold_paths = writers.publish(gold, os.path.join(target, "gold"), database, fmt,
-                                 parallelism=gold_parallelism)
-    if release:
-        release_staged(spark, mark)
+    with staging(spark, target, release):
+        bronze_paths = ingest_bronze(spark, sources, target, now, fmt, database=database)
+        silver_out = build_silver_layer(spark, bronze_paths, target, now, fmt, broadcast_dims,
+                                        database)
+        silver_paths = {k: silver_out[k] for k in ("silver_orders", "quarantine_orders")}
+        dq_path = writers.publish_folder(silver_out["dq_summary"].coalesce(1),
+                                         os.path.join(target, "silver", "dq_summary"), fmt=fmt)
+        gold = gold_builders(spark, silver_paths["silver_orders"], as_of, fmt)
+        gold_paths = writers.publish(gold, os.path.join(target, "gold"), database, fmt,
+                                     parallelism=gold_parallelism)
 
     read = lambda p: raw.read_path(spark, p, fmt)
     return {

@@ -61,9 +61,12 @@ STAR_TIER = "STAR"
 
 # Month label format.
 MONTH_FORMAT = "yyyy-MM"
+# ---------------------------------------------------------------------------
 
+# Our own definitions (documented-only marts, rejects of the raw scan).
 # Meal periods by hour of the order timestamp (inclusive ranges).
 MEAL_PERIODS = ((5, 10, "BREAKFAST"), (11, 15, "LUNCH"), (16, 18, "SNACKS"),
                 (19, 22, "DINNER"))
 MEAL_OTHERWISE = "LATE_NIGHT"
-# ---------------------------------------------------------------------------
+# Flag of a raw record with a value that could not be parsed.
+MALFORMED_FLAG = "MALFORMED"

@@ -44,6 +44,11 @@ PARTNERS_RAW = _s(
     ("vehicle_type", StringType()), ("joining_date", DateType()), ("city", StringType()),
 )
 
+# Whole record of a raw row with a value that could not be parsed.
+CORRUPT_COL = "_corrupt_record"
+# Folder name of an empty string (a folder name can not be empty).
+EMPTY_PARTITION = "__EMPTY__"
+
 RAW_SCHEMAS = {
     "orders": ORDERS_RAW,
     "customers": CUSTOMERS_RAW,

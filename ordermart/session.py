@@ -1,9 +1,10 @@
-"""Session helpers: a local session for tests and a shared scratch folder.
+"""Session helpers: a local session for tests and staged intermediates.
 
-Library code never creates its own session; it receives one. The scratch
-folder is the cluster's ``spark.checkpoint.dir`` (a shared filesystem on a
-cluster). Only when that is unset — local tests — do we pick a fresh
-temporary folder and register it.
+Library code never creates its own session and never changes its settings.
+Intermediates are written below a shared folder: the current run's own one
+(``staging``), else the cluster's ``spark.checkpoint.dir``.  Only a local
+session with neither uses a folder of its own under the temporary directory;
+on a cluster, where executors could not see it, that is an error.
 """
 
 from __future__ import annotations
@@ -11,10 +12,25 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@dataclass
+class Staging:
+    """Folder of one run and what it has staged there."""
+
+    root: str
+    paths: list[str] = field(default_factory=list)
+
+
+_RUN: ContextVar[Staging | None] = ContextVar("ordermart_staging", default=None)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ordermart") -> SparkSession:
     """Session for tests and the bench: local mode, AQE on, UI off, UTC."""
@@ -36,20 +52,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
-
-    Reads ``spark.checkpoint.dir`` from the session (or the directory already
-    set on the context); sets a private temporary one only when neither is set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """Shared folder for intermediate tables (see the module's text)."""
+    run = _RUN.get()
+    root = (run.root if run else None) or spark.conf.get("spark.checkpoint.dir", None) \
+        or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="ordermart-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        sc = spark.sparkContext
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = os.path.join(tempfile.gettempdir(), f"ordermart-{sc.applicationId}")
     return root.rstrip("/")
 
 
@@ -71,26 +82,43 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     re-running the upstream shuffles, and a lost executor costs a re-read,
     not a recomputation.
     """
-    spark = df.sparkSession
+    spark, run = df.sparkSession, _RUN.get()
     path = scratch_path(spark, name)
+    (run.paths if run else _STAGED).append(path)
     df.write.mode("overwrite").format(fmt).save(path)
-    _STAGED.append(path)
     return spark.read.format(fmt).load(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through the Hadoop FileSystem of its path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
+@contextmanager
+def staging(spark: SparkSession, target: str, release: bool = True) -> Iterator[Staging]:
+    """Stage one run's intermediates under ``<target>/_staging/<run>``; they are
+    deleted when the run ends, also when it fails. Threads see the run only in
+    a copy of the context (``contextvars.copy_context().run``)."""
+    run = Staging(os.path.join(target, "_staging", uuid.uuid4().hex))
+    token = _RUN.set(run)
+    try:
+        yield run
+    finally:
+        _RUN.reset(token)
+        if release:
+            delete_path(spark, run.root)
+
+
 def staged_mark() -> int:
-    """Position in the staged-folder log; pass to ``release_staged``."""
+    """Position in the log of folders staged outside a run."""
     return len(_STAGED)
 
 
 def release_staged(spark: SparkSession, since: int = 0) -> int:
-    """Delete the folders written by ``materialize`` after mark ``since``
-    (through the Hadoop FileSystem of each path, so it works on any shared
-    storage). Call only when no DataFrame that reads them is still needed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Delete the folders that ``materialize`` wrote outside a run after mark
+    ``since``. Call only when no DataFrame that reads them is still needed."""
     n = 0
     while len(_STAGED) > since:
-        p = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        n += bool(p.getFileSystem(conf).delete(p, True))
+        n += delete_path(spark, _STAGED.pop())
     return n

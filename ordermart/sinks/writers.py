@@ -1,8 +1,9 @@
 """Writers: overwrite, partitioned overwrite, catalog tables, publish, manifest.
 
-Parquet overwrite is not atomic and must never target its own input, so
-``publish`` writes each table to a fresh directory and then points the
-catalog table at it.
+Parquet overwrite is not atomic and must never target its own input, so a
+published table is written to a fresh version folder first. Only when that is
+complete do the catalog table and the pointer file of path readers
+(``current_path``) move to it; a failing write leaves both on the old version.
 """
 
 from __future__ import annotations
@@ -11,9 +12,17 @@ import os
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from ..schemas import EMPTY_PARTITION
+from ..session import delete_path
+
+CURRENT = "CURRENT"
+KEEP_VERSIONS = 2
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
@@ -55,6 +64,9 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
         laid_out = df.repartitionByRange(n, *keys)
     else:
         laid_out = df.hint("rebalance", *partition_cols)
+    text = [c for c in partition_cols if isinstance(df.schema[c].dataType, StringType)]
+    laid_out = laid_out.withColumns({
+        c: F.when(F.col(c) == "", F.lit(EMPTY_PARTITION)).otherwise(F.col(c)) for c in text})
     laid_out.write.mode("overwrite").format(fmt).partitionBy(*partition_cols).save(path)
     return path
 
@@ -67,45 +79,112 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 def save_table(df: DataFrame, table: str, path: str, fmt: str = "parquet",
                partition_cols: Sequence[str] = (),
                options: Mapping[str, str] | None = None) -> str:
-    """External catalog table stored at ``path`` (one write, not table + path)."""
-    w = df.write.mode("overwrite").format(fmt).option("path", path)
+    """Write ``df`` to ``path`` (a folder that the table does not use yet), then
+    point the external catalog table at it (one write, not table + path)."""
+    w = df.write.mode("overwrite").format(fmt)
     for k, v in (options or {}).items():
         w = w.option(k, v)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    w.saveAsTable(table)
+    w.save(path)
+    point_table(df, table, path, fmt, partition_cols)
     return table
 
 
+def point_table(df: DataFrame, table: str, path: str, fmt: str = "parquet",
+                partition_cols: Sequence[str] = ()) -> None:
+    """Let an external table read the complete data of ``df`` at ``path``.
+
+    An existing table with the same columns only changes its location. With
+    other columns (or folders to find anew) its entry is replaced; external
+    data is never deleted by that. The columns are named with their types, so
+    folder values are not guessed at."""
+    spark = df.sparkSession
+    fields = [f for f in df.schema.fields if f.name not in partition_cols]
+    fields += [df.schema[c] for c in partition_cols]
+    if not partition_cols and spark.catalog.tableExists(table):
+        if [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in fields]:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{by} LOCATION '{path}'")
+    if partition_cols:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def set_current(spark: SparkSession, folder: str, version: str, keep: int = KEEP_VERSIONS) -> None:
+    """Name the current version folder of a table in its pointer file, and
+    delete versions but the last ``keep`` (a running reader may hold one)."""
+    new, fs = _file_system(spark, os.path.join(folder, f".{CURRENT}-{version}"))
+    out = fs.create(new, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    pointer, _ = _file_system(spark, os.path.join(folder, CURRENT))
+    fs.delete(pointer, False)
+    if not fs.rename(new, pointer):
+        raise OSError(f"could not switch {folder} to {version}")
+    found = sorted((s for s in fs.listStatus(pointer.getParent())
+                    if s.isDirectory() and s.getPath().getName().startswith("v-")
+                    and s.getPath().getName() != version),
+                   key=lambda s: s.getModificationTime(), reverse=True)
+    for old in found[max(0, keep - 1):]:
+        delete_path(spark, old.getPath().toString())
+
+
+def current_path(spark: SparkSession, folder: str) -> str:
+    """Path of a published table's current version."""
+    return os.path.join(folder, spark.read.text(os.path.join(folder, CURRENT)).first()[0])
+
+
+def publish_folder(df: DataFrame, folder: str, table: str | None = None, fmt: str = "parquet",
+                   partition_cols: Sequence[str] = (), version: str | None = None) -> str:
+    """Publish one table: write a new version folder below ``folder``, then
+    switch the catalog table (if named) and the pointer to it."""
+    version = version or f"v-{uuid.uuid4().hex[:12]}"
+    path = os.path.join(folder, version)
+    if partition_cols:
+        write_partitioned(df, path, partition_cols, fmt)
+    else:
+        write_overwrite(df, path, fmt, {"overwriteSchema": "true"} if fmt == "delta" else None)
+    if table:
+        point_table(df, table, path, fmt, partition_cols)
+    set_current(df.sparkSession, folder, version)
+    return path
+
+
 def publish(tables: Mapping[str, DataFrame | Callable[[], DataFrame]], root: str,
             database: str | None = None, fmt: str = "parquet",
             parallelism: int = 1) -> dict[str, str]:
-    """Write every table to a fresh versioned directory under ``root``; when a
-    database is given, (re)point a catalog table at it. Returns name -> path.
+    """Publish every table below ``root`` (``publish_folder``); when a database
+    is given, also as a catalog table. Returns name -> path.
 
     A table may be given as a zero-argument builder (marts with global ranks
     run jobs while they are built). ``parallelism > 1`` submits the
     independent writes from a thread pool: Spark runs them as concurrent jobs,
     so the small final stages of one mart overlap with the scans of another.
     """
-    version = uuid.uuid4().hex[:12]
+    version = f"v-{uuid.uuid4().hex[:12]}"
 
-    def one(name: str) -> tuple[str, str]:
+    def one(name: str) -> str:
         spec = tables[name]
         df = spec() if callable(spec) else spec
-        path = os.path.join(root, name, f"v-{version}")
-        options = {"overwriteSchema": "true"} if fmt == "delta" else None
-        if database:
-            save_table(df, f"{database}.{name}", path, fmt, options=options)
-        else:
-            write_overwrite(df, path, fmt, options)
-        return name, path
+        return publish_folder(df, os.path.join(root, name),
+                              f"{database}.{name}" if database else None, fmt, version=version)
 
     if parallelism <= 1:
-        return dict(one(n) for n in tables)
+        return {n: one(n) for n in tables}
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        done = dict(pool.map(one, list(tables)))
-    return {n: done[n] for n in tables}
+        # each job sees the run's staging folder in a copy of the context
+        jobs = {n: pool.submit(copy_context().run, one, n) for n in tables}
+        return {n: j.result() for n, j in jobs.items()}
 
 
 def manifest(tables: Mapping[str, DataFrame]) -> DataFrame:

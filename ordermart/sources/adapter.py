@@ -7,7 +7,10 @@ views derive one deterministically:
 * fact grain = one ``lineitem`` row; ``order_id`` is deliberately not unique
   (``l_orderkey * 10 + l_linenumber`` collides), so dedup has real work;
 * ``tb1..tb4`` carry a total order inside each ``order_id`` for dedup;
-* delivery city is padded lower case so city normalisation has real work.
+* delivery city is padded lower case so city normalisation has real work;
+* some orders have no customer, restaurant or partner (NULL keys), and some
+  keys have no dimension row (orphans), each by a fixed rule on the key;
+* ratings have two decimals.
 
 Everything is a lazy DataFrame: Catalyst prunes the unused columns of each
 scan and pushes the join keys' filters down to parquet.
@@ -55,9 +58,9 @@ def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount_cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("l_suppkey").alias("restaurant_id"),
-        F.col("l_partkey").alias("delivery_partner_id"),
+        F.when(F.col("l_orderkey") % 19 != 0, F.col("o_custkey")).alias("customer_id"),
+        F.when(F.col("l_partkey") % 23 != 0, F.col("l_suppkey")).alias("restaurant_id"),
+        F.when(F.col("l_suppkey") % 29 != 0, F.col("l_partkey")).alias("delivery_partner_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         # wall-clock timestamps whatever the reader's timestamp inference
         F.timestamp_add("HOUR", (F.col("l_partkey") % 24).cast("int"),
@@ -73,7 +76,7 @@ def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") == 0, F.lit(None))
         .otherwise(F.round(F.col("l_discount") * 3000)).cast("double").alias("discount_amount"),
         F.when(F.col("l_quantity") < 4, F.lit(None))
-        .otherwise(F.round(F.col("l_quantity") / F.lit(9.0), 1)).cast("double").alias("rating"),
+        .otherwise(F.round(F.col("l_quantity") / F.lit(9.0), 2)).cast("double").alias("rating"),
         F.col("l_partkey").alias("tb1"), F.col("l_suppkey").alias("tb2"),
         F.col("l_extendedprice").alias("tb3"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("tb4"),
@@ -83,7 +86,7 @@ def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return c.join(n, c.c_nationkey == n.n_nationkey).select(
+    return c.join(n, c.c_nationkey == n.n_nationkey).filter(F.col("c_custkey") % 13 != 5).select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
@@ -100,7 +103,7 @@ def restaurants_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region")
     return (s.join(n, s.s_nationkey == n.n_nationkey)
-            .join(r, n.n_regionkey == r.r_regionkey)
+            .join(r, n.n_regionkey == r.r_regionkey).filter(F.col("s_suppkey") % 11 != 3)
             .select(
                 F.col("s_suppkey").alias("restaurant_id"),
                 F.col("s_name").alias("restaurant_name"),
@@ -113,7 +116,7 @@ def restaurants_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partners_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    return p.select(
+    return p.filter(F.col("p_partkey") % 17 != 4).select(
         F.col("p_partkey").alias("delivery_partner_id"),
         F.col("p_name").alias("partner_name"),
         F.col("p_type").alias("vehicle_type"),

@@ -26,8 +26,9 @@ def add_audit(df: DataFrame, now=None) -> DataFrame:
 
 
 def ingest_csv(spark: SparkSession, path: str, schema: StructType | str, now=None) -> DataFrame:
-    """CSV scan (explicit schema) + audit columns, lazy."""
-    return add_audit(raw.read_csv(spark, path, schema), now)
+    """CSV scan (explicit schema, records that fail to parse kept) + audit
+    columns, lazy."""
+    return add_audit(raw.read_csv(spark, path, schema, corrupt=True), now)
 
 
 def ingest_all(spark: SparkSession, paths: Mapping[str, str], now=None,

@@ -19,8 +19,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..schemas import RAW_SCHEMAS
 from ..sources.bronze import add_audit
+from ..sources.raw import csv_reader
 
 
 def start_bronze_stream(spark: SparkSession, source_dir: str, schema: StructType | str,
@@ -28,9 +28,7 @@ def start_bronze_stream(spark: SparkSession, source_dir: str, schema: StructType
                         fmt: str = "parquet", max_files_per_trigger: int | None = None,
                         available_now: bool = True) -> StreamingQuery:
     """Start the CSV -> bronze stream; returns the running query."""
-    if isinstance(schema, str):
-        schema = RAW_SCHEMAS[schema]
-    reader = spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    reader = csv_reader(spark.readStream, schema, corrupt=True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = add_audit(reader.csv(source_dir))

@@ -22,9 +22,7 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="ordermart-test-")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ordermart-test-"))
     yield s
     s.stop()
 
