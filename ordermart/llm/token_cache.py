@@ -5,6 +5,11 @@ words' ids joined.  Distinct words are encoded once by the ``tokenizers``
 library and kept in a bounded per-worker cache as little-endian unsigned
 32-bit payloads; a text is then one dictionary lookup per word.
 
+A word of common characters only (printable ASCII, line feeds, letters of
+Latin-1) is cut into the tokenizer's own pre-tokens by an equal pattern, and
+each distinct pre-token goes through the library's merge model once; any other
+word goes through the whole library.
+
 Two ways to cut, both exact for the tokenizer kind they are for:
 
 * ``words``: the tokenizer drops white space; cut at ASCII white space.
@@ -16,12 +21,21 @@ Two ways to cut, both exact for the tokenizer kind they are for:
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-MAX_CACHED = 300_000
+MAX_CACHED = 400_000
 MISS_BLOCK = 4096
+# The pre-token patterns of the two kinds, for common characters
+# (where letters, digits and white space are these classes).
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_COMMON = re.compile(f"[\\n -~{_LETTERS}]+")
+_PRETOKENS = {
+    "words": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+"),
+    "spaced": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+"),
+}
 _encoders: dict[tuple[str, str], "WordCache"] = {}
 
 
@@ -32,6 +46,21 @@ class WordCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = cut
         self.known: dict[str | bytes, bytes | None] = {}
+        self.merged: dict[str, bytes] = {}
+        # each byte of a pre-token stands as a character of its own in the model
+        chars = [chr(c) for c in (10, *range(32, 127), *range(0xC0, 0x100)) if _COMMON.fullmatch(chr(c))]
+        plain = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.stand = str.maketrans({c: "".join(t for t, _ in plain(c)) for c in chars if plain(c)})
+
+    def _merge(self, pretoken: str) -> bytes:
+        """Ids of one pre-token from the library's model."""
+        found = self.merged.get(pretoken)
+        if found is None:
+            if len(self.merged) > MAX_CACHED:
+                self.merged.clear()
+            tokens = self.tokenizer.model.tokenize(pretoken.translate(self.stand))
+            found = self.merged[pretoken] = np.array([t.id for t in tokens], "<u4").tobytes()
+        return found
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -49,9 +78,14 @@ class WordCache:
             self.known[w] = ids[a:b].tobytes()
 
     def _learn_all(self, words: Iterable) -> None:
-        new = list(words)
-        if len(self.known) > MAX_CACHED:
-            self.known.clear()
+        new, cut = [], _PRETOKENS[self.cut]
+        for w in words:
+            text = w.decode() if isinstance(w, bytes) else w
+            if _COMMON.fullmatch(text) and "<|" not in text:
+                text = text.lower() if self.cut == "words" else text
+                self.known[w] = b"".join(map(self._merge, cut.findall(text)))
+            else:
+                new.append(w)
         for i in range(0, len(new), MISS_BLOCK):
             self._learn(new[i:i + MISS_BLOCK])
 
