@@ -35,12 +35,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from .token_cache import MAX_CACHED, blocks
+from .token_cache import blocks
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 _PARTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-MAX_PAIRS = 1_000_000
+MAX_PARTS, MAX_PAIRS = 150_000, 300_000
 _codecs: dict[tuple[str, str], "PieceCodec"] = {}
 
 
@@ -53,7 +53,7 @@ class PieceCodec:
         self.byte_ids = [0] * 256
         self.score_of: dict[str, float] = {}
         self.piece_of: list[str] = []
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         lowest, crossing = 0.0, False
         for i in range(sp.vocab_size()):
             piece, score = sp.id_to_piece(i), sp.get_score(i)
@@ -112,12 +112,12 @@ class PieceCodec:
 
     def _survives(self, left: int, right: int) -> bool:
         """Whether merging keeps these two pieces apart (left < 0: an end)."""
-        found = self.pairs.get((left, right))
+        found = self.pairs.get(left << 32 | right)
         if found is None:
             if len(self.pairs) > MAX_PAIRS:
                 self.pairs.clear()
             both = ([self.piece_of[left]] if left >= 0 else []) + [self.piece_of[right]]
-            found = self.pairs[left, right] = self._merged("".join(both)) == both
+            found = self.pairs[left << 32 | right] = self._merged("".join(both)) == both
         return found
 
     def by_merges(self, part: str) -> list[int]:
@@ -159,7 +159,7 @@ class PieceCodec:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.parts(t) for t in texts]
         needed = set().union(*cut)
-        if len(self.known) > MAX_CACHED:
+        if len(self.known) > MAX_PARTS:
             self.known.clear()
         for part in needed.difference(self.known):
             self.known[part] = np.array(self.segment(MARK + part), "<u4").tobytes()
@@ -178,16 +178,22 @@ def codec(path: str, kind: str) -> PieceCodec:
     return _codecs[path, kind]
 
 
-def encode(docs: DataFrame, model: str, kind: str = "bpe", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``ids``, a little-endian unsigned 32-bit payload."""
+def encode(docs: DataFrame, model: str, kind: str = "bpe", text: str = "text", decoded: bool = False) -> DataFrame:
+    """All columns of ``docs`` with ``ids``, a little-endian unsigned 32-bit
+    payload; with ``decoded`` also the text that these ids decode to."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, kind)
         for b in batches:
             at = b.schema.get_field_index(text)
-            ids = [p for _, some in blocks(b.column(at).to_pylist()) for p in c.payloads(some)]
-            yield b.append_column("ids", pa.array(ids, pa.binary()))
-
-    return docs.mapInArrow(work, StructType([*docs.schema, StructField("ids", BinaryType())]))
+            for start, some in blocks(b.column(at).to_pylist()):
+                ids = c.payloads(some)
+                out = b.slice(start, len(ids)).append_column("ids", pa.array(ids, pa.binary()))
+                if decoded:
+                    out = out.append_column("decoded", pa.array([c.text(p) for p in ids], pa.string()))
+                yield out
+
+    extra = [StructField("ids", BinaryType())] + [StructField("decoded", StringType())] * decoded
+    return docs.mapInArrow(work, StructType([*docs.schema, *extra]))
 
 
 def decode(encoded: DataFrame, model: str, kind: str = "bpe", ids: str = "ids") -> DataFrame:

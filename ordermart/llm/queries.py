@@ -60,7 +60,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     U+2581 read as spaces)."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = pieces.decode(pieces.encode(docs, model), model)
+    rows = pieces.encode(docs, model, decoded=True)
     return rows.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
