@@ -41,7 +41,7 @@ from .token_cache import blocks
 
 N_WORDS, N_CLASSES, LAST_BYTES = 256, 128, 3
 N_UNITS = N_WORDS + N_CLASSES
-DIM, CONTEXT, NOISE, BATCH, RATE, SEED = 16, 3, 32, 4096, 0.1, 1
+DIM, CONTEXT, NOISE, BATCH, FIRST_BATCH, RATE, SEED = 16, 3, 32, 4096, 256, 0.1, 1
 HEAD, FLUSH = 200_000, 400_000
 END = b""
 SLICE = 16  # the first round learns from one in so many texts
@@ -177,7 +177,7 @@ class Trainer:
     def __init__(self, model: Model, prior: np.ndarray, seed: int) -> None:
         self.p = {k: v.copy() for k, v in model.p.items()}
         self.g2 = {k: np.full(v.shape, 1e-3, np.float32) for k, v in self.p.items()}
-        self.rng, self.tokens = np.random.default_rng(seed), 0
+        self.rng, self.tokens, self.steps = np.random.default_rng(seed), 0, 0
         self.cum = np.cumsum(prior)
         self.log_noise = (np.log(prior) + np.log(NOISE)).astype(np.float32)
 
@@ -204,6 +204,15 @@ class Trainer:
             self.g2[k] += g * g
             p[k] += RATE * g / np.sqrt(self.g2[k])
         self.tokens += n
+        self.steps += 1
+
+    def walk(self, units: np.ndarray, ctx: np.ndarray) -> None:
+        """Steps over a run of tokens; short ones at first, then ``BATCH``."""
+        at = 0
+        while at < len(units):
+            end = at + min(BATCH, FIRST_BATCH * (1 + self.steps // 8))
+            self.step(units[at:end], ctx[:, at:end])
+            at = end
 
 
 def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[list[bytes]], np.ndarray]]:
@@ -226,9 +235,7 @@ def train_round(train: DataFrame, units: Units, model: Model, text: str = "text"
         for b in batches:
             for _, tokens, first in _blocks(b, 0):
                 u = known.units(known.ids([w for t in tokens for w in t]))
-                ctx = contexts(u, first)
-                for a in range(0, len(u), BATCH):
-                    trainer.step(u[a:a + BATCH], ctx[:, a:a + BATCH])
+                trainer.walk(u, contexts(u, first))
         if trainer.tokens:
             flat = np.concatenate([trainer.p[k].ravel() for k in PARAMS]).astype(float) * trainer.tokens
             flat = np.append(flat, trainer.tokens)

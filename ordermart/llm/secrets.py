@@ -30,18 +30,18 @@ HEX = re.compile(r"[0-9a-f]{24,}", re.A)  # the runs of 24 and more are those of
 # Words that make what follows sensitive, and shapes of candidates.
 CONTEXT = re.compile(r"key|auth|bearer|credential|private|passphrase|pwd|secret|token|signature|session", re.A | re.I)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~.-]{16,}", re.A)
-REACH, AROUND, NOVELTY = 48, 400, 0.6
+REACH, AROUND, NOVELTY = 48, 400, 0.8
 IDENTIFIERS = " ".join("""
-access account address admin alpha api app application args array assert async auth authorization await backend base
+access account address admin alpha api app application args array assert async auth authentication authorization await backend base
 bearer bool boolean break buffer build bytes cache call callback case catch char class client code column commit config
-const constructor content context continue cookie copy count create credential data database date debug default define
+configuration const constructor content context continue cookie copy count create credential data database date debug default define
 delete description dict digest document domain double else email encode endpoint enum environment error event except
 export false field file filter final finally float format from function get global hash header host html http https
 identifier implements import include index info init input insert instance integer interface json key label lambda
 length level library license list local location logger login long main manager map message method model module name
 namespace new none null number object option output package parameter parse password path payload pool port private
 property protected protocol public query queue random read record refresh region register release remote request
-response result return role root row schema script secret select self send server service session set setting signature
+response result return role root row schema script secret select self send server service services session set setting signature
 size source sql start state static status storage stream string struct super switch sync system table tag target task
 temp template test text thread time timeout timestamp title token true type union update upload url user username utf
 util value variable vector version view virtual void while window write xml yaml example com www org net localhost
@@ -58,7 +58,8 @@ class Novelty:
                                                    write_content_size=False)
 
     def __call__(self, before: str, candidate: str, after: str) -> float:
-        around = (before + after).encode("utf-8", "replace")
+        # copies of the candidate must not vouch for it
+        around = (before + after).replace(candidate, "").encode("utf-8", "replace")
         alone = len(self.compressor.compress(around))
         return (len(self.compressor.compress(around + b" " + candidate.encode())) - alone) / len(candidate)
 
