@@ -1,9 +1,7 @@
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, __file__.rsplit("/llm/", 1)[0])
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, id long, bucket int, ids string, score double"
 

@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 
-from conftest import odd_rows  # noqa: F401
 from ordermart.llm import quality
 
 
