@@ -115,10 +115,21 @@ class Units:
 
 
 def learn_units(counts: DataFrame) -> Units:
-    """From staged counts: totals, the head (at most ``HEAD`` rows) and the
-    mass of each class (``N_CLASSES`` rows)."""
+    """From staged counts: totals, the head and the mass of each class
+    (``N_CLASSES`` rows).
+
+    The head is cut between levels of the counts' logarithm (some hundred rows),
+    so that at most ``HEAD`` tokens reach the driver, and no task sends more."""
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    head = counts.orderBy(F.desc("n"), "token").limit(HEAD).collect()
+    level = F.floor(F.log2("n") * 16).cast("int")
+    left, cut = HEAD, None
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        left -= r["count"]
+        if left < 0:
+            break
+        cut = r["level"]
+    head = counts.filter(level >= cut).collect() if cut is not None else []
+    head.sort(key=lambda r: (-r["n"], bytes(r["token"])))
     last = F.when(F.octet_length("token") > LAST_BYTES, F.substring("token", -LAST_BYTES, LAST_BYTES))
     kind = F.crc32(F.coalesce(last, "token"))
     mass = {r["c"]: r["m"] for r in counts.groupBy((kind % N_CLASSES).cast("int").alias("c"))
