@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.llm import near_dups, packing, quality, secrets
-from ordermart.llm.common import ship, stage, table
+from ordermart.llm.common import release, ship, stage, staged_mark, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +62,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of ``documents`` after all stages."""
-    docs = table(spark, sf_dir, "documents")
+    """The packed pieces of ``documents`` after all stages. What a stage has
+    staged is deleted once its result is written."""
+    docs, mark = table(spark, sf_dir, "documents"), staged_mark()
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, mark, keep=1)
     return docs

@@ -26,9 +26,14 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_staged: list[str] = []
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder (not created yet)."""
-    return f"{shared_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -38,6 +43,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_mark() -> int:
+    """Position in the list of staged folders; pass it to ``release``."""
+    return len(_staged)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the folders staged after a mark, but the last ``keep``. Call it
+    when no DataFrame that reads them is needed any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = _staged[since:len(_staged) - keep]
+    del _staged[since:len(_staged) - keep]
+    for path in gone:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
