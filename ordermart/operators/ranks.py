@@ -8,7 +8,7 @@ numbers with the work spread over many tasks:
    ``1.5 * sample / rows`` (a map-side filter; the driver receives about
    ``1.5 * sample`` rows whatever the data size) gives ``B-1`` split points.
 2. **Bucket.** Each row's bucket is a pure function of its key and those
-   literal bounds (a binary search in a literal array, log2(B) comparisons),
+   literal bounds (a binary search, log2(B) comparisons),
    so a re-executed task puts every row in the same bucket again.
 3. **Local rank** inside each bucket with a window partitioned by the bucket.
 4. **Offsets.** Per-bucket counts (partial aggregation) and a prefix sum over
@@ -161,19 +161,32 @@ def sample_bounds(df: DataFrame, order: OrderSpec, buckets: int | None = None,
     return bounds, schema
 
 
+LEAVES = 64  # of a compiled search tree; more outgrow a method
+
+
 def bucket_expr(key_col: str, bounds: list, schema: T.StructType) -> Column:
-    """Number of bounds <= key: a binary search in one literal array.
+    """Number of bounds <= key (pure, deterministic); log2(B) comparisons.
 
-    The array is folded into a constant, and the search is one ``aggregate``
-    over the step sizes, so the expression's code does not grow with the number
-    of bounds. Past the array's end ``get`` is NULL, which means "not below".
+    Up to ``LEAVES`` bounds are a CASE tree, compiled with the rest of the
+    stage. More are a binary search in one literal array: an ``aggregate`` over
+    the step sizes, whose code does not grow with the number of bounds. Past the
+    array's end ``get`` is NULL, which means "not below".
     """
-    if not bounds:
-        return F.lit(0)
-    cuts = f"array({', '.join(_lit_struct(b, schema) for b in bounds)})"
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    return F.expr(f"aggregate(array({', '.join(map(str, steps))}), 0, (at, step) -> "
-                  f"if(get({cuts}, at + step - 1) <= `{key_col}`, at + step, at))")
+    lits = [_lit_struct(b, schema) for b in bounds]
+    if len(lits) > LEAVES:
+        steps = [1 << i for i in reversed(range(len(lits).bit_length()))]
+        return F.expr(f"aggregate(array({', '.join(map(str, steps))}), 0, (at, step) -> "
+                      f"if(get(array({', '.join(lits)}), at + step - 1) <= `{key_col}`, at + step, at))")
+
+    def search(lo: int, hi: int) -> str:
+        # bounds[lo-1] <= key < bounds[hi] is known; answer lies in [lo, hi]
+        if lo >= hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return (f"CASE WHEN `{key_col}` >= {lits[mid]} THEN {search(mid + 1, hi)} "
+                f"ELSE {search(lo, mid)} END")
+
+    return F.expr(search(0, len(lits)))
 
 
 def with_buckets(df: DataFrame, order: OrderSpec, bucket_col: str = "_bkt",
