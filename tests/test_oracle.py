@@ -15,10 +15,12 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import check, duck  # noqa: E402
+from ordermart.plans import catalog  # noqa: E402
 
 KEYS = ["kpi_order_summary", "kpi_restaurant_performance", "kpi_customer_rfm",
         "kpi_top_customers", "kpi_monthly_trends", "silver_orders", "dq_summary",
-        "ext_customer_dense_rank", "ext_cohort_retention", "sql_rfm_top10"]
+        "ext_customer_dense_rank", "ext_cohort_retention", "sql_rfm_top10", "dq_orphans",
+        "win_history_null_heavy", "src_csv_malformed", "src_csv_dimensions"]
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +35,10 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """Every query of the library; of the optional ones, those that SQL can express."""
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
