@@ -40,7 +40,7 @@ from .token_cache import blocks
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 _PARTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-MAX_PARTS, MAX_PAIRS = 150_000, 300_000
+MAX_PARTS, MAX_PAIRS = 120_000, 200_000
 _codecs: dict[tuple[str, str], "PieceCodec"] = {}
 
 

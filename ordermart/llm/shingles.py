@@ -48,7 +48,7 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return [np.zeros(0, np.uint64) for _ in texts]
-    power, inverse = _power_tables(max(1 << 20, len(data)))
+    power, inverse = _power_tables(max(1 << 18, len(data)))
     with np.errstate(over="ignore"):
         sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], dtype=np.uint64)
         before = np.where(starts > 0, sums[starts - 1], np.uint64(0))

@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-MAX_CACHED = 400_000
+MAX_CACHED, MAX_MERGED = 150_000, 220_000
 MISS_BLOCK = 4096
 # The pre-token patterns of the two kinds, for common characters
 # (where letters, digits and white space are these classes).
@@ -52,11 +52,16 @@ class WordCache:
         plain = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.stand = str.maketrans({c: "".join(t for t, _ in plain(c)) for c in chars if plain(c)})
 
+    def _forget(self, needed: set) -> None:
+        """Keep only the words in use once there are too many."""
+        if len(self.known) > MAX_CACHED:
+            self.known = {w: self.known[w] for w in needed if w in self.known}
+
     def _merge(self, pretoken: str) -> bytes:
         """Ids of one pre-token from the library's model."""
         found = self.merged.get(pretoken)
         if found is None:
-            if len(self.merged) > MAX_CACHED:
+            if len(self.merged) > MAX_MERGED:
                 self.merged.clear()
             tokens = self.tokenizer.model.tokenize(pretoken.translate(self.stand))
             found = self.merged[pretoken] = np.array([t.id for t in tokens], "<u4").tobytes()
@@ -94,15 +99,13 @@ class WordCache:
         if self.cut == "words":
             parts = [t.encode().split() for t in texts]
             needed = set().union(*parts)
-            if len(self.known) > MAX_CACHED:
-                self.known.clear()
+            self._forget(needed)
             self._learn_all(needed.difference(self.known))
             get = self.known.__getitem__
             return [b"".join(map(get, p)) for p in parts]
         parts = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else None for t in texts]
         needed = set().union(*[p for p in parts if p])
-        if len(self.known) > MAX_CACHED:
-            self.known.clear()
+        self._forget(needed)
         new = needed.difference(self.known)
         for w in [w for w in new if self._hard(w)]:
             self.known[w] = None
