@@ -187,7 +187,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, out, enc = TaskContext.get().partitionId(), None, encoder(tokenizer, cut)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for start, some in blocks(texts):
                 out = out or ShardWriter(folder, shard, width)
                 for k, payload in zip(keys[start:], enc.payloads(some)):

@@ -74,8 +74,9 @@ def count_tokens(train: DataFrame, text: str = "text") -> DataFrame:
             return out
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                seen.update(words(t or ""))
+            for _, texts in blocks(b.column(0), BLOCK_CHARS):
+                for t in texts:
+                    seen.update(words(t))
                 if len(seen) > FLUSH:
                     yield sent()
         if seen:
@@ -228,7 +229,7 @@ class Trainer:
 
 def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[list[bytes]], np.ndarray]]:
     """(first row, tokens of each text, first token index for each token)."""
-    for start, texts in blocks(batch.column(column).to_pylist(), BLOCK_CHARS):
+    for start, texts in blocks(batch.column(column), BLOCK_CHARS):
         tokens = [words(t) for t in texts]
         sizes = np.array([len(t) for t in tokens])
         yield start, tokens, np.repeat(np.cumsum(sizes) - sizes, sizes)

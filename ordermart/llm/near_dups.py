@@ -155,7 +155,7 @@ def sketched(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """(id, n_shingles, digest of the set, band keys); digest null: empty."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for start, texts in blocks(b.column(1).to_pylist(), BLOCK_CHARS):
+            for start, texts in blocks(b.column(1), BLOCK_CHARS):
                 sets = shingle_sets(texts)
                 full = [s for s in sets if len(s)]
                 bands = iter(band_keys(np.stack([sketch(s) for s in full])).tolist() if full else [])
@@ -194,7 +194,7 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, t
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             digests = b.column(4).to_pylist()
-            for start, some in blocks(b.column(1).to_pylist(), BLOCK_CHARS):
+            for start, some in blocks(b.column(1), BLOCK_CHARS):
                 found = shingle_sets(some)
                 # a repeated id may come with another text: not this class
                 rows = [i for i, s in enumerate(found) if len(s)

@@ -121,7 +121,7 @@ def _pieces_of(docs: DataFrame, tokenizer: str, end_id: int, key: str, text: str
 
         def filled() -> Iterator[list[tuple]]:
             for batch in batches:
-                keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                keys, texts = batch.column(0).to_pylist(), batch.column(1)
                 for first, some in blocks(texts):
                     for k, payload in zip(keys[first:], enc.payloads(some)):
                         payload += end

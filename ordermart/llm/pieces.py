@@ -185,7 +185,7 @@ def encode(docs: DataFrame, model: str, kind: str = "bpe", text: str = "text", d
         c = codec(model, kind)
         for b in batches:
             at = b.schema.get_field_index(text)
-            for start, some in blocks(b.column(at).to_pylist()):
+            for start, some in blocks(b.column(at)):
                 ids = c.payloads(some)
                 out = b.slice(start, len(ids)).append_column("ids", pa.array(ids, pa.binary()))
                 if decoded:

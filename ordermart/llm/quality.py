@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
+from .token_cache import blocks
 
 N_FOURIER, N_BINS, RIDGE, SEED = 256, 512, 1e-3, 5
 LOW, HIGH = -0.5, 1.5  # range of ridge scores told apart by the calibration
@@ -64,7 +65,7 @@ def with_stats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """(key, stats) of every row."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = pa.array([stats(t) for t in b.column(1).to_pylist()], pa.list_(pa.float64()))
+            found = pa.array([stats(t) for _, some in blocks(b.column(1)) for t in some], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column(0), found], names=["key", "stats"])
 
     kind = docs.schema[key].dataType.simpleString()

@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 MAX_CACHED, MAX_MERGED = 150_000, 220_000
 MISS_BLOCK = 4096
@@ -133,14 +134,16 @@ def encoder(path: str, cut: str) -> WordCache:
     return _encoders[path, cut]
 
 
-def blocks(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
-    """(first index, texts) in runs of about ``chars`` characters; null: empty."""
+def blocks(texts: pa.Array, chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+    """(first index, texts) in runs of about ``chars`` characters; null: empty.
+    Only one run's texts are Python strings at a time."""
     start, held, n = 0, [], 0
-    for t in texts:
-        held.append(t or "")
-        n += len(held[-1])
-        if n >= chars:
-            yield start, held
-            start, held, n = start + len(held), [], 0
+    for at in range(0, len(texts), 64):
+        for t in texts.slice(at, 64).to_pylist():
+            held.append(t or "")
+            n += len(held[-1])
+            if n >= chars:
+                yield start, held
+                start, held, n = start + len(held), [], 0
     if held:
         yield start, held
