@@ -5,8 +5,8 @@ Parquet to the shared folder and reread as the next one's ``docs``.  All but the
 last keep the columns of ``documents``:
 
 * ``quality``: documents that the classifier predicts as poor go.
-* ``near_dedup``: one document of each near-duplicate group stays, the one with
-  the smallest id.
+* ``near_dedup``: one document of each near-duplicate group (five words, Jaccard
+  0.8 or more) stays, the one with the smallest id.
 * ``secrets``: every secret span is replaced by a mark; ``n_chars`` follows.
 * ``packing``: the kept texts as pieces of padded token sequences.
 """
@@ -32,7 +32,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate group."""
     ship(spark)
-    return near_dups.drop_near_duplicates(docs)
+    return near_dups.drop_near_duplicates(docs, like=near_dups.AT_80)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

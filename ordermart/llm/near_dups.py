@@ -1,17 +1,19 @@
 """Near-duplicate documents by HyperMinHash sketches and exact confirmation.
 
-1. Sketch.  A text's shingle hashes fall into ``REGISTERS`` buckets; a register
+The threshold, with the bands and the margin fitted to it, is a ``Likeness``.
+
+1. Sketch.  A text's shingle hashes fall into ``registers`` buckets; a register
    keeps of its bucket's smallest value the number of leading zeros and
    ``MANTISSA`` bits after them.  Empty buckets borrow from a full one chosen by
    a fixed random order, alike in all texts.
 2. Classes.  Texts with equal shingle sets are one class from here on.
-3. Bands.  ``BANDS`` groups of ``ROWS`` registers are hashed.  Classes that share
+3. Bands.  ``bands`` groups of ``rows`` registers are hashed.  Classes that share
    a band are joined to the band's smallest; the components of these joins are
    the clusters.  A pair at the threshold shares no band with a probability of
-   (1 - 0.85 ** ROWS) ** BANDS = 2e-7.
+   (1 - threshold ** rows) ** bands: 2e-7 for ``AT_85``, 3e-7 for ``AT_80``.
 4. Blocks.  A cluster is cut into blocks of a bounded number of classes and
    shingles, each pair of blocks is one unit of work.  There, the collision-corrected
-   Jaccard estimate of the registers rules out what is ``MARGIN`` below the
+   Jaccard estimate of the registers rules out what is ``margin`` below the
    threshold, and the links of the rest are confirmed on the full sets.  Only a
    star of each linked group leaves the task, never its pairs.
 5. The components of these stars are the groups.
@@ -29,6 +31,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,63 +44,85 @@ from .components import components
 from .shingles import mix, shingle_sets
 from .token_cache import blocks
 
-BANDS, ROWS, MANTISSA, SEED = 40, 7, 10, 11
-REGISTERS = BANDS * ROWS
-THRESHOLD = (85, 100)  # linked: 100 * intersection >= 85 * union
-MARGIN = 0.2
+MANTISSA, SEED = 10, 11
 BLOCK_SHINGLES, BLOCK_CLASSES = 600_000, 768
 BROADCAST_ROWS = 500_000
 BLOCK_CHARS = 250_000  # of texts hashed at once
-_rng = np.random.default_rng(SEED)
-_ORDER = _rng.permuted(np.tile(np.arange(REGISTERS, dtype=np.int16), (REGISTERS, 1)), axis=1)
-_BAND = _rng.integers(1, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
+class Likeness(NamedTuple):
+    """Linked: 100 * intersection >= percent * union."""
+
+    percent: int
+    bands: int
+    rows: int
+    margin: float
+
+    @property
+    def registers(self) -> int:
+        return self.bands * self.rows
+
+
+AT_85 = Likeness(85, bands=40, rows=7, margin=0.2)
+AT_80 = Likeness(80, bands=50, rows=6, margin=0.2)
+
+
+@lru_cache
+def _tables(registers: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random orders in which empty registers borrow; factors of the bands."""
+    rng = np.random.default_rng(SEED)
+    order = rng.permuted(np.tile(np.arange(registers, dtype=np.int16), (registers, 1)), axis=1)
+    return order, rng.integers(1, 2**63, registers, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def sketch(hashes: np.ndarray, like: Likeness = AT_85) -> np.ndarray:
     """Registers of a set of sorted 64-bit hashes (not empty)."""
-    bucket = ((hashes >> np.uint64(32)) * np.uint64(REGISTERS) >> np.uint64(32)).astype(np.int64)
+    n = like.registers
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
     first = np.flatnonzero(np.diff(bucket, prepend=-1))
     low = np.minimum.reduceat(mix(hashes), first)
     zeros = np.clip(64 - np.frexp(low.astype(float))[1], 0, 62).astype(np.uint64)
     code = (zeros << np.uint64(MANTISSA)) | ((low << (zeros + np.uint64(1))) >> np.uint64(64 - MANTISSA))
-    out, full = np.zeros(REGISTERS, np.uint16), bucket[first]
+    out, full = np.zeros(n, np.uint16), bucket[first]
     out[full] = code
-    if len(full) < REGISTERS:
-        empty = np.setdiff1d(np.arange(REGISTERS), full, assume_unique=True)
-        out[empty] = out[full[_ORDER[np.ix_(empty, full)].argmin(1)]]
+    if len(full) < n:
+        empty = np.setdiff1d(np.arange(n), full, assume_unique=True)
+        out[empty] = out[full[_tables(n)[0][np.ix_(empty, full)].argmin(1)]]
     return out
 
 
-def band_keys(sketches: np.ndarray) -> np.ndarray:
+def band_keys(sketches: np.ndarray, like: Likeness = AT_85) -> np.ndarray:
     """One 64-bit key for each band of each sketch."""
     with np.errstate(over="ignore"):
-        sums = ((sketches.astype(np.uint64) + np.uint64(1)) * _BAND).reshape(len(sketches), BANDS, ROWS).sum(2)
-        return mix(sums + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+        sums = (sketches.astype(np.uint64) + np.uint64(1)) * _tables(like.registers)[1]
+        sums = sums.reshape(len(sketches), like.bands, like.rows).sum(2)
+        return mix(sums + np.arange(like.bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-def collision_rate(n: float, m: float) -> float:
+def collision_rate(n: float, m: float, registers: int) -> float:
     """Probability that a register of two disjoint sets of n and m is equal."""
-    a, b = max(1.0, n / REGISTERS), max(1.0, m / REGISTERS)
+    a, b = max(1.0, n / registers), max(1.0, m / registers)
     steps = np.arange(2 ** MANTISSA + 1) / 2 ** MANTISSA
     edges = np.exp2(-np.arange(1, 63))[:, None] * (1 + steps)
     inside = lambda k: (1 - edges[:, :-1]) ** k - (1 - edges[:, 1:]) ** k
     return float((inside(a) * inside(b)).sum())
 
 
-_rates: dict[tuple[int, int], float] = {}
+_rates: dict[tuple[int, int, int], float] = {}
 
 
 def estimated_jaccard(sketches: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Jaccard estimates of all pairs of a block, corrected for collisions."""
-    equal = np.stack([(sketches == s).sum(1) for s in sketches]) / REGISTERS
+    registers = sketches.shape[1]
+    equal = np.stack([(sketches == s).sum(1) for s in sketches]) / registers
     code = np.round(2 * np.log2(np.maximum(sizes, 1))).astype(int)
     kinds = np.unique(code)
     rate = np.zeros((len(kinds), len(kinds)))
     for i, x in enumerate(kinds.tolist()):
         for j, y in enumerate(kinds.tolist()):
-            if (x, y) not in _rates:
-                _rates[x, y] = collision_rate(2 ** (x / 2), 2 ** (y / 2))
-            rate[i, j] = _rates[x, y]
+            if (x, y, registers) not in _rates:
+                _rates[x, y, registers] = collision_rate(2 ** (x / 2), 2 ** (y / 2), registers)
+            rate[i, j] = _rates[x, y, registers]
     at = np.searchsorted(kinds, code)
     expected = rate[np.ix_(at, at)]
     return (equal - expected) / (1 - expected)
@@ -134,31 +160,31 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def linked_stars(ids: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray) -> list[tuple[int, int]]:
+def linked_stars(ids: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray,
+                 like: Likeness = AT_85) -> list[tuple[int, int]]:
     """(id, smallest id) of the linked groups of a block."""
-    above, below = THRESHOLD
     sizes = np.array([len(s) for s in sets])
     out = []
-    likely = groups_of(estimated_jaccard(sketches, sizes) >= above / below - MARGIN)
+    likely = groups_of(estimated_jaccard(sketches, sizes) >= like.percent / 100 - like.margin)
     for g in np.flatnonzero(np.bincount(likely) > 1):
         rows = np.flatnonzero(likely == g)
         both = intersections([sets[i] for i in rows])
         union = sizes[rows][:, None] + sizes[rows][None, :] - both
-        label = groups_of(below * both >= above * union)
+        label = groups_of(100 * both >= like.percent * union)
         for x in np.flatnonzero(np.bincount(label) > 1):
             some = ids[rows[label == x]]
             out += [(int(i), int(some.min())) for i in some if i != some.min()]
     return out
 
 
-def sketched(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sketched(docs: DataFrame, key: str = "doc_id", text: str = "text", like: Likeness = AT_85) -> DataFrame:
     """(id, n_shingles, digest of the set, band keys); digest null: empty."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for start, texts in blocks(b.column(1), BLOCK_CHARS):
                 sets = shingle_sets(texts)
                 full = [s for s in sets if len(s)]
-                bands = iter(band_keys(np.stack([sketch(s) for s in full])).tolist() if full else [])
+                bands = iter(band_keys(np.stack([sketch(s, like) for s in full]), like).tolist() if full else [])
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(start, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
@@ -183,7 +209,8 @@ def _clusters(classes: DataFrame) -> DataFrame:
     return components(glue).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
 
 
-def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, text: str) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, text: str,
+           like: Likeness) -> DataFrame:
     """Stars of confirmed links: (id, low)."""
     members = clusters.join(classes.select("id", "digest", "n_shingles"), "id")
     sizes = members.groupBy("cluster").agg(F.greatest(
@@ -203,7 +230,7 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, t
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).take(take), b.column(2).take(take), b.column(3).take(take),
                     pa.array([found[i].tobytes() for i in rows], pa.binary()),
-                    pa.array([sketch(found[i]).tobytes() for i in rows], pa.binary())],
+                    pa.array([sketch(found[i], like).tobytes() for i in rows], pa.binary())],
                     names=["id", "cluster", "blocks", "hashes", "sketch"])
 
     whole = texts.select("id", "text", "cluster", "blocks", "digest").mapInArrow(
@@ -220,7 +247,7 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, t
 
         def sent() -> Iterator[pa.RecordBatch]:
             found = linked_stars(np.array([r[0] for r in held]), [np.frombuffer(r[1], np.uint64) for r in held],
-                                 np.stack([np.frombuffer(r[2], np.uint16) for r in held])) if len(held) > 1 else []
+                                 np.stack([np.frombuffer(r[2], np.uint16) for r in held]), like) if len(held) > 1 else []
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["id", "low"])
 
@@ -235,14 +262,14 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, t
     return dealt.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(compare, "id long, low long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", like: Likeness = AT_85) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row."""
-    rows = stage(sketched(docs, key, text), "sketches")
+    rows = stage(sketched(docs, key, text, like), "sketches")
     classes = stage(rows.filter("digest is not null and id is not null").groupBy("digest")
                     .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"),
                          F.first("bands").alias("bands")), "classes")
     clusters = _clusters(classes)
-    groups = components(_links(docs, classes, clusters, key, text))
+    groups = components(_links(docs, classes, clusters, key, text, like))
     named = (classes.select("digest", F.col("id").alias("node")).join(groups, "node", "left")
              .select("digest", F.coalesce("root", "node").alias("component_id")))
     return (rows.select("id", "n_shingles", "digest").join(named, "digest", "left")
@@ -251,9 +278,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                     F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                         like: Likeness = AT_85) -> DataFrame:
     """``docs`` with one row of each group left, all columns as they are."""
-    found = stage(near_duplicates(docs, key, text), "near")
+    found = stage(near_duplicates(docs, key, text, like), "near")
     gone = found.filter(~F.col("kept")).select(F.col(key).alias("gone")).distinct()
     left = docs.join(_bounded(gone), docs[key] == F.col("gone"), "left_anti")
     twice = stage(found.filter(F.col("kept") & F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")

@@ -45,7 +45,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), like=near_dups.AT_85)
 
 
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+import corpus_pipeline
 from ordermart.llm import near_dups as N
 from ordermart.llm.components import components
 from ordermart.llm.shingles import shingle_sets
@@ -115,3 +116,38 @@ def test_components_against_union_find(spark):
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: find(x) for x in nodes}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def brute_groups(rows, percent):
+    """Smallest id of each (doc_id, text)'s group, by all pairs."""
+    sets = [brute_set(t) for _, t in rows]
+    root = {d: d for d, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (d, _) in enumerate(rows):
+        for (e, _), b in zip(rows[:i], sets, strict=False):
+            if 100 * len(sets[i] & b) >= percent * len(sets[i] | b):
+                x, y = find(d), find(e)
+                root[max(x, y)] = min(x, y)
+    return {d: find(d) for d in root}
+
+
+def test_threshold_is_an_argument(spark):
+    """Copies between 0.80 and 0.85 are linked at 0.8 and by the pipeline's stage only."""
+    rows = list(enumerate(variants(11, 60, 14) + variants(12, 40, 3, 60) + variants(13, 40, 5, 90), start=1))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    at80, at85 = brute_groups(rows, 80), brute_groups(rows, 85)
+    assert len(set(at80.values())) < len(set(at85.values()))
+    for like, want in ((N.AT_80, at80), (N.AT_85, at85)):
+        assert {r.doc_id: r.component_id for r in N.near_duplicates(df, like=like).collect()} == want
+    left = corpus_pipeline.near_dedup_stage(spark, df, "")
+    assert {r.doc_id for r in left.collect()} == set(at80.values())
+
+
+def test_pairs_at_the_thresholds_meet():
+    for like in (N.AT_80, N.AT_85):
+        assert (1 - (like.percent / 100) ** like.rows) ** like.bands < 5e-7
