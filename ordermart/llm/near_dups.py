@@ -19,6 +19,7 @@ The threshold, with the bands and the margin fitted to it, is a ``Likeness``.
 5. The components of these stars are the groups.
 
 Work in a cluster grows with the square of its blocks; nothing is capped.
+Repeated rows are dealt once.
 
 Defined results: null and empty texts, and texts without words, have an empty
 set and are linked with nothing; rows without an id have no component and are
@@ -209,13 +210,16 @@ def _clusters(classes: DataFrame) -> DataFrame:
     return components(glue).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
 
 
-def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, text: str,
-           like: Likeness) -> DataFrame:
-    """Stars of confirmed links: (id, low)."""
+def _member_sets(docs: DataFrame, rows: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, text: str,
+                 like: Likeness) -> DataFrame:
+    """(id, cluster, blocks, digest, hashes, sketch), once for each member class."""
     members = clusters.join(classes.select("id", "digest", "n_shingles"), "id")
     sizes = members.groupBy("cluster").agg(F.greatest(
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES)).cast("int").alias("blocks"))
-    members = stage(members.join(sizes, "cluster").select("id", "cluster", "blocks", "digest"), "members")
+    twice = stage(rows.filter("digest is not null and id is not null").groupBy("id", "digest").count()
+                  .filter("count > 1").select("id", "digest", F.lit(True).alias("again")), "repeated")
+    members = stage(members.join(sizes, "cluster").join(twice, ["id", "digest"], "left")
+                    .select("id", "cluster", "blocks", "digest", F.coalesce("again", F.lit(False)).alias("again")), "members")
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(_bounded(members), "id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,13 +232,23 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, key: str, t
                         and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digests[start + i]]
                 take = pa.array([start + i for i in rows], pa.int64())
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).take(take), b.column(2).take(take), b.column(3).take(take),
+                    *[b.column(c).take(take) for c in (0, 2, 3, 4)],
                     pa.array([found[i].tobytes() for i in rows], pa.binary()),
                     pa.array([sketch(found[i], like).tobytes() for i in rows], pa.binary())],
-                    names=["id", "cluster", "blocks", "hashes", "sketch"])
+                    names=["id", "cluster", "blocks", "digest", "hashes", "sketch"])
+
+    def whole(some: DataFrame) -> DataFrame:
+        return some.select("id", "text", "cluster", "blocks", "digest").mapInArrow(
+            sets, "id long, cluster long, blocks int, digest binary, hashes binary, sketch binary")
+
+    if twice.isEmpty():
+        return whole(texts)
+    # repeated rows: one of them stands for the class
+    return whole(texts.filter("not again")).unionByName(whole(texts.filter("again")).dropDuplicates(["id", "digest"]))
+
 
-    whole = texts.select("id", "text", "cluster", "blocks", "digest").mapInArrow(
-        sets, "id long, cluster long, blocks int, hashes binary, sketch binary")
+def _links(whole: DataFrame, like: Likeness) -> DataFrame:
+    """Stars of confirmed links: (id, low)."""
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = (whole.withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -269,7 +283,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
                     .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"),
                          F.first("bands").alias("bands")), "classes")
     clusters = _clusters(classes)
-    groups = components(_links(docs, classes, clusters, key, text, like))
+    groups = components(_links(_member_sets(docs, rows, classes, clusters, key, text, like), like))
     named = (classes.select("digest", F.col("id").alias("node")).join(groups, "node", "left")
              .select("digest", F.coalesce("root", "node").alias("component_id")))
     return (rows.select("id", "n_shingles", "digest").join(named, "digest", "left")

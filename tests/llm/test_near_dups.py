@@ -151,3 +151,20 @@ def test_threshold_is_an_argument(spark):
 def test_pairs_at_the_thresholds_meet():
     for like in (N.AT_80, N.AT_85):
         assert (1 - (like.percent / 100) ** like.rows) ** like.bands < 5e-7
+
+
+def test_repeated_rows_are_dealt_once(spark, monkeypatch):
+    """One row ten thousand times beside near copies, and ids with two texts."""
+    a, other = variants(21, 1, 0)[0], variants(22, 1, 0)[0]
+    b, c = a + " b", a + " c"
+    rows = [(5, a)] * 10_000 + [(6, b), (7, c), (7, c), (7, other), (8, other), (9, other + " end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    dealt, links = [], N._links
+    monkeypatch.setattr(N, "_links", lambda whole, *rest: dealt.append(whole.count()) or links(whole, *rest))
+    got = N.near_duplicates(df).groupBy("doc_id", "n_shingles", "component_id", "kept").count().collect()
+    assert dealt == [5]  # classes of a, b, c, other and the longer other
+    want = brute_groups([(5, a), (6, b), (7, c)], 85)
+    assert want == {5: 5, 6: 5, 7: 5}
+    assert {r.doc_id: r["count"] for r in got if r.doc_id in (5, 6)} == {5: 10_000, 6: 1}
+    assert sum(r["count"] for r in got) == len(rows)
+    assert all(r.component_id == 5 and r.kept == (r.doc_id == 5) for r in got)
