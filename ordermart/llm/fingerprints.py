@@ -6,12 +6,14 @@ rightmost on ties, and kept with its position.  Two texts that share a run of
 at least ``k + w - 1`` units share a chosen hash (the match guarantee),
 wherever the run stands in either text.
 
-The units are words between white space.  A text whose words are over
-``LONG_WORD`` bytes on average (no white space to speak of) is cut into UTF-8
-bytes instead, with k and w of its own.
+The units are words between white space.  A word of over ``LONG_WORD`` bytes
+(text without white space) is cut: each run of ``PIECE`` of its UTF-8 bytes is
+a unit.  What a word is cut into depends on that word alone, so the units of a
+passage are the same in any text; ``PIECE + k + w - 2`` shared bytes of a long
+word are k + w - 1 shared units.
 
 A chosen k-gram is one long: hash in the upper 32 bits, ``MAX_POS - position``
-in the lower 31, so that the plain minimum of a window is already "smallest
+(of its first unit) in the lower 31, so that the plain minimum of a window is already "smallest
 hash, rightmost position".
 
 Defined results: a null text counts as empty; an empty text, or one of white
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import shuffle_partitions
 
-K, W = 3, 6  # words
-BYTE_K, BYTE_W, LONG_WORD = 16, 16, 24
+K, W = 3, 6  # units
+PIECE, LONG_WORD = 16, 24  # bytes
 MAX_POS = 2**31 - 1
 WHITE_SPACE = "[ \\t-\\r]+"
 
@@ -44,21 +46,31 @@ def _packed(digest: Column, position: Column) -> Column:
     return high + (F.lit(MAX_POS).cast("long") - position.cast("long"))
 
 
-def byte_grams(data: Column, k: int) -> Column:
-    """Packed (hash, position) of every k-gram of a binary value."""
-    last = F.greatest(F.octet_length(data) - F.lit(k - 1), F.lit(1))
-    return F.transform(F.sequence(F.lit(1), last), lambda i: _packed(
-        F.xxhash64(F.substring(data, i, F.lit(k))), i - F.lit(1)))
+def pieces(word: Column) -> Column:
+    """Hash of every run of ``PIECE`` bytes of a word that is that long."""
+    def runs(data: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.octet_length(data) - F.lit(PIECE - 1)),
+                           lambda i: F.xxhash64(F.substring(data, i, F.lit(PIECE))))
+
+    return bind(word.cast("binary"), runs)
+
+
+def units(words: Column) -> Column:
+    """Hashes of words, of the pieces of long ones, in their order."""
+    long = lambda w: F.octet_length(w) > F.lit(LONG_WORD)
+    whole = F.transform(words, lambda w: F.xxhash64(w))
+    cut = F.flatten(F.transform(words, lambda w: F.when(long(w), pieces(w)).otherwise(F.array(F.xxhash64(w)))))
+    return F.when(F.exists(words, long), cut).otherwise(whole)
 
 
 def word_grams(words: Column, k: int) -> Column:
-    """Packed (hash, position) of every k-gram of an array of words."""
+    """Packed (hash, position) of every k-gram of the units of some words."""
     def grams(one: Column) -> Column:
         n = F.greatest(F.size(one) - F.lit(k - 1), F.lit(1))
         return F.transform(F.slice(one, F.lit(1), n), lambda x, i: _packed(
             F.xxhash64(x, *[F.get(one, i + F.lit(j)) for j in range(1, k)]), i))
 
-    return bind(F.transform(words, lambda w: F.xxhash64(w)), grams)
+    return bind(units(words), grams)
 
 
 def window_minima(hashes: Column, w: int) -> Column:
@@ -82,14 +94,9 @@ def winnow(text: Column, k: int = K, w: int = W) -> Column:
     """Chosen k-grams of a text as packed longs, in order of position."""
     text = F.coalesce(text, F.lit(""))
 
-    def chosen(grams: Column, width: int) -> Column:
-        return bind(grams, lambda h: F.array_distinct(window_minima(h, width)))
-
     def of(words: Column) -> Column:
-        in_bytes = bind(text.cast("binary"), lambda b: chosen(byte_grams(b, BYTE_K), BYTE_W))
-        return (F.when(F.size(words) == 0, F.array().cast("array<bigint>"))
-                .when(F.octet_length(text) > F.lit(LONG_WORD) * F.size(words), in_bytes)
-                .otherwise(chosen(word_grams(words, k), w)))
+        chosen = bind(word_grams(words, k), lambda h: F.array_distinct(window_minima(h, w)))
+        return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).otherwise(chosen)
 
     return bind(F.array_remove(F.split(text, WHITE_SPACE), F.lit("")), of)
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from ordermart.llm import fingerprints as W
 
@@ -60,3 +61,32 @@ def test_a_single_row_follows_itself(spark):
     df = spark.createDataFrame([(5, "one two three four")], "doc_id long, text string")
     r = W.edited_fingerprints(df).first()
     assert r.near_next == 1.0
+
+
+def test_unspaced_text_followed_by_prose(spark):
+    """The kept half of a text without white space is found in the edited text,
+    and a passage inside a long word beside any other text."""
+    rnd = random.Random(4)
+    unspaced = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789日本") for _ in range(4000))
+    prose = " ".join(f"word{rnd.randint(0, 999)}" for _ in range(2500))
+    code = "".join(rnd.choice("abcdef(){};=") for _ in range(60))
+    rows = [(9, unspaced), (8, prose), (7, prose[:900] + " " + unspaced[100:140] + " tail"), (6, "x" + code + "y " + prose[900:]), (5, code)]
+    got = {r.doc_id: r for r in W.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 0.25 < got[9].near_edited < 0.75
+    grams = {i: {g.split(":")[0] for g in r.fingerprint.split(",")} for i, r in got.items()}
+    assert grams[9] & grams[7] and grams[6] & grams[5] and grams[8] & grams[6]
+    assert not grams[9] & grams[8]
+
+
+def test_shared_bytes_of_long_words_are_found(spark):
+    """PIECE + k + w - 2 shared bytes within long words leave a shared hash."""
+    rnd, n = random.Random(5), W.PIECE + W.K + W.W - 2
+    noise = lambda m: "".join(rnd.choice("abcdefghijklmnop") for _ in range(m))
+    rows = []
+    for i in range(40):
+        shared = noise(n)
+        rows.append((i, noise(rnd.randint(2, 90)) + shared + noise(rnd.randint(2, 90)),
+                     "some words " * rnd.randint(0, 30) + noise(rnd.randint(2, 90)) + shared + noise(9) + " end"))
+    df = spark.createDataFrame(rows, "i int, a string, b string").repartition(2)
+    found = df.select(*[W.hashes(W.winnow(W.F.col(c))).alias(c) for c in "ab"]).filter(W.F.arrays_overlap("a", "b"))
+    assert found.count() == 40
