@@ -6,7 +6,11 @@ that no base pattern covers: a candidate's novelty is the number of bytes that
 zstandard, primed with a dictionary of common identifiers and the text around
 the candidate, needs in addition when the candidate follows its surroundings,
 per character.  Words and identifiers compress against those; random strings
-don't, and are reported as ``novel``.
+don't, and are reported as ``novel``: they need ``NOVELTY`` bytes a character,
+or, of a small alphabet, a little over the entropy of that alphabet.
+Short surroundings are filled up with fixed text, so that zstandard codes them
+as it does long ones.  Candidates without digits are not measured: this measure
+does not tell random letters from rare words.
 
 Spans are code points, the end exclusive.  Defined results: a null text is
 empty and has no spans; repeated rows repeat their spans; the whole text is
@@ -15,6 +19,7 @@ scanned, however long.
 
 from __future__ import annotations
 
+import math
 import re
 
 import pandas as pd
@@ -30,7 +35,7 @@ HEX = re.compile(r"[0-9a-f]{24,}", re.A)  # the runs of 24 and more are those of
 # Words that make what follows sensitive, and shapes of candidates.
 CONTEXT = re.compile(r"key|auth|bearer|credential|private|passphrase|pwd|secret|token|signature|session", re.A | re.I)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~.-]{16,}", re.A)
-REACH, AROUND, NOVELTY = 48, 400, 0.8
+REACH, AROUND, NOVELTY, LONG = 48, 400, 0.8, 64
 IDENTIFIERS = " ".join("""
 access account address admin alpha api app application args array assert async auth authentication authorization await backend base
 bearer bool boolean break buffer build bytes cache call callback case catch char class client code column commit config
@@ -47,6 +52,19 @@ temp template test text thread time timeout timestamp title token true type unio
 util value variable vector version view virtual void while window write xml yaml example com www org net localhost
 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789
 """.split()).encode()
+_words = IDENTIFIERS.split()
+FILLER = b" ".join(_words[i * 89 % len(_words)] for i in range(300))[:2 * AROUND]
+_ALPHABETS = [(re.compile(p), n) for p, n in (("[a-z]", 26), ("[A-Z]", 26), ("[0-9]", 10))]
+_HEX = re.compile("[0-9a-f]+|[0-9A-F]+")
+
+
+def needed(candidate: str) -> float:
+    """Marginal bytes a character from which a candidate counts as random.
+    Identifiers come near the entropy of their alphabet when they are short."""
+    if _HEX.fullmatch(candidate):
+        return math.log2(16) / 8 * 1.1
+    size = sum(n for p, n in _ALPHABETS if p.search(candidate)) + len({c for c in candidate if not c.isalnum()})
+    return min(NOVELTY, math.log2(size) / 8 * (1.2 if len(candidate) < LONG else 1.05))
 
 
 class Novelty:
@@ -60,6 +78,7 @@ class Novelty:
     def __call__(self, before: str, candidate: str, after: str) -> float:
         # copies of the candidate must not vouch for it
         around = (before + after).replace(candidate, "").encode("utf-8", "replace")
+        around = FILLER[:max(0, len(FILLER) - len(around))] + around
         alone = len(self.compressor.compress(around))
         return (len(self.compressor.compress(around + b" " + candidate.encode())) - alone) / len(candidate)
 
@@ -95,7 +114,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int,
                 break
             if (a, b) in found or not _mixed(m[0]) or any(x < b and a < y for x, y, _ in taken):
                 continue
-            if _novelty[0](text[max(0, a - AROUND):a], m[0], text[b:b + AROUND]) >= NOVELTY:
+            if _novelty[0](text[max(0, a - AROUND):a], m[0], text[b:b + AROUND]) >= needed(m[0]):
                 found[a, b] = (a, b, "novel")
     out, end = [], -1
     for a, b, kind in sorted(found.values()):

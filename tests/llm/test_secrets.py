@@ -1,7 +1,11 @@
 import hashlib
 import random
 import re
+import string
 
+import pyarrow.parquet as pq
+
+from conftest import SF001
 from ordermart.llm import secrets
 
 PATTERNS = [("assign", re.compile("([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|"
@@ -56,3 +60,30 @@ def test_redaction_leaves_clean_texts_alone():
     assert secrets.redact(None) is None and secrets.redact("") == ""
     assert secrets.redact("plain words only") == "plain words only"
     assert secrets.redact('a password = "abcdef123456" b') == 'a [REDACTED]" b'
+
+
+def test_recall_by_length_alphabet_and_document_length():
+    """Random strings with a digit, with 0, 40 and 400 characters around; few clean identifiers go."""
+    rnd = random.Random(3)
+    alphabets = [string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits,
+                 string.ascii_lowercase + string.digits, "0123456789ABCDEF"]
+    texts = [t for t in pq.read_table(f"{SF001}/documents.parquet").column("text").to_pylist() if t and len(t) > 500]
+    prose = " ".join(texts)[:200_000]
+
+    def beside(s, around):
+        at = rnd.randrange(len(prose) - 2000)
+        return f"{prose[at:at + around]} key {s} {prose[at + 1000:at + 1000 + around]}"
+
+    clean = """configuration_parameter_name2 authorization_service_endpoint1 default_session_timeout_2024 user_account_id_2
+        http2_connection_pool get_refresh_token_v2 ConfigurationManager2 request_header_size_max1024 databaseConnection1
+        oauth2_client_credentials sha256_checksum_file session.storage.path.v1 private_key_file_name_1
+        AuthenticationHandlerV2 test-database-server-01 example.com/path/version1 key_size_2048_default""".split()
+    for around in (0, 40, 400):
+        for alphabet in alphabets:
+            for size in (16, 20, 32, 128):
+                some = ["".join(rnd.choice(alphabet) for _ in range(size)) for _ in range(60)]
+                some = [s for s in some if any(c.isdigit() for c in s)]
+                found = sum(any(k == "novel" for *_, k in secrets.find(beside(s, around))) for s in some)
+                assert found >= 0.85 * len(some), (around, alphabet, size, found)
+        wrong = sum(bool(secrets.find(beside(s, around))) for s in clean for _ in range(8))
+        assert wrong <= 0.5 * 8 * len(clean), (around, wrong)
