@@ -7,11 +7,13 @@ Only a local session without that setting gets a private temporary folder.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -59,6 +61,24 @@ def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def unused_name(df: DataFrame, wish: str) -> str:
+    """A column name that ``df`` does not have (compared as Spark does)."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
+def trim_worker() -> None:
+    """Give a worker's unused memory back to the system: Spark reuses Python
+    workers, and what one task has freed would else count for all later ones."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh_folder, shuffle_partitions
-from .token_cache import blocks, encoder
+from .token_cache import blocks, encoder, forget
 
 NULL_KEY = None
 GAMMA = 2.0
@@ -186,12 +186,15 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, out, enc = TaskContext.get().partitionId(), None, encoder(tokenizer, cut)
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for start, some in blocks(texts):
-                out = out or ShardWriter(folder, shard, width)
-                for k, payload in zip(keys[start:], enc.payloads(some)):
-                    out.add(k, payload + end)
+        try:
+            for batch in batches:
+                keys, texts = batch.column(0).to_pylist(), batch.column(1)
+                for start, some in blocks(texts):
+                    out = out or ShardWriter(folder, shard, width)
+                    for k, payload in zip(keys[start:], enc.payloads(some)):
+                        out.add(k, payload + end)
+        finally:
+            forget()
         if out:
             n_rows, n_ids = out.close()
             yield pa.RecordBatch.from_arrays(

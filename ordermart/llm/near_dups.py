@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, unused_name
 from .components import components
 from .shingles import mix, shingle_sets
 from .token_cache import blocks
@@ -294,13 +294,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                          like: Likeness = AT_85) -> DataFrame:
-    """``docs`` with one row of each group left, all columns as they are."""
-    found = stage(near_duplicates(docs, key, text, like), "near")
-    gone = found.filter(~F.col("kept")).select(F.col(key).alias("gone")).distinct()
-    left = docs.join(_bounded(gone), docs[key] == F.col("gone"), "left_anti")
-    twice = stage(found.filter(F.col("kept") & F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
-                  .select(F.col(key).alias("again")), "twice")
+    """``docs`` with one row of each group left, all columns as they are (any
+    names may occur among them)."""
+    mine = unused_name(docs, "near_id")
+    found = stage(near_duplicates(docs, key, text, like).select(F.col(key).alias(mine), "kept"), "near")
+    gone = found.filter(~F.col("kept")).select(mine).distinct()
+    left = docs.join(_bounded(gone), docs[key] == F.col(mine), "left_anti")
+    twice = stage(found.filter(F.col("kept") & F.col(mine).isNotNull()).groupBy(mine).count().filter("count > 1")
+                  .select(mine), "twice")
     if twice.isEmpty():
         return left
-    once = left.join(twice, left[key] == F.col("again"), "left_semi").dropDuplicates([key])
-    return left.join(twice, left[key] == F.col("again"), "left_anti").unionByName(once)
+    once = left.join(twice, left[key] == F.col(mine), "left_semi").dropDuplicates([key])
+    return left.join(twice, left[key] == F.col(mine), "left_anti").unionByName(once)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
-from .token_cache import blocks, encoder
+from .token_cache import blocks, encoder, forget
 
 CAPACITY = 2048
 TOLERANCE = 16
@@ -120,15 +120,18 @@ def _pieces_of(docs: DataFrame, tokenizer: str, end_id: int, key: str, text: str
         enc, bins = encoder(tokenizer, cut), Filler(TaskContext.get().partitionId(), 0, capacity, TaskContext.get().partitionId())
 
         def filled() -> Iterator[list[tuple]]:
-            for batch in batches:
-                keys, texts = batch.column(0).to_pylist(), batch.column(1)
-                for first, some in blocks(texts):
-                    for k, payload in zip(keys[first:], enc.payloads(some)):
-                        payload += end
-                        n, at = len(payload) // 4, 0
-                        for size in cut_lengths(n, capacity, tolerance):
-                            yield bins.add((k, at, size, n, payload[4 * at:4 * (at + size)], capacity // size))
-                            at += size
+            try:
+                for batch in batches:
+                    keys, texts = batch.column(0).to_pylist(), batch.column(1)
+                    for first, some in blocks(texts):
+                        for k, payload in zip(keys[first:], enc.payloads(some)):
+                            payload += end
+                            n, at = len(payload) // 4, 0
+                            for size in cut_lengths(n, capacity, tolerance):
+                                yield bins.add((k, at, size, n, payload[4 * at:4 * (at + size)], capacity // size))
+                                at += size
+            finally:
+                forget()
             yield bins.rest()
 
         return _sent(filled())

@@ -18,6 +18,7 @@ _PLACE = [(0xD6E8FEB86659FD93 * (2 * j + 3)) & (2**64 - 1) | 1 for j in range(SH
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _powers: list[np.ndarray] = []
+KEPT_POWERS = 1 << 20  # entries of the tables that stay in a worker
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -55,7 +56,7 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
         words = mix((sums[ends - 1] - before) * inverse[starts] + (ends - starts).astype(np.uint64))
         runs = np.zeros(len(words), np.uint64)
         for j, place in enumerate(_PLACE):
-            runs[:len(words) - j] += words[j:] * np.uint64(place)
+            runs[:max(0, len(words) - j)] += words[j:] * np.uint64(place)
         runs = mix(runs)
         text_of = np.searchsorted(np.cumsum(sizes) - sizes, starts, "right") - 1
         bounds = np.searchsorted(text_of, np.arange(len(texts) + 1))
@@ -68,4 +69,6 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
                 out.append(mix(np.array([whole ^ 0xA5A5A5A5A5A5A5A5], np.uint64)))
             else:
                 out.append(np.zeros(0, np.uint64))
+    if len(power) > KEPT_POWERS:  # made for one very long text
+        _powers.clear()
     return out

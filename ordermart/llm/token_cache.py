@@ -27,6 +27,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from .common import trim_worker
+
 MAX_CACHED, MAX_MERGED = 150_000, 220_000
 MISS_BLOCK = 4096
 # The pre-token patterns of the two kinds, for common characters
@@ -134,6 +136,12 @@ def encoder(path: str, cut: str) -> WordCache:
     return _encoders[path, cut]
 
 
+def forget() -> None:
+    """Free the worker's encoders when a task ends."""
+    _encoders.clear()
+    trim_worker()
+
+
 def blocks(texts: pa.Array, chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """(first index, texts) in runs of about ``chars`` characters; null: empty.
     Only one run's texts are Python strings at a time."""

@@ -13,7 +13,7 @@ def brute_set(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """(size, component) of each (doc_id, text), by all pairs."""
     sets = [brute_set(t) for _, t in rows]
     root = list(range(len(rows)))
@@ -26,7 +26,7 @@ def brute(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and rows[i][0] is not None and rows[j][0] is not None and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and rows[i][0] is not None and rows[j][0] is not None and 100 * len(a & b) >= percent * len(a | b):
                 root[find(i)] = find(j)
     low = {}
     for i, (d, _) in enumerate(rows):
@@ -168,3 +168,23 @@ def test_repeated_rows_are_dealt_once(spark, monkeypatch):
     assert {r.doc_id: r["count"] for r in got if r.doc_id in (5, 6)} == {5: 10_000, 6: 1}
     assert sum(r["count"] for r in got) == len(rows)
     assert all(r.component_id == 5 and r.kept == (r.doc_id == 5) for r in got)
+
+
+def test_runs_of_few_words(spark):
+    """Partitions whose texts hold 0 to 6 words in all."""
+    for n in range(7):
+        rows = [(1, " ".join("abcdef"[:n]))]
+        got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got] == brute(rows)
+    rows = [(1, "x y"), (2, "X  y"), (3, "p q r"), (4, "one"), (5, "")]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows)
+
+
+def test_drop_keeps_clashing_columns(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, t, 1, 2, 3, 4) for i, t in ((1, text), (2, text), (3, "another text"), (3, "another text"), (4, None))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone int, again int, near_id int, NEAR_ID_ int")
+    left = N.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3, 4]

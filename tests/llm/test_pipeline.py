@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from conftest import SF001
-from ordermart.llm import quality, secrets
+from ordermart.llm import near_dups, quality, secrets
 from ordermart.llm.common import ship
 from llm.test_near_dups import brute
 
@@ -39,7 +39,7 @@ def test_each_stage_takes_effect(spark):
     assert len(good - kept) <= 0.1 * len(good)
 
     pairs = [(r[0], r[1]) for r in rows["quality"]]
-    first = [d for d, _, _, stays in brute(pairs) if stays]
+    first = [d for d, _, _, stays in brute(pairs, near_dups.AT_80.percent) if stays]
     assert [r[0] for r in rows["near_dedup"]] == sorted(first)
 
     changed = 0
