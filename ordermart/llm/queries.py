@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, id_shards, lbl, near_dups, packing, pieces, quality, secrets, va_search
+from . import (chat, fingerprints, id_shards, lbl, near_dups, packing, pieces, prefix_trie, quality, secrets,
+               va_search)
 from .common import table
 
 #: the tricky conversation that op3 formats beside the table
@@ -71,10 +72,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_lm_score, op2_packing, op3_chat_format, op4_topk_search, op5_quality, op6_secrets,
-        op7_near_dups, op8_token_shards, op9_sentencepiece, op10_fingerprints)}
+        op7_near_dups, op8_token_shards, op9_sentencepiece, op10_fingerprints, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -124,4 +129,32 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(14 + length(regexp_replace(role, '[\\<#:]', 'xx', 'g')) + length(regexp_replace(text, '[\\<#]', 'xx', 'g'))) AS BIGINT) AS formatted_chars,
   CAST(0 AS BIGINT) AS n_attachments,
   CAST(sum(len(list_filter(regexp_split_to_array(text, '[ \t\n\r\f\v]+'), lambda x: x <> ''))) AS BIGINT) AS tokens
-FROM t GROUP BY conv_id"""}
+FROM t GROUP BY conv_id""", "op13_prefix_trie": """
+WITH RECURSIVE own AS (
+  SELECT conv_id AS c, list(struct_pack(k := length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''),
+      n := length(coalesce(text, ''))) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), sums AS (
+  SELECT c, xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+      lambda a, b: list_reduce(range(8), lambda s, i: xor(s >> 1, CASE WHEN s & 1 = 1 THEN 3988292384 ELSE 0 END), xor(a, b)),
+      4294967295), 4294967295) % 6 AS h
+  FROM own
+), rebuilt AS (
+  SELECT o.c, list_concat(coalesce(b.t, [])[1:h], o.t[h + 1:]) AS t
+  FROM own o JOIN sums USING (c) LEFT JOIN own b ON b.c = o.c - o.c % 100
+), steps AS (
+  SELECT c, unnest(range(len(t) + 1)) AS depth, t FROM rebuilt
+), members AS (
+  SELECT c, depth, list_transform(t[1:depth], lambda x: x.k) AS path, t[depth].n AS n, len(t) = depth AS ends FROM steps
+), nodes AS (
+  SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, coalesce(any_value(n), 0) AS n,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY path, depth
+), child AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+flat AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN child USING (path))
+SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, any_value(p.conv_id) AS parent_conv_id, any_value(a.n_convs) AS n_convs,
+  any_value(a.n_children) AS n_children, count(*) FILTER (d.n_children = 0) AS n_leaves,
+  CAST(sum((d.n_convs - 1) * d.n) AS BIGINT) AS saved_tokens, any_value(a.ends_sha256) AS ends_sha256
+FROM flat a JOIN flat d ON d.depth >= a.depth AND d.path[1:a.depth] = a.path
+LEFT JOIN flat p ON a.depth > 0 AND p.depth = a.depth - 1 AND p.path = a.path[1:a.depth - 1]
+GROUP BY a.path, a.depth, a.conv_id"""}

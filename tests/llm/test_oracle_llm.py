@@ -20,4 +20,4 @@ def test_query_matches_oracle(spark, key):
 
 
 def test_registered_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
