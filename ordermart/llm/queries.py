@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, fingerprints, id_shards, lbl, near_dups, packing, pieces, prefix_trie, quality, secrets,
-               va_search)
+from . import (chat, fingerprints, id_shards, lbl, lexical_rank, near_dups, packing, pieces, prefix_trie, quality,
+               secrets, va_search)
 from .common import table
 
 #: the tricky conversation that op3 formats beside the table
@@ -72,6 +72,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_rank.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -79,7 +83,8 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_lm_score, op2_packing, op3_chat_format, op4_topk_search, op5_quality, op6_secrets,
-        op7_near_dups, op8_token_shards, op9_sentencepiece, op10_fingerprints, op13_prefix_trie)}
+        op7_near_dups, op8_token_shards, op9_sentencepiece, op10_fingerprints, op11_lexical_rank,
+        op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -129,7 +134,30 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(14 + length(regexp_replace(role, '[\\<#:]', 'xx', 'g')) + length(regexp_replace(text, '[\\<#]', 'xx', 'g'))) AS BIGINT) AS formatted_chars,
   CAST(0 AS BIGINT) AS n_attachments,
   CAST(sum(len(list_filter(regexp_split_to_array(text, '[ \t\n\r\f\v]+'), lambda x: x <> ''))) AS BIGINT) AS tokens
-FROM t GROUP BY conv_id""", "op13_prefix_trie": """
+FROM t GROUP BY conv_id""", "op11_lexical_rank": r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+), s AS (SELECT count(*) AS n, sum(len(t)) AS l FROM d WHERE len(t) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, s GROUP BY term, n
+), q AS (
+  SELECT DISTINCT item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM benchmark WHERE item_id IS NOT NULL
+), qt AS (
+  SELECT item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM q
+), scored AS (
+  SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(t) * n) // l)))) AS BIGINT) AS score
+  FROM qt JOIN tf USING (term) JOIN w USING (term) JOIN d USING (r), s WHERE doc_id IS NOT NULL GROUP BY item_id, doc_id, r
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""", "op13_prefix_trie": """
 WITH RECURSIVE own AS (
   SELECT conv_id AS c, list(struct_pack(k := length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''),
       n := length(coalesce(text, ''))) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
