@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat, fingerprints, id_shards, lbl, lexical_rank, near_dups, packing, pieces, prefix_trie, quality,
-               secrets, va_search)
+               secrets, suffix_levels, va_search)
 from .common import table
 
 #: the tricky conversation that op3 formats beside the table
@@ -76,6 +76,10 @@ def op11_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_rank.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_levels.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -84,7 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_lm_score, op2_packing, op3_chat_format, op4_topk_search, op5_quality, op6_secrets,
         op7_near_dups, op8_token_shards, op9_sentencepiece, op10_fingerprints, op11_lexical_rank,
-        op13_prefix_trie)}
+        op12_suffix_dedup, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
