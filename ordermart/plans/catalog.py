@@ -809,3 +809,6 @@ def queries() -> dict[str, Builder]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
+
+
+from . import catalog_evolving  # noqa: E402,F401  (registers its keys)
