@@ -9,7 +9,7 @@ Semantics (kept from the pipeline):
   ``order_date`` ALONE, so all same-day orders share the day's closing total.
 
 ``customer_history`` (default) never puts one customer into one task. The key
-(customer, date, order_id) is cut into buckets by sampled split points
+(customer, date, order_id) is cut into buckets, runs of the stored order
 (``ranks.with_buckets``); windows run per (bucket, customer); a small summary
 per (bucket, customer) — row count, cents, last amount — is prefix-summed over
 buckets and joined back on the same keys the fact is already partitioned by.
@@ -31,7 +31,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import units, units_to_double
-from ..session import materialize
 from .ranks import with_buckets
 
 OUT_COLS = ["customer_order_number", "previous_order_amount", "running_customer_revenue"]
@@ -62,11 +61,10 @@ def _ns_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "lef
 
 def customer_history(df: DataFrame, cust: str = "customer_id", date: str = "order_date",
                      oid: str = "order_id", amount: str = "final_amount",
-                     bounds_from: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     order = [(cust, False), (date, False), (oid, False)]
-    b = with_buckets(df, order, bounds_from=bounds_from, buckets=buckets).drop("_key")
-    # read by the local windows, the segment summary and the day summary
-    b = materialize(b.withColumn("_c", units(amount)), "history-buckets")
+    # stored: read by the local windows, the segment summary and the day summary
+    b = with_buckets(df.withColumn("_c", units(amount)), order, buckets=buckets, name="history-buckets")
     seg_keys = ["_bkt", cust]
 
     ordered = Window.partitionBy(*seg_keys).orderBy(date, oid)
@@ -141,8 +139,7 @@ def heavy_keys(df: DataFrame, key: str, heavy_rows: int,
 
 def customer_history_hybrid(df: DataFrame, cust: str = "customer_id", date: str = "order_date",
                             oid: str = "order_id", amount: str = "final_amount",
-                            heavy_rows: int = HEAVY_ROWS, bounds_from: DataFrame | None = None,
-                            buckets: int | None = None) -> DataFrame:
+                            heavy_rows: int = HEAVY_ROWS, buckets: int | None = None) -> DataFrame:
     """Plain window for ordinary customers, bucketed path for heavy ones.
 
     With no more rows in total than ``heavy_rows`` no customer can be heavy,
@@ -152,7 +149,7 @@ def customer_history_hybrid(df: DataFrame, cust: str = "customer_id", date: str
     heavy = [] if df.count() <= heavy_rows else heavy_keys(df, cust, heavy_rows)
     kw = dict(cust=cust, date=date, oid=oid, amount=amount)
     if heavy is None:
-        return customer_history(df, bounds_from=bounds_from, buckets=buckets, **kw)
+        return customer_history(df, buckets=buckets, **kw)
     if not heavy:
         return customer_history_window(df, **kw)
     # the split must be a true/false test for every row: x IN (..., NULL) is not
@@ -161,6 +158,5 @@ def customer_history_hybrid(df: DataFrame, cust: str = "customer_id", date: str
     if len(named) < len(heavy):  # orders without a customer are many: split them too
         is_heavy = is_heavy | F.col(cust).isNull()
     light = customer_history_window(df.filter(~is_heavy), **kw)
-    src = bounds_from.filter(is_heavy) if bounds_from is not None else None
-    hot = customer_history(df.filter(is_heavy), bounds_from=src, buckets=buckets, **kw)
+    hot = customer_history(df.filter(is_heavy), buckets=buckets, **kw)
     return light.unionByName(hot)

@@ -4,26 +4,26 @@
 ONE task (``Exchange SinglePartition``). The operators here compute the same
 numbers with the work spread over many tasks:
 
-1. **Bounds.** A Bernoulli sample of the sort key with fraction
-   ``1.5 * sample / rows`` (a map-side filter; the driver receives about
-   ``1.5 * sample`` rows whatever the data size) gives ``B-1`` split points.
-2. **Bucket.** Each row's bucket is a pure function of its key and those
-   literal bounds (a binary search, log2(B) comparisons),
-   so a re-executed task puts every row in the same bucket again.
-3. **Local rank** inside each bucket with a window partitioned by the bucket.
-4. **Offsets.** Per-bucket counts (partial aggregation) and a prefix sum over
-   at most ``B`` rows; the offsets table is broadcast (its size is bounded by
-   ``B``, not by the data).
+1. **Range shuffle.** The rows are range-partitioned by the order (Spark samples
+   the bounds), sorted inside each partition and written once, each with its
+   partition and its place in it. Both are stored, so no later pass can see
+   another placement, and no row is compared with bounds again.
+2. **Offsets.** Rows per partition are counted on the stored copy (one small
+   scan of one column); their running sum is a literal array with one entry a
+   partition. The global row number is an addition.
+3. **Buckets.** Where a bounded piece of the order is needed (windows over hot keys),
+   a bucket is a run of the row numbers: ``(rn - 1) * buckets div rows``, exactly
+   even, whatever the number of tasks; more buckets cost nothing.
 
 Size check: an input of at most ``SMALL_RANK_ROWS`` rows (counted first; a
 metadata-cheap count on the staged inputs the marts pass in) is ranked with
 the plain window instead: one task holding a proven-bounded number of rows is
-cheaper than the extra sample and count jobs. Beyond the bound, always the
-bucketed path (like a broadcast join behind a size check, with the shuffle
-join beyond it). ``small_rows=0`` forces the bucketed path (tests).
+cheaper than the extra write and count jobs. Beyond the bound, always the
+range shuffle (like a broadcast join behind a size check, with the shuffle
+join beyond it). ``small_rows=0`` forces it (tests).
 
 Ties: ``row_number``-based operators require a total order (callers append a
-unique tiebreak column), so a heavy key value is spread over many buckets.
+unique tiebreak column), so a heavy key value is spread over many partitions.
 ``dense_rank`` works on the DISTINCT values, so duplicates collapse in the
 map-side partial aggregate before any shuffle.
 """
@@ -34,176 +34,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import materialize
 
 OrderSpec = Sequence[tuple[str, bool]]  # (column, descending)
 
 SMALL_RANK_ROWS = 200_000
-MAX_BUCKETS = 4096
-SAMPLE_PER_BUCKET = 16
-SEED = 20240917
-
-
 MIN_ROWS_PER_BUCKET = 20_000
+_PLACE_BITS = 33  # of monotonically_increasing_id; above them is the partition
 
 
 def default_buckets(df: DataFrame, rows: int | None = None) -> int:
-    """About four buckets per shuffle partition, at most ``MAX_BUCKETS``, and
-    no more than one per ``MIN_ROWS_PER_BUCKET`` rows (tiny buckets only add
-    overhead)."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    b = min(MAX_BUCKETS, 4 * parts)
+    """About four buckets per shuffle partition, and no more than one per
+    ``MIN_ROWS_PER_BUCKET`` rows (tiny buckets only add overhead)."""
+    b = 4 * _partitions(df)
     if rows is not None:
         b = min(b, -(-rows // MIN_ROWS_PER_BUCKET))
     return max(2, b)
 
 
-def sort_key(df: DataFrame, order: OrderSpec) -> Column:
-    """A struct whose plain ascending order is the requested order.
-
-    Spark orders ASC with NULLS FIRST and DESC with NULLS LAST; each column
-    contributes a null flag and a value (turned round for DESC).
-    """
-    fields = []
-    types = {f.name: f.dataType for f in df.schema.fields}
-    for i, (name, desc) in enumerate(order):
-        c = F.col(name)
-        if desc:
-            fields += [c.isNull().alias(f"n{i}"),
-                       *[x.alias(f"v{i}_{j}") for j, x in enumerate(_turned(c, types[name]))]]
-        else:
-            fields += [c.isNotNull().alias(f"n{i}"), c.alias(f"v{i}")]
-    return F.struct(*fields)
-
-
-def _turned(c: Column, t: T.DataType) -> list[Column]:
-    """Columns whose ascending order is the descending order of ``c``."""
-    if isinstance(t, (T.DoubleType, T.FloatType)):
-        # NaN is the largest value, so it comes first
-        return [F.coalesce(~F.isnan(c), F.lit(True)), F.when(~F.isnan(c), -c)]
-    if isinstance(t, T.NumericType):
-        # -1 - x reaches every integer where -x overflows on the smallest
-        return [-F.lit(1) - c] if isinstance(t, T.IntegralType) else [-c]
-    if isinstance(t, T.BooleanType):
-        return [~c]
-    if isinstance(t, T.DateType):
-        return [-F.unix_date(c)]
-    if isinstance(t, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return [-F.timestamp_diff("MICROSECOND", epoch, c)]
-    if isinstance(t, T.TimestampType):
-        return [-F.unix_micros(c)]
-    if isinstance(t, T.StringType):
-        # inverted hex digits, and an end mark above them: a prefix comes last
-        turned = F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210")
-        return [F.concat(turned, F.lit("G"))]
-    raise TypeError(f"no descending order for {t.simpleString()}")
-
-
-def _sql_literal(v, t: T.DataType) -> str:
-    """A typed SQL literal for one bound value (exact for doubles via repr)."""
-    sql_type = t.simpleString()
-    if v is None:
-        return f"CAST(NULL AS {sql_type})"
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    if isinstance(v, (int, float)):
-        return f"CAST('{v!r}' AS {sql_type})"
-    if isinstance(t, T.TimestampNTZType):
-        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
-    if isinstance(t, T.TimestampType):
-        return f"CAST('{v.isoformat(sep=' ')}' AS TIMESTAMP)"
-    if isinstance(t, T.DateType):
-        return f"DATE '{v.isoformat()}'"
-    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
-    return f"CAST('{text}' AS {sql_type})"
-
-
-def _lit_struct(row, schema: T.StructType) -> str:
-    parts = []
-    for i, f in enumerate(schema.fields):
-        parts += [f"'{f.name}'", _sql_literal(row[i], f.dataType)]
-    return f"named_struct({', '.join(parts)})"
-
-
-def _none_safe(row) -> tuple:
-    # (flag, value) pairs: a None value only ever meets another None
-    return tuple((0, 0) if v is None else (1, v) for v in row)
-
-
-def sample_bounds(df: DataFrame, order: OrderSpec, buckets: int | None = None,
-                  sample: int | None = None, rows_hint: int | None = None
-                  ) -> tuple[list, T.StructType]:
-    """Up to ``buckets - 1`` ascending split points of ``sort_key(order)``.
-
-    ``rows_hint``: the input's row count when already known (else counted).
-    """
-    keyed = df.select(sort_key(df, order).alias("k"))
-    schema = keyed.schema["k"].dataType
-    n = rows_hint if rows_hint is not None else df.count()
-    if n == 0:
-        return [], schema
-    buckets = buckets or default_buckets(df, n)
-    sample = sample or SAMPLE_PER_BUCKET * buckets
-    fraction = min(1.0, 1.5 * sample / n)
-    rows = keyed.sample(False, fraction, SEED).collect()
-    keys = sorted((tuple(r["k"]) for r in rows), key=_none_safe)
-    if not keys or buckets <= 1:
-        return [], schema
-    step = len(keys) / buckets
-    bounds = []
-    for i in range(1, buckets):
-        b = keys[min(len(keys) - 1, int(i * step))]
-        if not bounds or _none_safe(b) > _none_safe(bounds[-1]):
-            bounds.append(b)
-    return bounds, schema
-
-
-LEAVES = 64  # of a compiled search tree; more outgrow a method
-
-
-def bucket_expr(key_col: str, bounds: list, schema: T.StructType) -> Column:
-    """Number of bounds <= key (pure, deterministic); log2(B) comparisons.
-
-    Up to ``LEAVES`` bounds are a CASE tree, compiled with the rest of the
-    stage. More are a binary search in one literal array: an ``aggregate`` over
-    the step sizes, whose code does not grow with the number of bounds. Past the
-    array's end ``get`` is NULL, which means "not below".
-    """
-    lits = [_lit_struct(b, schema) for b in bounds]
-    if len(lits) > LEAVES:
-        steps = [1 << i for i in reversed(range(len(lits).bit_length()))]
-        return F.expr(f"aggregate(array({', '.join(map(str, steps))}), 0, (at, step) -> "
-                      f"if(get(array({', '.join(lits)}), at + step - 1) <= `{key_col}`, at + step, at))")
-
-    def search(lo: int, hi: int) -> str:
-        # bounds[lo-1] <= key < bounds[hi] is known; answer lies in [lo, hi]
-        if lo >= hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return (f"CASE WHEN `{key_col}` >= {lits[mid]} THEN {search(mid + 1, hi)} "
-                f"ELSE {search(lo, mid)} END")
-
-    return F.expr(search(0, len(lits)))
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def with_buckets(df: DataFrame, order: OrderSpec, bucket_col: str = "_bkt",
-                 key_col: str = "_key", bounds_from: DataFrame | None = None,
-                 buckets: int | None = None, rows_hint: int | None = None) -> DataFrame:
-    """Adds the normalised sort key and its bucket.
-
-    ``bounds_from`` may be a cheaper DataFrame with (nearly) the same key
-    distribution, e.g. the raw input of an expensive plan; bounds only steer
-    balance, never correctness.
-    """
-    src = bounds_from if bounds_from is not None else df
-    bounds, _ = sample_bounds(src, order, buckets,
-                              rows_hint=rows_hint if bounds_from is None else None)
-    keyed = df.withColumn(key_col, sort_key(df, order))
-    schema = keyed.schema[key_col].dataType
-    return keyed.withColumn(bucket_col, bucket_expr(key_col, bounds, schema))
+def ordered(df: DataFrame, order: OrderSpec, out: str = "_rn", ranges: int | None = None,
+            name: str = "ordered") -> tuple[DataFrame, int]:
+    """The stored rows of ``df`` with their row number in ``order``, and how many
+    there are. One range shuffle and one write; ``df`` is read twice (the sample of
+    the bounds and the shuffle), so an expensive plan is staged first."""
+    keys = window_order(order)
+    laid = (df.repartitionByRange(ranges or _partitions(df), *keys).sortWithinPartitions(*keys)
+            .withColumn("_at", F.monotonically_increasing_id()))
+    stored = materialize(laid, name)
+    part = F.shiftright("_at", _PLACE_BITS).cast("int")
+    counts = {r["p"]: r["n"] for r in stored.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets, total = [], 0
+    for i in range(max(counts, default=0) + 1):
+        offsets.append(total)
+        total += counts.get(i, 0)
+    before = F.array(*[F.lit(o).cast("long") for o in offsets])
+    place = F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return stored.withColumn(out, F.get(before, part) + place + 1).drop("_at"), total
 
 
 def window_order(order: OrderSpec) -> list[Column]:
@@ -211,6 +82,19 @@ def window_order(order: OrderSpec) -> list[Column]:
     return [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in order]
 
 
+def with_buckets(df: DataFrame, order: OrderSpec, bucket_col: str = "_bkt",
+                 buckets: int | None = None, name: str = "buckets") -> DataFrame:
+    """The stored rows of ``df`` with the bucket of each: runs of ``order`` of
+    equal size, numbered from 0."""
+    rows = None if buckets else df.count()
+    n = buckets or default_buckets(df, rows)
+    numbered, total = ordered(df, order, ranges=min(n, _partitions(df)), name=name)
+    bucket = F.floor((F.col("_rn") - 1) * F.lit(n) / F.lit(max(1, total)))
+    if total * n >= 2 ** 53:  # beyond exact doubles
+        bucket = F.expr(f"CAST((_rn - 1) AS DECIMAL(38, 0)) * {n} div {total}")
+    return numbered.withColumn(bucket_col, bucket.cast("int")).drop("_rn")
+
+
 def _small(df: DataFrame, small_rows: int, rows: int | None = None) -> int | None:
     """Row count (``rows`` when known) when it is within ``small_rows``, else None."""
     if small_rows <= 0:
@@ -220,38 +104,23 @@ def _small(df: DataFrame, small_rows: int, rows: int | None = None) -> int | Non
 
 
 def global_row_number(df: DataFrame, order: OrderSpec, out: str = "row_number",
-                      total_col: str | None = None, bounds_from: DataFrame | None = None,
-                      buckets: int | None = None,
+                      total_col: str | None = None, buckets: int | None = None,
                       small_rows: int = SMALL_RANK_ROWS, rows: int | None = None) -> DataFrame:
-    """``row_number() OVER (ORDER BY order)`` computed bucket-parallel.
+    """``row_number() OVER (ORDER BY order)`` computed range-parallel.
 
-    ``rows``: the input's row count when already known. ``order`` must be a total order (end it with a unique column) for the result
-    to be deterministic. Optionally adds the total row count as ``total_col``.
+    ``rows``: the input's row count when already known. ``order`` must be a total
+    order (end it with a unique column) for the result to be deterministic.
+    ``buckets``: the number of ranges, at most one a shuffle partition. Optionally
+    adds the total row count as ``total_col``.
     """
     n = _small(df, small_rows, rows)
     if n is not None:
         out_df = df.withColumn(out, F.row_number().over(
             Window.orderBy(*window_order(order))).cast("long"))
-        return out_df.withColumn(total_col, F.lit(n).cast("long")) if total_col else out_df
-    b = with_buckets(df, order, bounds_from=bounds_from, buckets=buckets, rows_hint=rows)
-    offsets, total = bucket_offsets(b)
-    local = b.withColumn("_lrn", F.row_number().over(
-        Window.partitionBy("_bkt").orderBy("_key")))
-    out_df = local.withColumn(out, (offsets[F.col("_bkt")] + F.col("_lrn")).cast("long"))
-    if total_col:
-        out_df = out_df.withColumn(total_col, F.lit(total).cast("long"))
-    return out_df.drop("_bkt", "_key", "_lrn")
-
-
-def bucket_offsets(bucketed: DataFrame, bucket_col: str = "_bkt") -> tuple[Column, int]:
-    """Rows before each bucket, as a literal array indexed by bucket, and the
-    total row count. One small job; the driver receives at most B rows."""
-    counts = dict(bucketed.groupBy(bucket_col).agg(F.count(F.lit(1)).alias("_n")).collect())
-    offsets, run = [], 0
-    for i in range(max(counts, default=0) + 1):
-        offsets.append(run)
-        run += counts.get(i, 0)
-    return F.array(*[F.lit(o).cast("long") for o in offsets or [0]]), run
+    else:
+        ranges = min(_partitions(df), buckets or default_buckets(df, rows))
+        out_df, n = ordered(df, order, out, ranges, "row-numbers")
+    return out_df.withColumn(total_col, F.lit(n).cast("long")) if total_col else out_df
 
 
 def global_dense_rank(df: DataFrame, value: str, descending: bool = True,
@@ -323,7 +192,7 @@ def dense_rank_within(df: DataFrame, part: str, value: str, descending: bool = T
     """``dense_rank() OVER (PARTITION BY part ORDER BY value)`` without putting
     a whole (possibly huge) partition into one task.
 
-    Works on DISTINCT (part, value) pairs: bucketed by the sampled split points
+    Works on DISTINCT (part, value) pairs: bucketed by the order
     of (part, value), ranked locally per (bucket, part), then offset by the
     number of distinct values the same ``part`` has in earlier buckets (a
     window over at most ``B`` rows per part). The ranked pairs are joined back
@@ -339,9 +208,9 @@ def dense_rank_within(df: DataFrame, part: str, value: str, descending: bool = T
             return df.withColumn(out, F.dense_rank().over(plain).cast("int"))
     # the pairs are read by the sample, the local ranks and the offsets
     pairs = materialize(df.select(part, value).distinct(), "rank-pairs")
-    b = with_buckets(pairs, [(part, False), (value, descending)], buckets=buckets)
+    b = with_buckets(pairs, [(part, False), (value, descending)], buckets=buckets, name="rank-buckets")
     local = b.withColumn("_lr", F.row_number().over(
-        Window.partitionBy("_bkt", part).orderBy("_key")))
+        Window.partitionBy("_bkt", part).orderBy(*window_order([(value, descending)]))))
     seg = b.groupBy("_bkt", part).agg(F.count(F.lit(1)).alias("_n"))
     prior = Window.partitionBy(part).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.select(F.col("_bkt").alias("_sb"), F.col(part).alias("_sp"),

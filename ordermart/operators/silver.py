@@ -186,16 +186,14 @@ def derive(silver: DataFrame) -> DataFrame:
     })
 
 
-def with_history(silver: DataFrame, skew_safe: bool = True,
-                 bounds_from: DataFrame | None = None,
-                 heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def with_history(silver: DataFrame, skew_safe: bool = True, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Customer history; ``skew_safe`` splits customers above ``heavy_rows``
     rows over many tasks (``heavy_rows=0`` sends every customer that way)."""
     if not skew_safe:
         return customer_history_window(silver)
     if heavy_rows <= 0:
-        return customer_history(silver, bounds_from=bounds_from)
-    return customer_history_hybrid(silver, heavy_rows=heavy_rows, bounds_from=bounds_from)
+        return customer_history(silver)
+    return customer_history_hybrid(silver, heavy_rows=heavy_rows)
 
 
 # ------------------------------------------------------------------ build --
@@ -238,8 +236,7 @@ def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants:
     to the shared scratch folder: the quarantine, the history windows and its
     summary aggregates all read that copy, so the dedup shuffle runs once.
     The customer-history windows run on the clean fact BEFORE the dimension
-    joins, so they shuffle only the order columns; bucket bounds are sampled
-    from the staged rows.
+    joins, so they shuffle only the order columns.
     """
     flagged = flagged_orders(raw_orders, null_policy, **clean_kw)
     if stage:
