@@ -21,6 +21,7 @@ from ..schemas import CORRUPT_COL, CUSTOMER_DIM_COLS, PARTNER_DIM_COLS, RESTAURA
 from . import quality
 from .history import (HEAVY_ROWS, customer_history, customer_history_hybrid,
                       customer_history_window)
+from .skew_join import data_bytes, left_join
 
 
 # ---------------------------------------------------------------- cleaning --
@@ -92,16 +93,6 @@ def _normalise(orders: DataFrame, city_aliases: Mapping[str, str] | None = None)
 # -------------------------------------------------------------- enrichment --
 
 BROADCAST_MAX_BYTES = 64 << 20
-ROW_BYTES = 16  # a row's own cost in a hash table, beside its values
-
-
-def data_bytes(df: DataFrame) -> int:
-    """Bytes of all values (8 for each that is not text) and rows; one pass."""
-    size = F.lit(ROW_BYTES)
-    for f in df.schema.fields:
-        text = isinstance(f.dataType, (T.StringType, T.BinaryType))
-        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) + 8 if text else F.lit(8))
-    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
 
 
 def _dim(df: DataFrame, cols: Sequence[str], broadcast: bool | int) -> DataFrame:
@@ -128,9 +119,15 @@ def normalise_dimension_city(dim: DataFrame, col: str = "city",
 
 def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame,
            partners: DataFrame, broadcast_dims: bool | int = False,
-           dedup_dims: bool = False, normalise_dims: bool = False) -> DataFrame:
+           dedup_dims: bool = False, normalise_dims: bool = False,
+           salt_rows: int | None = None, counts_from: DataFrame | None = None) -> DataFrame:
     """Three LEFT joins to the dimensions (orphans keep NULL attributes).
 
+    ``salt_rows``: joins to dimensions beyond the broadcast threshold deal the
+    rows of heavier keys, and those without a key, over many tasks
+    (``skew_join``); ``counts_from`` is the stored form of the fact, where its
+    keys are counted. Without it the skew is left to AQE.
+
     ``broadcast_dims=False`` leaves the strategy to Spark: a dimension below
     ``spark.sql.autoBroadcastJoinThreshold`` (estimated from its scan size) or
     found small at runtime by AQE is broadcast; a large one is joined by
@@ -160,12 +157,15 @@ def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame
         customers = unique_dimension(customers, "customer_id")
         restaurants = unique_dimension(restaurants, "restaurant_id")
         partners = unique_dimension(partners, "delivery_partner_id")
-    s = clean_orders.join(_dim(customers, CUSTOMER_DIM_COLS, broadcast_dims),
-                          on="customer_id", how="left")
-    s = s.join(_dim(restaurants, RESTAURANT_DIM_COLS, broadcast_dims),
-               on="restaurant_id", how="left")
-    return s.join(_dim(partners, PARTNER_DIM_COLS, broadcast_dims),
-                  on="delivery_partner_id", how="left")
+    out = clean_orders
+    for key, dim, cols in (("customer_id", customers, CUSTOMER_DIM_COLS),
+                           ("restaurant_id", restaurants, RESTAURANT_DIM_COLS),
+                           ("delivery_partner_id", partners, PARTNER_DIM_COLS)):
+        if salt_rows and not broadcast_dims:
+            out = left_join(out, dim.select(*cols), key, ["order_id"], salt_rows, counts_from)
+        else:
+            out = out.join(_dim(dim, cols, broadcast_dims), on=key, how="left")
+    return out
 
 
 def speed_band(minutes: str = "delivery_time_minutes"):
@@ -229,9 +229,12 @@ def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants:
                        skew_safe: bool = True, null_policy: str = "pass",
                        stage: bool = True, heavy_rows: int = HEAVY_ROWS,
                        dedup_dims: bool = False, normalise_dims: bool = False,
+                       salt_rows: int | None = None,
                        **clean_kw) -> dict[str, DataFrame]:
     """``silver``, ``quarantine`` and the (staged) classified ``flagged`` orders.
 
+    ``salt_rows``: see ``enrich``; None leaves skewed joins to AQE.
+
     With ``stage=True`` the deduplicated, classified orders are written once
     to the shared scratch folder: the quarantine, the history windows and its
     summary aggregates all read that copy, so the dedup shuffle runs once.
@@ -244,7 +247,8 @@ def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants:
     clean_rows, quarantine = quality.split(flagged)
     hist = with_history(clean_rows, skew_safe, heavy_rows=heavy_rows)
     silver = derive(enrich(hist, customers, restaurants, partners, broadcast_dims,
-                           dedup_dims, normalise_dims))
+                           dedup_dims, normalise_dims,
+                           salt_rows=salt_rows, counts_from=clean_rows if stage else None))
     silver = silver.withColumn("silver_load_time", local_load_time(now))
     return {"silver": silver.select(*silver_column_order(silver.columns)),
             "quarantine": quarantine, "flagged": flagged}

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..operators import skew_join
+from ..operators import silver as S
+from ..schemas import CUSTOMER_DIM_COLS
+from ..session import materialize, scratch_path
 from ..sinks.writers import write_raw_csv
 from ..sources import inference as I
 from .catalog import Ctx, register
@@ -128,3 +131,29 @@ _DECLARED = T.StructType([
 def _src_drift(c: Ctx) -> DataFrame:
     """What the feed has that a declared schema does not say."""
     return I.drift(c.spark, I.infer(c.spark, _feed(c)), _DECLARED)
+
+
+# ------------------------------------------------------------ skewed join --
+
+@register("join_skewed_customers", q("""
+    , s AS (SELECT * EXCLUDE (customer_id), CASE WHEN order_id % 3 = 1 THEN 4
+              WHEN order_id % 3 = 2 THEN customer_id END AS customer_id FROM clean)
+    SELECT s.*, c.customer_name, c.gender, c.age, c.city, c.signup_date, c.loyalty_tier
+    FROM s LEFT JOIN customers_raw c USING (customer_id)"""))
+def _join_skewed(c: Ctx) -> DataFrame:
+    """A third of the orders without a customer, a third of one customer: the
+    salted shuffle join, whatever the dimension's size."""
+    k = F.col("order_id") % 3
+    fact = materialize(c.clean.withColumn("customer_id", F.when(k == 1, F.lit(4)).when(k == 2, F.col("customer_id"))
+                                          .cast("long")), "skewed-orders")
+    heavy = skew_join.heavy_counts(fact, "customer_id", 500)
+    return skew_join.salted_left_join(fact, c.star.customers.select(*CUSTOMER_DIM_COLS), "customer_id", ["order_id"],
+                                      {key: -(-n // 500) for key, n in heavy.items()})
+
+
+@register("silver_enriched_salted", q("SELECT * FROM enriched"))
+def _enriched_salted(c: Ctx) -> DataFrame:
+    """The three joins of silver with salts for keys above 50 rows wherever the
+    dimension is not broadcast."""
+    st, stored = c.star, materialize(c.clean, "clean-orders")
+    return S.enrich(S.with_history(stored), st.customers, st.restaurants, st.partners, salt_rows=50, counts_from=stored)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.calendar import month_label
 from ..operators import marts, quality
 from ..operators import silver as S
+from ..operators.skew_join import SALT_ROWS
 from ..session import staging
 from ..sinks import writers
 from ..sources import bronze, raw
@@ -81,6 +82,7 @@ def build_silver_layer(spark: SparkSession, bronze_paths: Mapping[str, str], tar
     """
     b = {n: raw.read_path(spark, p, fmt) for n, p in bronze_paths.items()}
     b["orders"] = b["orders"].drop(BRONZE_ORDERS_PARTITION)  # layout column, if any
+    clean_kw.setdefault("salt_rows", SALT_ROWS)
     parts = S.build_silver_parts(b["orders"], b["customers"], b["restaurants"],
                                  b["partners"], now=now, broadcast_dims=broadcast_dims,
                                  **clean_kw)
