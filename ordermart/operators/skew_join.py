@@ -46,7 +46,7 @@ def broadcast_threshold(df: DataFrame) -> int:
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate (file metadata; no job)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def heavy_counts(df: DataFrame, key: str, above: int, max_keys: int = MAX_SALTED) -> dict:
