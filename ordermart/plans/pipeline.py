@@ -20,7 +20,7 @@ from ..operators import marts, quality
 from ..operators import silver as S
 from ..operators.skew_join import SALT_ROWS
 from ..session import staging
-from ..sinks import writers
+from ..sinks import releases, writers
 from ..sources import bronze, raw
 
 SILVER_PARTITION = "delivery_city"
@@ -124,8 +124,8 @@ def run(spark: SparkSession, sources: Mapping[str, str], target: str, as_of=None
     ``sources`` maps ``orders``/``customers``/``restaurants``/``partners`` to CSV
     paths. ``as_of`` (recency) and ``now`` (audit / load times) default to the
     clock. Every table is a new version below ``target``, switched to when it is
-    complete; with ``database``, bronze, silver, quarantine and gold are catalog
-    tables too. The DQ summary is a small table next to silver; the marts are
+    complete (the twelve marts together, by one manifest: ``releases``); with
+    ``database``, bronze, silver, quarantine and gold are catalog entries too. The DQ summary is a small table next to silver; the marts are
     published by ``gold_parallelism`` concurrent jobs. Intermediates are staged
     under ``target`` and (with ``release``) deleted at the end, also when the
     run fails. Returns the written paths plus the DQ summary and the table
@@ -141,8 +141,9 @@ def run(spark: SparkSession, sources: Mapping[str, str], target: str, as_of=None
         dq_path = writers.publish_folder(silver_out["dq_summary"].coalesce(1),
                                          os.path.join(target, "silver", "dq_summary"), fmt=fmt)
         gold = gold_builders(spark, silver_paths["silver_orders"], as_of, fmt)
-        gold_paths = writers.publish(gold, os.path.join(target, "gold"), database, fmt,
-                                     parallelism=gold_parallelism)
+        release = releases.publish_release(spark, gold, os.path.join(target, "gold"), database=database,
+                                           fmt=fmt, parallelism=gold_parallelism)
+        gold_paths = {n: release.path(n) for n in gold}
 
     read = lambda p: raw.read_path(spark, p, fmt)
     return {

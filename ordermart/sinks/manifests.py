@@ -60,6 +60,28 @@ def names(spark: SparkSession, folder: str, prefix: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile() and s.getPath().getName().startswith(prefix))
 
 
+def folders(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """Names of the folders with a prefix, ascending."""
+    p, fs = _file_system(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith(prefix))
+
+
+def latest(spark: SparkSession, folder: str, prefix: str) -> str:
+    """Text of the highest file of a series. A file that is cleaned away between
+    the listing and the reading has a successor: list again."""
+    while True:
+        found = names(spark, folder, prefix)
+        if not found:
+            raise FileNotFoundError(f"{folder}: nothing is published")
+        try:
+            return read(spark, os.path.join(folder, found[-1]))
+        except Exception as e:  # noqa: BLE001 (py4j wraps the Java error)
+            if "FileNotFound" not in str(e):
+                raise
+
+
 def read(spark: SparkSession, path: str) -> str:
     p, fs = _file_system(spark, path)
     stream = fs.open(p)

@@ -2,17 +2,22 @@
 
 Parquet overwrite is not atomic and must never target its own input, so a
 published table is written to a fresh version folder first. Only when that is
-complete do the catalog table and the pointer file of path readers
+complete do the catalog entry and the pointer of path readers
 (``current_path``) move to it; a failing write leaves both on the old version.
+Neither move has a gap: the pointer is the highest of a numbered series of files
+that are created atomically, the catalog entry a view that one statement
+replaces. ``releases`` adds one switch for a whole set of tables.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +25,11 @@ from pyspark.sql.types import StringType
 
 from ..schemas import EMPTY_PARTITION
 from ..session import delete_path
+from . import manifests
 
-CURRENT = "CURRENT"
-KEEP_VERSIONS = 2
+CURRENT = "CURRENT-"
+KEEP_VERSIONS = 3  # a running reader may hold an older one
+KEEP_POINTERS = 20
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
@@ -115,47 +122,86 @@ def point_table(df: DataFrame, table: str, path: str, fmt: str = "parquet",
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
-def _file_system(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def point_view(df: DataFrame, name: str, path: str, version: str, fmt: str = "parquet",
+               partition_cols: Sequence[str] = (), keep: int = KEEP_VERSIONS) -> None:
+    """Let the catalog entry ``name`` read the complete data of ``df`` at ``path``.
+
+    The version gets a table of its own (``<name>__<version>``), complete with its
+    partitions; then one statement replaces the view ``name``, whatever its columns
+    were. Tables of versions but the last ``keep`` are dropped (their data is
+    external)."""
+    spark = df.sparkSession
+    database, _, short = name.rpartition(".")
+    own = f"{short}__{version.replace('-', '_')}"
+    prefix = f"{database}." if database else ""
+    point_table(df, prefix + own, path, fmt, partition_cols)
+    if _is_table(spark, name):  # an entry that was made as a table
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(f'`{c}`' for c in df.columns)} FROM {prefix}{own}")
+    old = spark.sql(f"SHOW TABLES{f' IN {database}' if database else ''} LIKE '{short}__v_*'").collect()
+    stale = [r["tableName"] for r in old if r["tableName"] != own.lower()]
+    made = {t: spark.sql(f"DESCRIBE TABLE EXTENDED {prefix}{t}").filter("col_name = 'Created Time'").first() for t in stale}
+    order = sorted(stale, key=lambda t: _created(made[t]["data_type"] if made[t] else ""), reverse=True)
+    for t in order[max(0, keep - 1):]:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{t}")
+
+
+def _created(text: str) -> float:
+    try:
+        return datetime.strptime(re.sub(r" [A-Z]{3,4} ", " ", text), "%a %b %d %H:%M:%S %Y").timestamp()
+    except ValueError:
+        return 0.0
+
+
+def _is_table(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW"
 
 
 def set_current(spark: SparkSession, folder: str, version: str, keep: int = KEEP_VERSIONS) -> None:
-    """Name the current version folder of a table in its pointer file, and
-    delete versions but the last ``keep`` (a running reader may hold one)."""
-    new, fs = _file_system(spark, os.path.join(folder, f".{CURRENT}-{version}"))
-    out = fs.create(new, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    pointer, _ = _file_system(spark, os.path.join(folder, CURRENT))
-    fs.delete(pointer, False)
-    if not fs.rename(new, pointer):
-        raise OSError(f"could not switch {folder} to {version}")
-    found = sorted((s for s in fs.listStatus(pointer.getParent())
-                    if s.isDirectory() and s.getPath().getName().startswith("v-")
-                    and s.getPath().getName() != version),
-                   key=lambda s: s.getModificationTime(), reverse=True)
-    for old in found[max(0, keep - 1):]:
-        delete_path(spark, old.getPath().toString())
+    """Make ``version`` the current one of a table's folder, and delete versions
+    but the last ``keep``. The next number of the series is created atomically;
+    a writer that loses a number takes the one after it."""
+    number = _next_number(manifests.names(spark, folder, CURRENT))
+    while not manifests.write_once(spark, os.path.join(folder, f"{CURRENT}{number:08d}"), version):
+        number += 1
+    for old in manifests.names(spark, folder, CURRENT)[:-KEEP_POINTERS]:
+        delete_path(spark, os.path.join(folder, old))
+    named = [manifests.read(spark, os.path.join(folder, n)) for n in manifests.names(spark, folder, CURRENT)]
+    for name in manifests.folders(spark, folder, "v-"):
+        if name in named and name not in _last(named, keep):
+            delete_path(spark, os.path.join(folder, name))
+
+
+def _next_number(names: Sequence[str]) -> int:
+    return int(names[-1].rpartition("-")[2]) + 1 if names else 0
+
+
+def _last(values: Sequence[str], n: int) -> list[str]:
+    """The last ``n`` distinct values."""
+    return list(dict.fromkeys(reversed(values)))[:n]
 
 
 def current_path(spark: SparkSession, folder: str) -> str:
     """Path of a published table's current version."""
-    return os.path.join(folder, spark.read.text(os.path.join(folder, CURRENT)).first()[0])
+    return os.path.join(folder, manifests.latest(spark, folder, CURRENT))
 
 
 def publish_folder(df: DataFrame, folder: str, table: str | None = None, fmt: str = "parquet",
                    partition_cols: Sequence[str] = (), version: str | None = None) -> str:
     """Publish one table: write a new version folder below ``folder``, then
-    switch the catalog table (if named) and the pointer to it."""
+    switch the catalog entry (if named) and the pointer to it."""
     version = version or f"v-{uuid.uuid4().hex[:12]}"
     path = os.path.join(folder, version)
-    if partition_cols:
-        write_partitioned(df, path, partition_cols, fmt)
-    else:
-        write_overwrite(df, path, fmt, {"overwriteSchema": "true"} if fmt == "delta" else None)
+    try:
+        if partition_cols:
+            write_partitioned(df, path, partition_cols, fmt)
+        else:
+            write_overwrite(df, path, fmt, {"overwriteSchema": "true"} if fmt == "delta" else None)
+    except Exception:
+        delete_path(df.sparkSession, path)
+        raise
     if table:
-        point_table(df, table, path, fmt, partition_cols)
+        point_view(df, table, path, version, fmt, partition_cols)
     set_current(df.sparkSession, folder, version)
     return path
 
