@@ -46,7 +46,12 @@ def order_summary(silver: DataFrame, exact_distinct: bool = True) -> DataFrame:
     else:
         agg = silver.agg(*plain, *[F.approx_count_distinct(k).alias(n) for n, k in keys.items()])
     agg = agg.select("total_orders", *keys, *[c for c in agg.columns if c != "total_orders" and c not in keys])
-    return agg.withColumns({
+    return with_rates(agg)
+
+
+def with_rates(totals: DataFrame) -> DataFrame:
+    """Delivery and cancellation percent of the order summary."""
+    return totals.withColumns({
         "delivery_rate_pct": pct(F.col("delivered_orders"), F.col("total_orders")),
         "cancellation_rate_pct": pct(F.col("cancelled_orders"), F.col("total_orders")),
     })
@@ -70,6 +75,11 @@ def restaurant_performance(silver: DataFrame, small_rows: int = SMALL_RANK_ROWS)
         avg_money("rating", scale=MILLIONTHS).alias("avg_rating"),
         avg_int("delivery_time_minutes").alias("avg_delivery_time"),
     )
+    return restaurant_ranks(g, small_rows)
+
+
+def restaurant_ranks(g: DataFrame, small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
+    """KPI 3's rank over its groups."""
     g = materialize(g, "restaurant-groups")  # read by the sample, rank and join passes
     return global_dense_rank(g, "total_revenue", descending=True, out="restaurant_rank",
                              small_rows=small_rows)
@@ -104,6 +114,12 @@ def customer_rfm(silver: DataFrame, as_of=None, bucket_order: str = "reference",
         F.count("order_id").alias("frequency"),
         sum_money("final_amount").alias("monetary"),
     )
+    return rfm_scores(g, as_of, bucket_order, small_rows, buckets)
+
+
+def rfm_scores(g: DataFrame, as_of=None, bucket_order: str = "reference",
+               small_rows: int = SMALL_RANK_ROWS, buckets: int | None = None) -> DataFrame:
+    """KPI 4's scores and segments over one row a customer."""
     g = g.withColumn("recency", days_since(as_of, "last_order_date"))
     g = g.withColumn("recency_score", recency_score(F.col("recency")))
     desc = bucket_order == "reference"
@@ -136,6 +152,11 @@ def top_customers(silver: DataFrame, k: int = rules.TOP_CUSTOMERS) -> DataFrame:
         sum_money("final_amount").alias("total_spend"),
         F.count("order_id").alias("total_orders"),
     )
+    return top_spenders(g, k)
+
+
+def top_spenders(g: DataFrame, k: int = rules.TOP_CUSTOMERS) -> DataFrame:
+    """KPI 5's rank over one row a customer."""
     g = materialize(g, "customer-spend")  # read by the top-k pass and the join
     return top_k_with_ties(g, "total_spend", k, out="customer_rank")
 
@@ -190,6 +211,11 @@ def monthly_trends(silver: DataFrame) -> DataFrame:
         F.sum(units("final_amount")).alias("_cents"),
         F.countDistinct("customer_id").alias("customers"),
     )
+    return month_growth(g)
+
+
+def month_growth(g: DataFrame) -> DataFrame:
+    """KPI 9's previous month and growth over one row a month."""
     w = Window.orderBy("order_month")
     g = g.withColumn("_prev", F.lag("_cents").over(w))
     return g.select(
