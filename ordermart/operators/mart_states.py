@@ -18,6 +18,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,54 +103,72 @@ def _time() -> Column:
     return half_up_ratio(F.col("minutes"), F.col("timed")).alias("avg_delivery_time")
 
 
-def marts(states: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    """The twelve marts from the states, as ``marts.all_marts`` gives them."""
-    s = states
-    count = lambda n: F.col(n).alias
-    customers = _roll(s["customer"], "order_date", "customer_id", "customer_name", "city", "loyalty_tier")
-    months = customers.withColumn("order_month", month_label("order_date"))
-    by_customer = customers.groupBy("customer_id", "customer_name", "city", "loyalty_tier").agg(
-        F.max("order_date").alias("last_order_date"), F.sum("orders").alias("orders"),
-        F.sum("cents").alias("cents"), F.sum("amounts").alias("amounts"))
-    spend = by_customer.groupBy("customer_id", "customer_name", "city").agg(
-        *[F.sum(c).alias(c) for c in ("orders", "cents", "amounts")])
-    city = _roll(s["city"], "delivery_city").join(
-        _roll(s["city_customer"], "delivery_city", "customer_id").groupBy(F.col("delivery_city").alias("_city")).agg(
-            F.count("customer_id").alias("customers")), F.col("delivery_city").eqNullSafe(F.col("_city")), "left")
-    by_month = (_roll(s["totals"], "order_date").groupBy(month_label("order_date").alias("order_month"))
-                .agg(F.sum("orders").alias("orders"), F.sum("cents").alias("_cents")))
-    in_month = months.select(F.col("order_month").alias("_m"), "customer_id").distinct().groupBy("_m").agg(
-        F.count("customer_id").alias("customers"))
-    by_month = by_month.join(in_month, F.col("order_month").eqNullSafe(F.col("_m")), "left").drop("_m")
+def builders(states: dict[str, DataFrame], as_of=None) -> dict[str, Callable[[], DataFrame]]:
+    """The twelve marts from the states, each as a builder (the rank marts run jobs
+    while they are built), as ``marts.all_marts`` gives them."""
+    def roll(name: str, *by: str) -> DataFrame:
+        return _roll(states[name], *by)
+
+    def renamed(name: str, to: str) -> Column:
+        return F.col(name).alias(to)
+
+    customer = ("customer_id", "customer_name", "city", "loyalty_tier")
+    place = ("restaurant_id", "restaurant_name", "cuisine_type", "delivery_city")
+    partner = ("delivery_partner_id", "partner_name", "vehicle_type")
+
+    def by_day() -> DataFrame:
+        # days of a customer without orders left do not count
+        return roll("customer", "order_date", *customer)
+
+    def of_customers(*by: str) -> DataFrame:
+        return by_day().groupBy(*by).agg(
+            F.max("order_date").alias("last_order_date"), *[F.sum(c).alias(c) for c in ("orders", "cents", "amounts")])
+
+    def city() -> DataFrame:
+        people = roll("city_customer", "delivery_city", "customer_id").groupBy(
+            F.col("delivery_city").alias("_city")).agg(F.count("customer_id").alias("customers"))
+        rows = roll("city", "delivery_city")
+        return rows.join(people, rows["delivery_city"].eqNullSafe(people["_city"]), "left").select(
+            "delivery_city", renamed("orders", "total_orders"), "customers", _money("total_revenue"), _average("avg_order_value"))
+
+    def months() -> DataFrame:
+        return by_day().select(month_label("order_date").alias("order_month"), "customer_id")
+
+    def trends() -> DataFrame:
+        rows = roll("totals", "order_date").groupBy(month_label("order_date").alias("order_month")).agg(
+            F.sum("orders").alias("orders"), F.sum("cents").alias("_cents"))
+        people = months().distinct().groupBy(F.col("order_month").alias("_m")).agg(F.count("customer_id").alias("customers"))
+        return M.month_growth(rows.join(people, F.col("order_month").eqNullSafe(F.col("_m")), "left").drop("_m"))
+
     return {
-        "gold_order_summary": _summary(s, customers),
-        "gold_revenue_city": city.select("delivery_city", count("orders")("total_orders"), "customers",
-                                         _money("total_revenue"), _average("avg_order_value")),
-        "gold_restaurant_performance": M.restaurant_ranks(
-            _roll(s["restaurant"], "restaurant_id", "restaurant_name", "cuisine_type", "delivery_city").select(
-                "restaurant_id", "restaurant_name", "cuisine_type", "delivery_city", count("orders")("total_orders"),
-                _money("total_revenue"), _rating(), _time())),
-        "gold_customer_rfm": M.rfm_scores(by_customer.select(
-            "customer_id", "customer_name", "city", "loyalty_tier", "last_order_date", count("orders")("frequency"),
-            _money("monetary")), as_of),
-        "gold_top_customers": M.top_spenders(spend.select(
-            "customer_id", "customer_name", "city", _money("total_spend"), count("orders")("total_orders"))),
-        "gold_partner_performance": _roll(s["partner"], "delivery_partner_id", "partner_name", "vehicle_type").select(
-            "delivery_partner_id", "partner_name", "vehicle_type", count("orders")("deliveries"), _time(), _rating())
-        .withColumn("performance_tier", M.partner_tier(F.col("avg_rating"), F.col("avg_delivery_time"))),
-        "gold_payment_analysis": _roll(s["payment"], "payment_method").select(
+        "gold_order_summary": lambda: _summary(states, by_day()),
+        "gold_revenue_city": city,
+        "gold_restaurant_performance": lambda: M.restaurant_ranks(roll("restaurant", *place).select(
+            *place, renamed("orders", "total_orders"), _money("total_revenue"), _rating(), _time())),
+        "gold_customer_rfm": lambda: M.rfm_scores(of_customers(*customer).select(
+            *customer, "last_order_date", renamed("orders", "frequency"), _money("monetary")), as_of),
+        "gold_top_customers": lambda: M.top_spenders(of_customers(*customer[:3]).select(
+            *customer[:3], _money("total_spend"), renamed("orders", "total_orders"))),
+        "gold_partner_performance": lambda: roll("partner", *partner).select(
+            *partner, renamed("orders", "deliveries"), _time(), _rating()).withColumn(
+            "performance_tier", M.partner_tier(F.col("avg_rating"), F.col("avg_delivery_time"))),
+        "gold_payment_analysis": lambda: roll("payment", "payment_method").select(
             "payment_method", "orders", _money("revenue"), _average("avg_order_value")),
-        "gold_peak_hours": _roll(s["hour"], "order_hour").select("order_hour", "orders", _money("revenue")),
-        "gold_monthly_trends": M.month_growth(by_month),
-        "gold_delivery_analysis": _roll(s["delivery"], "delivery_city", "vehicle_type").select(
-            "delivery_city", "vehicle_type", _time(), *[count(b)(f"{b}_deliveries") for b in BANDS]),
-        "gold_customer_retention": months.groupBy("customer_id").agg(
+        "gold_peak_hours": lambda: roll("hour", "order_hour").select("order_hour", "orders", _money("revenue")),
+        "gold_monthly_trends": trends,
+        "gold_delivery_analysis": lambda: roll("delivery", "delivery_city", "vehicle_type").select(
+            "delivery_city", "vehicle_type", _time(), *[renamed(b, f"{b}_deliveries") for b in BANDS]),
+        "gold_customer_retention": lambda: months().groupBy("customer_id").agg(
             F.countDistinct("order_month").alias("active_months")),
-        "gold_cuisine_performance": _roll(s["cuisine"], "cuisine_type").select(
+        "gold_cuisine_performance": lambda: roll("cuisine", "cuisine_type").select(
             "cuisine_type", "orders", _money("revenue"), _rating(1)),
     }
 
 
+def marts(states: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
+    return {n: b() for n, b in builders(states, as_of).items()}
+
+
 def _summary(s: dict[str, DataFrame], customers: DataFrame) -> DataFrame:
     """One row, also without any state: totals beside three distinct counts."""
     totals = _roll(s["totals"], "order_date").agg(*[F.sum(c).alias(c) for c in ("orders", "cents", "amounts", "delivered", "cancelled")])
@@ -175,8 +196,10 @@ class MartStates:
 
     def _commit(self, states: dict[str, DataFrame], commits: list[dict], replaces: bool) -> None:
         number, tag = len(commits), uuid.uuid4().hex[:12]
-        for name, df in states.items():
-            df.write.parquet(f"{self.folder}/{name}/{number:06d}-{tag}")
+        with ThreadPoolExecutor(max_workers=4) as pool:  # independent small jobs
+            for job in [pool.submit(copy_context().run, df.write.parquet, f"{self.folder}/{name}/{number:06d}-{tag}")
+                        for name, df in states.items()]:
+                job.result()
         made = manifests.write_once(self.spark, f"{self.folder}/{BATCH}{number:06d}", json.dumps(
             {"part": f"{number:06d}-{tag}", "replaces": replaces}))
         if not made:
@@ -194,6 +217,10 @@ class MartStates:
         start = max((i for i, c in enumerate(commits) if c["replaces"]), default=0)
         return {n: self.spark.read.parquet(*[f"{self.folder}/{n}/{c['part']}" for c in commits[start:]]) for n in STATES}
 
+    def builders(self, as_of=None) -> dict[str, Callable[[], DataFrame]]:
+        """For ``releases.publish_release``."""
+        return builders(self.states(), as_of)
+
     def marts(self, as_of=None) -> dict[str, DataFrame]:
         return marts(self.states(), as_of)
 

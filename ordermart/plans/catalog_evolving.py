@@ -7,15 +7,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
-from ..operators import skew_join
+from ..operators import activity, sketches, skew_join
+from ..operators import marts as M
 from ..operators import silver as S
+from ..operators.history import OUT_COLS
+from ..operators.incremental_history import HistoryStore
+from ..operators.mart_states import MartStates
 from ..schemas import CUSTOMER_DIM_COLS
 from ..session import materialize, scratch_path
+from ..sinks import releases, writers
+from ..sinks.evolving import EvolvingTable
 from ..sinks.writers import write_raw_csv
 from ..sources import inference as I
-from .catalog import Ctx, register
-from .oracle import q
+from .catalog import MART_BUILDERS, MART_SQL, Ctx, mart_sql, register
+from .oracle import AS_OF, q
 
 # ------------------------------------------------------- inferred schema --
 
@@ -157,3 +164,144 @@ def _enriched_salted(c: Ctx) -> DataFrame:
     dimension is not broadcast."""
     st, stored = c.star, materialize(c.clean, "clean-orders")
     return S.enrich(S.with_history(stored), st.customers, st.restaurants, st.partners, salt_rows=50, counts_from=stored)
+
+
+# ------------------------------------------------- incremental history --
+
+@register("history_incremental", q("SELECT order_id, customer_id, order_date, final_amount, "
+                                   "customer_order_number, previous_order_amount, running_customer_revenue FROM hist"))
+def _history_incremental(c: Ctx) -> DataFrame:
+    """All clean orders in four batches by year, every 53rd one batch late."""
+    rows = materialize(c.clean.select("order_id", "customer_id", "order_date", "final_amount"), "clean-orders")
+    low, high = rows.agg(F.min(F.year("order_date")), F.max(F.year("order_date"))).first()
+    span = max(1, (high or 0) - (low or 0) + 1)
+    batch = F.floor((F.year("order_date") - F.lit(low or 0)) * 3 / F.lit(span)) + F.when(F.col("order_id") % 53 == 0, 1).otherwise(0)
+    store = HistoryStore(c.spark, scratch_path(c.spark, "history-store"))
+    for i in range(4):
+        store.advance(rows.filter(F.coalesce(batch, F.lit(0)) == i))
+    return store.rows().select("order_id", "customer_id", "order_date", "final_amount", *OUT_COLS)
+
+
+# ----------------------------------------------------- incremental marts --
+
+def _state_mart(c: Ctx, name: str) -> DataFrame:
+    """A mart from states of three batches; some rows were added twice and
+    taken back."""
+    silver, k = materialize(c.silver, "state-silver"), F.col("order_id")
+    states = MartStates(c.spark, scratch_path(c.spark, "mart-states"))
+    states.add(silver.filter(k % 2 == 0))
+    states.add(silver.filter((k % 2 == 1) | (k % 10 == 2)))
+    states.compact()
+    states.add(silver.filter(k % 10 == 2), sign=-1)
+    return states.builders(AS_OF)[name]()
+
+
+for _name in ("gold_order_summary", "gold_revenue_city", "gold_restaurant_performance", "gold_customer_rfm",
+              "gold_monthly_trends", "gold_partner_performance"):
+    register(f"state_{_name.removeprefix('gold_')}", mart_sql(_name))(lambda c, name=_name: _state_mart(c, name))
+
+
+# ------------------------------------------------- activity and sketches --
+
+@register("activity_retention", mart_sql("gold_customer_retention"))
+def _activity_retention(c: Ctx) -> DataFrame:
+    return activity.active_months(activity.activity(c.silver))
+
+
+@register("activity_cohorts", q("""
+    , m AS (SELECT DISTINCT customer_id, date_trunc('month', order_date) AS m FROM silver),
+    f AS (SELECT *, min(m) OVER (PARTITION BY customer_id) AS f FROM m)
+    SELECT strftime(f, '%Y-%m') AS cohort_month, CAST(date_diff('month', f, m) AS INTEGER) AS month_offset,
+      COUNT(*) AS customers FROM f GROUP BY 1, 2"""))
+def _activity_cohorts(c: Ctx) -> DataFrame:
+    """Cohorts from the merged bit sets of two periods."""
+    rows = materialize(c.silver.select("order_id", "customer_id", "order_date"), "activity-orders")
+    parts = [activity.activity(rows.filter(F.col("order_id") % 2 == i)) for i in (0, 1)]
+    return activity.cohorts(activity.merge(parts[0].unionByName(parts[1])))
+
+
+_CUTS = ((), ("delivery_city",), ("order_month",), ("delivery_city", "order_month"))
+
+
+@register("distinct_sketches", q(", r AS (SELECT *, strftime(order_date, '%Y-%m') AS order_month FROM silver)\n"
+                                 + "\nUNION ALL ".join(f"""
+    SELECT '{'/'.join(by) or 'all'}' AS cut, {', '.join(c if c in by else f"CAST(NULL AS VARCHAR) AS {c}" for c in sketches.GRAIN)},
+      COUNT(DISTINCT customer_id) AS customers, COUNT(DISTINCT restaurant_id) AS restaurants,
+      COUNT(DISTINCT delivery_partner_id) AS partners, true AS within_bound
+    FROM r {f"GROUP BY {', '.join(by)}" if by else ""}""" for by in _CUTS)))
+def _distinct_sketches(c: Ctx) -> DataFrame:
+    """Every cut's exact distinct counts, and whether the union of the stored
+    sketches estimates all three within the stated bound."""
+    silver = materialize(c.silver.select(*sketches.KEYS.values(), "delivery_city", "order_date"), "sketch-rows")
+    stored, out = materialize(sketches.build(silver), "sketches"), None
+    for by in _CUTS:
+        estimate = sketches.cut(stored, by).select(*[F.col(b).alias(f"_{b}") for b in by],
+                                                   *[F.col(n).alias(f"_{n}") for n in sketches.KEYS])
+        same = F.lit(True)
+        for b in by:
+            same = same & F.col(b).eqNullSafe(F.col(f"_{b}"))
+        close = F.lit(True)
+        for n in sketches.KEYS:
+            close = close & (F.abs(F.col(n) - F.col(f"_{n}")) <= F.greatest(F.lit(1.0), F.col(n) * sketches.ERROR_BOUND))
+        part = sketches.exact_cut(silver, by).join(estimate, same, "left").select(
+            F.lit("/".join(by) or "all").alias("cut"),
+            *[(F.col(g) if g in by else F.lit(None).cast("string")).alias(g) for g in sketches.GRAIN],
+            *sketches.KEYS, F.coalesce(close, F.lit(False)).alias("within_bound"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ------------------------------------------------ versions and releases --
+
+@register("snk_evolving_schema", q("""
+    SELECT CAST(0 AS INTEGER) AS version, order_id, CAST(order_date AS TIMESTAMP) AS order_date,
+      CAST(delivery_time_minutes AS DOUBLE) AS minutes, CAST(NULL AS VARCHAR) AS payment_method FROM clean WHERE order_id % 3 = 0
+    UNION ALL SELECT 1, order_id, order_date + INTERVAL 10 HOUR, delivery_time_minutes + 0.5, payment_method
+    FROM clean WHERE order_id % 3 = 1
+    UNION ALL SELECT 2, order_id, NULL, delivery_time_minutes, payment_method FROM clean WHERE order_id % 3 = 2"""))
+def _evolving(c: Ctx) -> DataFrame:
+    """Three versions: a column more and two widened ones, then a column less."""
+    rows, k = materialize(c.clean, "clean-orders"), F.col("order_id") % 3
+    minutes = F.col("delivery_time_minutes")
+    table = EvolvingTable(c.spark, scratch_path(c.spark, "evolving"))
+    table.write(rows.filter(k == 0).select("order_id", "order_date", minutes.alias("minutes")))
+    table.write(rows.filter(k == 1).select(
+        "payment_method", "order_id", (minutes + F.lit(0.5)).alias("minutes"),
+        (F.col("order_date").cast("timestamp_ntz") + F.expr("INTERVAL 10 HOURS")).alias("order_date")))
+    table.write(rows.filter(k == 2).select("order_id", minutes.alias("minutes"), "payment_method"))
+    return table.read_all("version")
+
+
+@register("publish_release", q("\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM ({body})" for name, body in MART_SQL.items())))
+def _publish_release(c: Ctx) -> DataFrame:
+    """Two runs of the marts under one switch; the second writes only some of
+    them, the manifest carries the others."""
+    silver, root = materialize(c.silver, "silver-store"), scratch_path(c.spark, "gold-release")
+    builders = {n: (lambda b=b: b(silver)) for n, b in MART_BUILDERS.items()}
+    releases.publish_release(c.spark, builders, root, parallelism=4)
+    releases.publish_release(c.spark, {n: builders[n] for n in ("gold_peak_hours", "gold_revenue_city")}, root)
+    now = releases.current_release(c.spark, root)
+    return writers.manifest({n: now.read(n) for n in now.tables})
+
+
+# --------------------------------------------------- order of outputs --
+
+_SORTED = {"gold_revenue_city": ("delivery_city", "total_revenue", True), "gold_peak_hours": ("order_hour", "order_hour", False)}
+
+
+@register("present_positions", q("\nUNION ALL ".join(f"""
+    SELECT '{n}' AS table_name, CAST({key} AS VARCHAR) AS item,
+      row_number() OVER (ORDER BY {by} {'DESC NULLS LAST' if desc else 'NULLS FIRST'}) AS position
+    FROM ({MART_SQL[n]})""" for n, (key, by, desc) in _SORTED.items())))
+def _positions(c: Ctx) -> DataFrame:
+    """The place of each row in the sorted marts as they are presented (written
+    in order and numbered by file and place; one file, as the marts are small)."""
+    out = None
+    for n, (key, _, _) in _SORTED.items():
+        shown = M.present(n, MART_BUILDERS[n](c.silver)).select(F.col(key).cast("string").alias("item")).coalesce(1)
+        stored = materialize(shown, f"shown-{n}")
+        at = Window.orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        part = stored.select(F.lit(n).alias("table_name"), "item", F.row_number().over(at).cast("long").alias("position"))
+        out = part if out is None else out.unionByName(part)
+    return out
