@@ -6,9 +6,9 @@ library and kept in a bounded per-worker cache as little-endian unsigned
 32-bit payloads; a text is then one dictionary lookup per word.
 
 A word of common characters only (printable ASCII, line feeds, letters of
-Latin-1) is cut into the tokenizer's own pre-tokens by an equal pattern, and
-each distinct pre-token goes through the library's merge model once; any other
-word goes through the whole library.
+Latin-1) is cut into the tokenizer's own pre-tokens by an equal pattern, many
+words at a time, and each distinct pre-token goes through the library's merge model
+once; any other word goes through the whole library.
 
 Two ways to cut, both exact for the tokenizer kind they are for:
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,9 +37,12 @@ MISS_BLOCK = 4096
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _COMMON = re.compile(f"[\\n -~{_LETTERS}]+")
 _PRETOKENS = {
-    "words": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+"),
-    "spaced": re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+"),
+    "words": re.compile(f"\0|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9\0]+"),
+    "spaced": re.compile(f"\0|'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9\0]+|\\s+(?!\\S)|\\s+"),
 }
+_MARK, _MARK_ID = "\0", b"\xff" * 4  # no common character, no id
+# a part beside whose cut white space may go on, or with a separator in it
+_HARD = re.compile(r"^ \s|^(?! )\s|\s\Z|[\x1c-\x1f]")
 _encoders: dict[tuple[str, str], "WordCache"] = {}
 
 
@@ -60,42 +64,49 @@ class WordCache:
         if len(self.known) > MAX_CACHED:
             self.known = {w: self.known[w] for w in needed if w in self.known}
 
-    def _merge(self, pretoken: str) -> bytes:
-        """Ids of one pre-token from the library's model."""
-        found = self.merged.get(pretoken)
-        if found is None:
-            if len(self.merged) > MAX_MERGED:
-                self.merged.clear()
-            tokens = self.tokenizer.model.tokenize(pretoken.translate(self.stand))
-            found = self.merged[pretoken] = np.array([t.id for t in tokens], "<u4").tobytes()
-        return found
+    def _merge(self, pretokens: set) -> None:
+        """Ids of new pre-tokens from the library's merge model."""
+        tokenize, stand, merged = self.tokenizer.model.tokenize, self.stand, self.merged
+        for p in pretokens:
+            merged[p] = array("I", [t.id for t in tokenize(p.translate(stand))]).tobytes()
+
+    def _encoded(self, strings: list[str]) -> list[bytes]:
+        """The ids of each string, as a word of its own."""
+        got = self.tokenizer.encode(strings, is_pretokenized=True, add_special_tokens=False)
+        if None in got.word_ids:
+            return [self.whole(s) for s in strings]
+        payload = np.array(got.ids, "<u4").tobytes()
+        ends = (4 * np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(strings) + 1))).tolist()
+        return [payload[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list) -> None:
-        strings = [w.decode() if isinstance(w, bytes) else w for w in words]
-        got = self.tokenizer.encode(strings, is_pretokenized=True, add_special_tokens=False)
-        ids, at = np.array(got.ids, "<u4"), got.word_ids
-        if None in at:
-            for w, s in zip(words, strings, strict=True):
-                self.known[w] = self.whole(s)
-            return
-        ends = np.searchsorted(np.array(at, np.int64), np.arange(len(words) + 1))
-        for w, a, b in zip(words, ends[:-1], ends[1:], strict=True):
-            self.known[w] = ids[a:b].tobytes()
-
     def _learn_all(self, words: Iterable) -> None:
-        new, cut = [], _PRETOKENS[self.cut]
-        for w in words:
-            text = w.decode() if isinstance(w, bytes) else w
-            if _COMMON.fullmatch(text) and "<|" not in text:
-                text = text.lower() if self.cut == "words" else text
-                self.known[w] = b"".join(map(self._merge, cut.findall(text)))
-            else:
-                new.append(w)
-        for i in range(0, len(new), MISS_BLOCK):
-            self._learn(new[i:i + MISS_BLOCK])
+        texts = {w: w.decode() if isinstance(w, bytes) else w for w in words}
+        plain = [w for w, t in texts.items() if _COMMON.fullmatch(t) and "<|" not in t]
+        rest = list(texts.keys() - set(plain))
+        for i in range(0, len(rest), MISS_BLOCK):
+            some = rest[i:i + MISS_BLOCK]
+            self.known.update(zip(some, self._encoded([texts[w] for w in some]), strict=True))
+        for i in range(0, len(plain), MISS_BLOCK):
+            self._learn_plain(plain[i:i + MISS_BLOCK], texts)
+
+    def _learn_plain(self, words: list, texts: dict) -> None:
+        """Words of common characters: cut into pre-tokens as one string, in
+        which a mark that no word holds ends each word."""
+        one = _MARK.join([texts[w] for w in words]) + _MARK
+        found = _PRETOKENS[self.cut].findall(one.lower() if self.cut == "words" else one)
+        if len(self.merged) > MAX_MERGED:
+            self.merged = {}
+        self.merged[_MARK] = _MARK_ID
+        self._merge(set(found).difference(self.merged))
+        payload = b"".join(map(self.merged.__getitem__, found))
+        ends = (4 * np.flatnonzero(np.frombuffer(payload, "<u4") == 0xFFFFFFFF)).tolist()
+        at = 0
+        for w, end in zip(words, ends, strict=True):
+            self.known[w] = payload[at:end]
+            at = end + 4
 
     def payloads(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -110,7 +121,7 @@ class WordCache:
         needed = set().union(*[p for p in parts if p])
         self._forget(needed)
         new = needed.difference(self.known)
-        for w in [w for w in new if self._hard(w)]:
+        for w in [w for w in new if _HARD.search(w)]:
             self.known[w] = None
             new.discard(w)
         self._learn_all(new)
@@ -120,13 +131,6 @@ class WordCache:
             out.append(self.whole(t) if None in found else b"".join(found))
         return out
 
-    @staticmethod
-    def _hard(part: str) -> bool:
-        """Whether white space may reach over the cut beside this part."""
-        body = part[1:] if part[:1] == " " else part
-        return (part == " " or body[:1].isspace() or body[-1:].isspace()
-                or any(c in part for c in "\x1c\x1d\x1e\x1f"))
-
 
 def encoder(path: str, cut: str) -> WordCache:
     """The worker's encoder for a tokenizer file (made once per worker)."""
