@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 import pyarrow.parquet as pq
 
@@ -87,3 +88,52 @@ def test_recall_by_length_alphabet_and_document_length():
                 assert found >= 0.85 * len(some), (around, alphabet, size, found)
         wrong = sum(bool(secrets.find(beside(s, around))) for s in clean for _ in range(8))
         assert wrong <= 0.5 * 8 * len(clean), (around, wrong)
+
+
+IDENTIFIERS = """configuration_parameter_name2 authorization_service_endpoint1 default_session_timeout_2024 user_account_id_2
+    http2_connection_pool get_refresh_token_v2 ConfigurationManager2 request_header_size_max1024 databaseConnection1
+    oauth2_client_credentials sha256_checksum_file session.storage.path.v1 private_key_file_name_1 2024-01-31T10:20:30
+    AuthenticationHandlerV2 test-database-server-01 example.com/path/version1 key_size_2048_default
+    configuration_parameter_name AbstractSingletonProxyFactoryBean internationalization getRequestDispatcher
+    authorizationEndpoint org.apache.commons.lang3.StringUtils java.util.concurrent.ConcurrentHashMap responsibilities
+    implementation_details https://example.com/docs/authentication content-security-policy MAX_CONNECTION_RETRIES
+    application/x-www-form-urlencoded 1234567890123456""".split()
+
+
+def test_letters_alone_and_clean_identifiers():
+    """Random letters are found where the alphabet tells them from words; identifiers stay."""
+    rnd = random.Random(9)
+    texts = [t for t in pq.read_table(f"{SF001}/documents.parquet").column("text").to_pylist() if t and len(t) > 500]
+    prose = " ".join(texts)[:200_000]
+
+    def found(s, around):
+        at = rnd.randrange(len(prose) - 2000)
+        text = f"{prose[at:at + around]} private key {s} {prose[at + 1000:at + 1000 + around]}"
+        return any(k == "novel" for *_, k in secrets.find(text))
+
+    for around in (0, 40, 400):
+        for alphabet, sizes in ((string.ascii_letters, (16, 20, 32, 40, 128)), (string.ascii_uppercase, (20, 32, 40, 128)),
+                                (string.ascii_lowercase, (40, 64))):
+            for size in sizes:
+                n = sum(found("".join(rnd.choice(alphabet) for _ in range(size)), around) for _ in range(60))
+                assert n >= 0.85 * 60, (around, alphabet, size, n)
+        wrong = [s for s in IDENTIFIERS for _ in range(6) if found(s, around)]
+        assert len(wrong) <= 0.05 * 6 * len(IDENTIFIERS), (around, wrong)
+
+
+def test_time_is_linear():
+    """Texts of sensitive words only, one long run of them, and many candidates."""
+    for text in ("key word " * 300_000, "key_" * 600_000, "keykeykey=" * 100_000, ("key " + "x" * 20 + " ") * 40_000):
+        start = time.process_time()
+        secrets.novel_spans(text, [])
+        assert time.process_time() - start < 30, text[:20]
+
+
+def test_candidates_by_position():
+    run = "Zq8Lw2Xv9Kp4Rt7Ym3Bn6"
+    cases = {f"the key is {run}": True, f"private_key:{run}": True, f"{run} and then key": False, f"key{' ' * 60}{run}": False,
+             f"my_auth/{run}": True}
+    for text, want in cases.items():
+        assert bool(secrets.novel_spans(text, [])) == want, text
+    text = f"key {run} {run}"
+    assert secrets.novel_spans(text, [(4, 10, "hex")]) == [(len(text) - len(run), len(text), "novel")]
