@@ -17,7 +17,8 @@ is one batch, also if one conversation holds most rows.
 Defined results: a null or empty text is an empty content, a null role an empty
 role; turns of equal number are ordered by role and text, null turns come
 first; repeated rows are repeated turns; a null conversation id is a
-conversation of its own; an empty table gives no rows.
+conversation of its own; an empty table gives no rows.  An unknown or null part
+type raises a ValueError.  Other columns are not read.
 """
 
 from __future__ import annotations

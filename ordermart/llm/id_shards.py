@@ -19,7 +19,7 @@ A shard is written under a temporary name and renamed, so a lost or repeated
 task leaves a whole file or none.  Defined results: null texts are empty (only
 the end id); repeated ids keep all their rows, in the order of a text hash, and
 share one slot; null ids come first and are found by ``NULL_KEY``; empty tables
-give no rows.
+give no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ a shuffle by token and return as one sum a text.
 
 Defined results: a null or empty text has one token, its end; repeated rows are
 counted and scored as often as they occur; without any training text every
-count is 0 and all units are equally likely a priori.
+count is 0 and all units are equally likely a priori.  Other columns are not
+read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ one group is left.  What remains then is under j pieces a class, whatever the
 input, and is laid together first-fit by one task.
 
 Defined results: a null text is empty and gives one piece with the end id;
-repeated rows are packed as often as they occur; an empty table gives no rows.
+repeated rows are packed as often as they occur; an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations

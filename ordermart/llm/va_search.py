@@ -16,7 +16,9 @@ null or holds null or non-finite components takes no part, nor does a row
 without an id; only vectors of the query's length are candidates; rows with the
 query's own id are its own; a repeated query id is searched once, with its
 smallest vector; repeated candidates each take a rank; ties go to the smaller
-id; a query with fewer candidates than k gets all.
+id; a query with fewer candidates than k gets all; an empty table gives no rows.
+Vectors so large that a score could pass a 64-bit integer raise a ValueError.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,14 +43,16 @@ class Block:
         self.ids, self.vectors = ids, vectors
         self.low = vectors.min(0).astype(float)
         self.width = np.maximum(vectors.max(0) - self.low, 1) / (2 ** BITS - 1)
+        self.largest = np.maximum(np.abs(self.low), np.abs(vectors.max(0).astype(float)))
         self.cells = np.round((vectors - self.low) / self.width).astype(np.uint8)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """Upper bounds of the scores: the cell's centre plus half its width
-        in the direction of the query (and a little for rounding)."""
+        in the direction of the query (and a little for rounding, also of
+        scores beyond the exact range of float64)."""
         q = queries.astype(float)
         centre = (q @ self.low)[:, None] + (q * self.width) @ self.cells.T.astype(float)
-        return centre + (np.abs(q) @ self.width * (0.5 + 1e-6) + 1e-6)[:, None]
+        return centre + (np.abs(q) @ (self.width * (0.5 + 1e-6) + self.largest * 1e-9) + 1e-6)[:, None]
 
     def top(self, query_id: int, query: np.ndarray, bounds: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The best (score, -id) pairs of one query."""
@@ -69,10 +73,15 @@ def search(vectors: DataFrame, k: int, every: int, key: str = "vec_id", vector:
     """(query_id, rank, vec_id, score): for rows whose id is divisible by
     ``every``, the ``k`` other rows with the highest inner products."""
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = (vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-            .filter(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad)
-            .select("id", F.transform("v", lambda x: F.floor(F.lit(scale) * x).cast("long")).alias("v")))
-    n_blocks = max(shuffle_partitions(vectors.sparkSession), -(-vectors.count() // block_rows))
+    usable = (vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+              .filter(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad))
+    n, largest, length = usable.agg(
+        F.count("*"), F.coalesce(F.max(F.array_max(F.transform("v", F.abs))), F.lit(0.0)),
+        F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    if (scale * largest + 1) ** 2 * length >= 2.0 ** 63:
+        raise ValueError(f"components up to {largest} over {length} dimensions: a score can pass a 64-bit integer")
+    rows = usable.select("id", F.transform("v", lambda x: F.floor(F.lit(scale) * x).cast("long")).alias("v"))
+    n_blocks = max(shuffle_partitions(vectors.sparkSession), -(-n // block_rows))
     data = rows.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(n_blocks)).cast("int").alias("block"),
                        F.lit(0).alias("asks"))
     asked = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))

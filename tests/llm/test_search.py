@@ -1,6 +1,8 @@
 import math
 import random
 
+import pytest
+
 from ordermart.llm import va_search
 
 
@@ -41,3 +43,20 @@ def test_bounds_hold():
     block = va_search.Block(np.arange(500), v)
     q = rng.integers(-300, 300, (20, 16))
     assert (block.bounds(q) >= q @ v.T).all()
+
+
+def test_large_components(spark):
+    """Exact far beyond the range of float64; an error before a score can wrap."""
+    rnd = random.Random(8)
+    rows = [(i, [rnd.choice([-1, 1]) * (1e6 + rnd.randint(0, 3)) for _ in range(32)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in va_search.search(df, 5, 10).collect())
+    whole = {i: [int(256 * x // 1) for x in v] for i, v in rows}
+    want = []
+    for q in range(0, 60, 10):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:5]
+        want += [(q, k, i, -s) for k, (s, i) in enumerate(scored, 1)]
+    assert got == sorted(want)
+    for big in (3e8, 1e30):
+        with pytest.raises(ValueError):
+            va_search.search(spark.createDataFrame([(0, [big] * 4)], "vec_id long, embedding array<double>"), 5, 10)
