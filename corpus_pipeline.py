@@ -63,9 +63,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of ``documents`` after all stages. What a stage has
-    staged is deleted once its result is written."""
+    staged is deleted once its result is written, or when a stage fails."""
     docs, mark = table(spark, sf_dir, "documents"), staged_mark()
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
-        release(spark, mark, keep=1)
+    try:
+        for name, step in STAGES:
+            docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+            release(spark, mark, keep=1)
+    except BaseException:
+        release(spark, mark)
+        raise
     return docs
