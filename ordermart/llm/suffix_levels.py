@@ -337,7 +337,7 @@ def _exchange(arrays: DataFrame) -> DataFrame:
 
         return _sent(answers())
 
-    return (arrays.filter(F.col("kind") == ARRAYS).select("part", "chunk", "a", "b").repartition("part")
+    return (arrays.select("part", "chunk", "a", "b").repartition("part")
             .sortWithinPartitions("part", "chunk").mapInArrow(work, ROWS))
 
 
@@ -423,7 +423,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chu
 
     def settle(chunk: int, t: Text, _: bytes | None, answers: list) -> Iterator[tuple]:
         """Results of documents without open runs; the others, with their
-        settled and open runs, as a chunk; the windows of the open runs."""
+        settled and open runs, as a chunk."""
         runs, array = suffix_array(t, parts)
         known, opened = array.answered(answers)
         settled = (t.rank[runs["doc"]] > array.low[array.at]) | known[array.at]
@@ -442,11 +442,25 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chu
             ranges = [x for p in pick for x in (runs["low"][p] + move[runs["doc"][p]], runs["high"][p] - runs["low"][p])]
             head, body = rest.pack()
             yield _row(CHUNK, chunk, None, head, body, packed(np.concatenate([[len(pick[0]), len(pick[1])], *ranges]).astype(np.int64)))
-            yield from window_array(rest, ranges[2], ranges[2] + ranges[3], parts)[2].rows(chunk, rest)
+
+    def ranges_of(extra: bytes) -> list[np.ndarray]:
+        """First window and length of the settled runs, then of the open ones."""
+        values = unpacked(extra).view(np.int64)
+        n, m = values[:2].tolist()
+        return np.split(values[2:], [n, 2 * n, 2 * n + m])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for b in batches:
+                for i in range(b.num_rows):
+                    chunk, head, body, extra = (c[i].as_py() for c in b.columns)
+                    t, (_, _, low, size) = Text.unpack(head, body), ranges_of(extra)
+                    yield from window_array(t, low, low + size, parts)[2].rows(chunk, t)
+
+        return _sent(rows())
 
     def finish(chunk: int, t: Text, extra: bytes | None, answers: list) -> Iterator[tuple]:
-        n, m, *_ = (values := unpacked(extra).view(np.int64)).tolist()[:2]
-        low, size, ask_low, ask_size = np.split(values[2:], [n, 2 * n, 2 * n + m])
+        low, size, ask_low, ask_size = ranges_of(extra)
         start, doc, array = window_array(t, ask_low, ask_low + ask_size, parts)
         hit = (t.rank[doc] > array.low[array.at]) | array.answered(answers)[0][array.at]
         covered = _covered(t, np.concatenate([low, start[hit]]), np.concatenate([low + size, start[hit]]))
@@ -455,6 +469,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chu
 
     arrays = chunks.select("chunk", "a", "b").mapInArrow(index, ROWS)
     settled = stage(_with_answers(chunks, _exchange(arrays), settle), "settled")
-    rest = _with_answers(settled, _exchange(settled), finish)
+    windows = settled.filter(F.col("kind") == CHUNK).select("chunk", "a", "b", "c").mapInArrow(compare, ROWS)
+    rest = _with_answers(settled, _exchange(windows), finish)
     out = [F.col("doc_id").alias(key), "n_bytes", "n_removed", "n_spans", F.col("sha").alias("kept_sha256")]
     return settled.filter(F.col("kind") == RESULT).select(*out).unionByName(rest.select(*out))
