@@ -1,13 +1,13 @@
 """Encode whole texts with a public tokenizer, remembering the ids of words.
 
 The tokenizer cuts a text into words before it merges, so a text's ids are its
-words' ids joined.  Distinct words are encoded once by the ``tokenizers``
-library and kept in a bounded per-worker cache as little-endian unsigned
-32-bit payloads; a text is then one dictionary lookup per word.
+words' ids joined, and a word's are its pre-tokens'.  Distinct ones are encoded once
+by the ``tokenizers`` library and kept in bounded per-worker caches as
+little-endian unsigned 32-bit payloads.
 
-A word of common characters only (printable ASCII, line feeds, letters of
+A text or word of common characters only (printable ASCII, line feeds, letters of
 Latin-1) is cut into the tokenizer's own pre-tokens by an equal pattern, many
-words at a time, and each distinct pre-token goes through the library's merge model
+at a time, and each distinct pre-token goes through the library's merge model
 once; any other word goes through the whole library.
 
 Two ways to cut, both exact for the tokenizer kind they are for:
@@ -38,7 +38,7 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _COMMON = re.compile(f"[\\n -~{_LETTERS}]+")
 _PRETOKENS = {
     "words": re.compile(f"\0|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9\0]+"),
-    "spaced": re.compile(f"\0|'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9\0]+|\\s+(?!\\S)|\\s+"),
+    "spaced": re.compile(f"\0|'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9\0]+|\\s+(?![^\\s\0])|\\s+"),
 }
 _MARK, _MARK_ID = "\0", b"\xff" * 4  # no common character, no id
 # a part beside whose cut white space may go on, or with a separator in it
@@ -93,9 +93,12 @@ class WordCache:
             self._learn_plain(plain[i:i + MISS_BLOCK], texts)
 
     def _learn_plain(self, words: list, texts: dict) -> None:
-        """Words of common characters: cut into pre-tokens as one string, in
-        which a mark that no word holds ends each word."""
-        one = _MARK.join([texts[w] for w in words]) + _MARK
+        self.known.update(zip(words, self._plain([texts[w] for w in words]), strict=True))
+
+    def _plain(self, strings: list[str]) -> list[bytes]:
+        """The ids of strings of common characters: all are cut into pre-tokens as
+        one string, in which a mark that none of them holds ends each."""
+        one = _MARK.join(strings) + _MARK
         found = _PRETOKENS[self.cut].findall(one.lower() if self.cut == "words" else one)
         if len(self.merged) > MAX_MERGED:
             self.merged = {}
@@ -103,13 +106,23 @@ class WordCache:
         self._merge(set(found).difference(self.merged))
         payload = b"".join(map(self.merged.__getitem__, found))
         ends = (4 * np.flatnonzero(np.frombuffer(payload, "<u4") == 0xFFFFFFFF)).tolist()
-        at = 0
-        for w, end in zip(words, ends, strict=True):
-            self.known[w] = payload[at:end]
-            at = end + 4
+        return [payload[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]
 
     def payloads(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+        """The ids of each text as little-endian unsigned 32-bit integers. Texts of
+        common characters only are cut as a whole, others by words."""
+        plain = [i for i, t in enumerate(texts) if (not t or _COMMON.fullmatch(t)) and "<|" not in t]
+        if not plain:
+            return self._by_words(texts)
+        out: list = [None] * len(texts)
+        for i, payload in zip(plain, self._plain([texts[i] for i in plain]), strict=True):
+            out[i] = payload
+        rest = [i for i, p in enumerate(out) if p is None]
+        for i, payload in zip(rest, self._by_words([texts[i] for i in rest]) if rest else [], strict=True):
+            out[i] = payload
+        return out
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         if self.cut == "words":
             parts = [t.encode().split() for t in texts]
             needed = set().union(*parts)

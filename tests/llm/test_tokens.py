@@ -99,3 +99,28 @@ def test_pieces_cover_all_and_sequences_are_gapless(spark, odd, plain, monkeypat
         total = sum(r.length for r in rows)
         assert len(places) <= -(-total // packing.CAPACITY) + 3
     assert packing.pack(odd.limit(0), WORDS, 1).collect() == []
+
+
+def test_cut_texts_equal_the_library(monkeypatch):
+    """Random texts of white space, signs, contractions, digits and letters, also
+    beside texts of other scripts, with small caches."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from ordermart.llm import token_cache
+
+    monkeypatch.setattr(token_cache, "MAX_MERGED", 300)
+    monkeypatch.setattr(token_cache, "MAX_CACHED", 50)
+    rnd = random.Random(12)
+    parts = [" ", "  ", "\n", "\n\n", " \n ", "a", "the", "Über", "ñandú", "'s", "'ll", "'", "I'm", "42", "7", ".", "!?", "...", "--", "<", "|", "ÿ", "×", "~"]
+    odd = ["日本", "\t", "€", " ", "<|endoftext|>", "\x1c", "😀", "ő", "\r\n", " "]
+    for path, cut in (("byte_bpe_50k.json", "spaced"), ("word_bpe_49k.json", "words")):
+        library, cache = Tokenizer.from_file(public_tokenizers.path(path)), token_cache.WordCache(public_tokenizers.path(path), cut)
+        for _ in range(60):
+            texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30))) for _ in range(12)]
+            texts += ["".join(rnd.choice(parts + odd) for _ in range(rnd.randint(0, 30))) for _ in range(rnd.choice([0, 4]))]
+            rnd.shuffle(texts)
+            for t, payload in zip(texts, cache.payloads(texts), strict=True):
+                assert memoryview(payload).cast("I").tolist() == library.encode(t, add_special_tokens=False).ids, (cut, t)
