@@ -11,9 +11,12 @@ log-probability.  Within a unit a word has (count + 1) / mass, with one slot of
 mass for unseen words, so the probabilities of all tokens add up to 1.
 
 Learning.  Token counts are exact, over all training texts.  The vectors are
-trained in numpy: each task walks over the training texts of its partition,
-telling true units from noise units drawn by their frequency, and the tasks'
-parameters are averaged by tokens (first over a sixteenth, then over all).
+trained in numpy: the training texts are dealt by a hash of id and text into shards of
+about ``SHARD_TOKENS`` tokens; a task walks over a shard in the order of that hash,
+telling true units from noise units drawn by their frequency, and the shards'
+parameters are averaged by tokens (first over a sixteenth, then over all).  So
+the model depends on the texts, not on how the input is cut into files or tasks.
+Fully equal rows share a shard.
 
 Counts of the ``HEAD`` most frequent tokens go to the tasks (a fixed bound);
 the others are joined: a text keeps its rare tokens, which meet their counts in
@@ -45,6 +48,7 @@ N_UNITS = N_WORDS + N_CLASSES
 DIM, CONTEXT, NOISE, BATCH, FIRST_BATCH, RATE, SEED = 16, 3, 32, 4096, 256, 0.1, 1
 HEAD, FLUSH = 200_000, 400_000
 END = b""
+SHARD_TOKENS = 2_000_000
 SLICE = 16  # the first round learns from one in so many texts
 BLOCK_CHARS = 400_000
 PARAMS = {"r": (N_UNITS + 1, DIM), "c": (CONTEXT, DIM), "t": (N_UNITS, DIM), "b": (N_UNITS,)}
@@ -236,6 +240,12 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[list
         yield start, tokens, np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def _dealt(train: DataFrame, shards: int, key: str, text: str) -> DataFrame:
+    """The texts in shards, alike for any layout of the input."""
+    at = F.xxhash64(F.col(key).cast("string"), F.col(text))
+    return train.select(at.alias("at"), F.col(text).alias(text)).repartition(shards, "at").sortWithinPartitions("at")
+
+
 def train_round(train: DataFrame, units: Units, model: Model, text: str = "text") -> Model:
     """One pass of every task over its texts; parameters averaged by tokens."""
     spark = train.sparkSession
@@ -315,8 +325,9 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     units = learn_units(counts)
     model = Model.initial(units)
     part = F.coalesce(F.pmod(F.xxhash64(key), F.lit(SLICE)), F.lit(0))
-    for rows in (train.filter(part == 0), train):
-        model = train_round(rows, units, model, text)
+    shards = -(-units.n // SHARD_TOKENS) or 1
+    for rows, n in ((train.filter(part == 0), -(-shards // SLICE)), (train, shards)):
+        model = train_round(_dealt(rows, n, key, text), units, model, text)
     known = stage(_score_known(docs, units, model, key, text), "scored")
     rare = known.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.token", F.col("r.n").alias("times"))
     sums = (rare.join(counts, "token").groupBy("row_id")

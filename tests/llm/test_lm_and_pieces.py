@@ -6,7 +6,9 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 
+from conftest import SF01
 from ordermart.llm import lbl, pieces
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -39,6 +41,21 @@ def test_context_beats_counts_on_held_out_texts(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.05 * sum(r.n_tokens for r in held)
 
 
+def test_scores_do_not_depend_on_the_layout(spark):
+    """The same texts in 2, 16 and 64 partitions, in other orders, give one model
+    that has learnt from the context."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    got = []
+    for layout in (docs.repartition(2), docs.orderBy(F.desc("doc_id")).repartition(16), docs.repartition(64, "doc_id")):
+        got.append({r.doc_id: r for r in lbl.score_documents(layout).collect()})
+    ids = sorted(got[0])
+    scores = [np.array([g[i].score for i in ids]) for g in got]
+    assert all(np.allclose(scores[0], s, rtol=1e-6) for s in scores[1:])
+    held = [got[0][i] for i in ids if got[0][i].held_out]
+    gain = sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held)
+    assert gain > 0.05, gain
+
+
 def test_rare_words_are_joined_exactly(spark, odd, plain, monkeypatch):
     want = {(r.doc_id, r.n_tokens): (r.n_known, r.base_score) for r in lbl.score_documents(odd).collect()}
     monkeypatch.setattr(lbl, "HEAD", 3)
