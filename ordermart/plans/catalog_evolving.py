@@ -100,9 +100,9 @@ _KINDS_SQL = f"""
     FROM l LEFT JOIN r USING (column_name)"""))
 def _src_inferred(c: Ctx) -> DataFrame:
     """Types of the feed, strict and with a tolerance, and what was rejected."""
-    folders = _feed(c)
-    strict = {x.name: x.kind for x in I.infer(c.spark, folders).columns}
-    found = I.report(c.spark, I.infer(c.spark, folders, tolerance=_TOLERANCE))
+    seen = I.survey(c.spark, _feed(c))
+    strict = {x.name: x.kind for x in I.infer(c.spark, seen).columns}
+    found = I.report(c.spark, I.infer(c.spark, seen, tolerance=_TOLERANCE))
     kinds = c.spark.createDataFrame(list(strict.items()), "column_name string, strict_kind string")
     return found.join(F.broadcast(kinds), "column_name").select(
         "column_name", "kind", "strict_kind", F.col("values").alias("n_values"), F.col("nulls").alias("n_nulls"),

@@ -1,8 +1,8 @@
 """Types of delimited text, found in one pass over all values.
 
-``infer`` reads the headers of all files, then folds every value of every
+``survey`` reads the headers of all files, then folds every value of every
 column into counts of the narrowest types that hold them (one aggregate, map-side
-partial). A column's type is the least one that holds all its values, or, with a
+partial); ``infer`` decides on these counts. A column's type is the least one that holds all its values, or, with a
 ``tolerance``, the least one that holds at least that share of them; the others
 are its rejects, reported with a bounded number of examples. ``drift`` compares the
 result with a declared schema; ``read_inferred`` reads the files with it, whatever
@@ -48,15 +48,17 @@ _TIME = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([
 
 
 def kind_of(value: Column) -> Column:
-    """The narrowest kind of a text value; NULL for NULL."""
-    whole = value.rlike(_WHOLE)
+    """The narrowest kind of a text value; NULL for NULL. Plain comparisons come
+    first, so a value meets the patterns that it can match only."""
+    number_like = (value >= "+") & (value < ":")  # begins with a sign, a point or a digit
+    dashed = F.substring(value, 5, 1) == "-"
     return (F.when(value.isNull(), F.lit(None).cast("string"))
-            .when(whole & value.try_cast("int").isNotNull(), F.lit(INTEGER))
-            .when(whole & value.try_cast("bigint").isNotNull(), F.lit(LONG))
+            .when(~number_like, F.when(F.lower(value).isin("true", "false"), F.lit(BOOLEAN)).otherwise(F.lit(STRING)))
+            .when(dashed & value.rlike(_DATE) & value.try_cast("date").isNotNull(), F.lit(DATE))
+            .when(dashed & value.rlike(_TIME) & value.try_cast("timestamp_ntz").isNotNull(), F.lit(TIMESTAMP))
+            .when(value.rlike(_WHOLE), F.when(value.try_cast("int").isNotNull(), F.lit(INTEGER))
+                  .when(value.try_cast("bigint").isNotNull(), F.lit(LONG)).otherwise(F.lit(DOUBLE)))
             .when(value.rlike(_NUMBER), F.lit(DOUBLE))
-            .when(value.rlike(_DATE) & value.try_cast("date").isNotNull(), F.lit(DATE))
-            .when(value.rlike(_TIME) & value.try_cast("timestamp_ntz").isNotNull(), F.lit(TIMESTAMP))
-            .when(F.lower(value).isin("true", "false"), F.lit(BOOLEAN))
             .otherwise(F.lit(STRING)))
 
 
@@ -150,26 +152,46 @@ def _all_text(spark: SparkSession, found: Sequence[Variant], sep: str) -> DataFr
     return out
 
 
-def infer(spark: SparkSession, path: str | Sequence[str], tolerance: float = 0.0, sep: str = ",",
-          examples: int = EXAMPLES) -> Inferred:
-    """Columns and types of all files below ``path``."""
+@dataclass(frozen=True)
+class Survey:
+    """One pass over all values: their kinds, counted by column. Any number of
+    ``infer`` calls, of any tolerance, start from it."""
+
+    variants: tuple[Variant, ...]
+    counts: dict[str, dict[str, int]]
+    nulls: dict[str, int]
+
+
+def survey(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> Survey:
+    """Count the kinds of all values below ``path``. Each value is one row of a
+    (column, kind) count with map-side partials, so its kind is found once; the
+    driver gets at most a row for each column and kind."""
     found = variants(spark, path, sep)
     if not found:
-        return Inferred((), ())
+        return Survey((), {}, {})
     text = _all_text(spark, found, sep)
     names = text.columns
-    aggregates = []
-    for i, name in enumerate(names):
-        kind = kind_of(F.col(f"`{name}`"))
-        aggregates += [F.count_if(kind == k).alias(f"{i}_{k}") for k in KINDS]
-        aggregates.append(F.count_if(F.col(f"`{name}`").isNull()).alias(f"{i}_nulls"))
-    got = text.agg(*aggregates).first()
-    counts = [{k: got[f"{i}_{k}"] for k in KINDS} for i in range(len(names))]
-    kinds = [narrowest(c, tolerance) for c in counts]
-    shown = _examples(text, {n: k for n, k, c in zip(names, kinds, counts) if rejects(c, k)}, examples)
+    values = text.select(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)]).unpivot(
+        [], [f"c{i}" for i in range(len(names))], "at", "v")
+    kinds = values.groupBy("at", kind_of(F.col("v")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    got = {(r["at"], r["kind"]): r["n"] for r in kinds.collect()}
+    return Survey(tuple(found), {n: {k: got.get((f"c{i}", k), 0) for k in KINDS} for i, n in enumerate(names)},
+                  {n: got.get((f"c{i}", None), 0) for i, n in enumerate(names)})
+
+
+def infer(spark: SparkSession, path: str | Sequence[str] | Survey, tolerance: float = 0.0, sep: str = ",",
+          examples: int = EXAMPLES) -> Inferred:
+    """Columns and types of all files below ``path`` (or of those of a ``survey``)."""
+    seen = path if isinstance(path, Survey) else survey(spark, path, sep)
+    if not seen.variants:
+        return Inferred((), ())
+    kinds = {n: narrowest(c, tolerance) for n, c in seen.counts.items()}
+    bad = {n: k for n, k in kinds.items() if rejects(seen.counts[n], k)}
+    shown = _examples(_all_text(spark, seen.variants, sep), bad, examples) if bad else {}
     return Inferred(tuple(
-        InferredColumn(n, k, c, got[f"{i}_nulls"], rejects(c, k), shown.get(n, ()), sum(n in v.header for v in found))
-        for i, (n, k, c) in enumerate(zip(names, kinds, counts))), tuple(found))
+        InferredColumn(n, k, seen.counts[n], seen.nulls[n], rejects(seen.counts[n], k), shown.get(n, ()),
+                       sum(n in v.header for v in seen.variants))
+        for n, k in kinds.items()), seen.variants)
 
 
 def _examples(text: DataFrame, kinds: dict[str, str], limit: int) -> dict[str, tuple[str, ...]]:

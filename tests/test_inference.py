@@ -33,6 +33,30 @@ def test_kind_of_each_value(spark):
     assert spark.sql("SELECT CAST(NULL AS string) v").select(I.kind_of(F.col("v"))).first()[0] is None
 
 
+def test_kinds_of_values_between_the_patterns(spark):
+    """A dash in the fifth place without a date, signs alone, padded and first-letter cases."""
+    want = {"123e-5": "double", "1234-5": "string", "2024-": "string", "-": "string", "+": "string", ".": "string", ":1": "string",
+            "*1": "string", "1:2": "string", " 5": "string", "5 ": "string", "": "string", "tRue": "boolean", "+007": "integer",
+            "-.5e+3": "double", "2024-02-30 10:00": "string", "99999999999999999999": "double", "9999-12-31": "date"}
+    got = spark.createDataFrame([(v,) for v in want], "v string").withColumn("got", I.kind_of(F.col("v"))).collect()
+    assert {r.v: r.got for r in got} == want
+
+
+def test_one_survey_serves_all_tolerances(spark, tmp_path, monkeypatch):
+    """The values are counted once, and each decision is that of a pass of its own."""
+    folder = tmp_path / "raw"
+    write(folder, "a.csv", ["id,v,none", *[f"{i},{i if i % 20 else 'n/a'}," for i in range(100)]])
+    write(folder, "b.csv", ["v,id", "7,x"])
+    seen = I.survey(spark, str(folder))
+    assert seen.counts["v"] == dict.fromkeys(I.KINDS, 0) | {"integer": 96, "string": 5}
+    assert seen.nulls == {"id": 0, "v": 0, "none": 101}
+    for tolerance in (0.0, 0.02, 0.1):
+        assert I.infer(spark, seen, tolerance) == I.infer(spark, str(folder), tolerance)
+    monkeypatch.setattr(I, "variants", None)  # nothing left to read for the strict types
+    monkeypatch.setattr(I, "_all_text", None)
+    assert {c.name: c.kind for c in I.infer(spark, seen).columns} == {"id": "string", "v": "string", "none": "string"}
+
+
 @pytest.mark.parametrize("kinds,want", [
     ((), "string"), (("integer",), "integer"), (("integer", "long"), "long"), (("integer", "double"), "double"),
     (("date", "timestamp"), "timestamp"), (("integer", "date"), "string"), (("boolean", "integer"), "string"),
