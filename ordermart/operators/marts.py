@@ -19,6 +19,15 @@ from ..session import materialize
 from .ranks import SMALL_RANK_ROWS, global_dense_rank, global_ntile, top_k_with_ties
 
 
+# the silver columns that the twelve marts (and their states) read; a copy that only
+# serves them needs no other
+MART_COLS = (
+    "order_id", "order_date", "order_timestamp", "order_status", "delivery_city", "payment_method", "final_amount",
+    "rating", "delivery_time_minutes", "delivery_speed_category", "customer_id", "customer_name", "city",
+    "loyalty_tier", "restaurant_id", "restaurant_name", "cuisine_type", "delivery_partner_id", "partner_name",
+    "vehicle_type")
+
+
 def _count_if(cond: Column) -> Column:
     # count(when(cond, 1)): NULL conditions do not count
     return F.count(F.when(cond, F.lit(1)))

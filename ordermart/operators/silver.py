@@ -211,6 +211,11 @@ def flagged_orders(raw_orders: DataFrame, null_policy: str = "pass", **clean_kw)
     return good.unionByName(bad.withColumn("dq_flag", F.lit(rules.MALFORMED_FLAG)))
 
 
+# order columns that the joins, the history and the derived columns read
+_DERIVED_FROM = ("order_id", "customer_id", "restaurant_id", "delivery_partner_id", "order_date",
+                 "final_amount", "delivery_time_minutes")
+
+
 def build_silver(raw_orders: DataFrame, customers: DataFrame, restaurants: DataFrame,
                  partners: DataFrame, now=None, broadcast_dims: bool = False,
                  skew_safe: bool = True, null_policy: str = "pass",
@@ -229,12 +234,16 @@ def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants:
                        skew_safe: bool = True, null_policy: str = "pass",
                        stage: bool = True, heavy_rows: int = HEAVY_ROWS,
                        dedup_dims: bool = False, normalise_dims: bool = False,
-                       salt_rows: int | None = None,
+                       salt_rows: int | None = None, columns: Sequence[str] | None = None,
                        **clean_kw) -> dict[str, DataFrame]:
     """``silver``, ``quarantine`` and the (staged) classified ``flagged`` orders.
 
     ``salt_rows``: see ``enrich``; None leaves skewed joins to AQE.
 
+    ``columns``: the silver columns that a caller reads. Then only the clean rows
+    are staged, in the order columns that these come from; silver has no others,
+    and the quarantine and the flagged orders are not staged.
+
     With ``stage=True`` the deduplicated, classified orders are written once
     to the shared scratch folder: the quarantine, the history windows and its
     summary aggregates all read that copy, so the dedup shuffle runs once.
@@ -242,15 +251,20 @@ def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants:
     joins, so they shuffle only the order columns.
     """
     flagged = flagged_orders(raw_orders, null_policy, **clean_kw)
-    if stage:
+    if stage and columns is None:
         flagged = materialize(flagged, "flagged-orders")
     clean_rows, quarantine = quality.split(flagged)
+    if columns is not None:
+        clean_rows = clean_rows.select(*[c for c in clean_rows.columns if c in {*columns, *_DERIVED_FROM}])
+        if stage:
+            clean_rows = materialize(clean_rows, "clean-orders")
     hist = with_history(clean_rows, skew_safe, heavy_rows=heavy_rows)
     silver = derive(enrich(hist, customers, restaurants, partners, broadcast_dims,
                            dedup_dims, normalise_dims,
                            salt_rows=salt_rows, counts_from=clean_rows if stage else None))
     silver = silver.withColumn("silver_load_time", local_load_time(now))
-    return {"silver": silver.select(*silver_column_order(silver.columns)),
+    return {"silver": silver.select(*[c for c in silver_column_order(silver.columns)
+                                      if columns is None or c in columns]),
             "quarantine": quarantine, "flagged": flagged}
 
 

@@ -99,6 +99,13 @@ class Ctx:
                               order_by=TIEBREAK_COLS, drop=TIEBREAK_COLS)
         return s
 
+    @cached_property
+    def mart_silver(self) -> DataFrame:
+        """The silver columns that the marts read; no others are staged."""
+        st = self.star
+        return S.build_silver_parts(st.orders, st.customers, st.restaurants, st.partners, now=NOW,
+                                    order_by=TIEBREAK_COLS, drop=TIEBREAK_COLS, columns=M.MART_COLS)["silver"]
+
 
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
@@ -736,7 +743,7 @@ def _scratch_db(spark: SparkSession) -> str:
     f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM ({body})"
     for name, body in MART_SQL.items())))
 def _publish_catalog(c: Ctx) -> DataFrame:
-    silver = materialize(c.silver, "silver-store")
+    silver = materialize(c.mart_silver, "silver-store")
     db, root = _scratch_db(c.spark), scratch_path(c.spark, "gold")
     writers.publish({name: (lambda b=b: b(silver)) for name, b in MART_BUILDERS.items()}, root, db,
                     parallelism=4)
@@ -751,7 +758,7 @@ _SHOWN = ("gold_payment_analysis", "gold_peak_hours", "gold_revenue_city")
     for name in _SHOWN)))
 def _show_tables(c: Ctx) -> DataFrame:
     db = _scratch_db(c.spark)
-    silver = materialize(c.silver, "silver-store")
+    silver = materialize(c.mart_silver, "silver-store")
     writers.publish({n: MART_BUILDERS[n](silver) for n in _SHOWN}, scratch_path(c.spark, "gold"), db)
     shown = writers.list_tables(c.spark, db).filter(F.col("namespace") == db).select(
         F.col("tableName").alias("table_name"), F.col("isTemporary").alias("is_temporary"))

@@ -187,7 +187,7 @@ def _history_incremental(c: Ctx) -> DataFrame:
 def _state_mart(c: Ctx, name: str) -> DataFrame:
     """A mart from states of three batches; some rows were added twice and
     taken back."""
-    silver, k = materialize(c.silver, "state-silver"), F.col("order_id")
+    silver, k = materialize(c.mart_silver, "state-silver"), F.col("order_id")
     states = MartStates(c.spark, scratch_path(c.spark, "mart-states"))
     states.add(silver.filter(k % 2 == 0))
     states.add(silver.filter((k % 2 == 1) | (k % 10 == 2)))
@@ -277,7 +277,7 @@ def _evolving(c: Ctx) -> DataFrame:
 def _publish_release(c: Ctx) -> DataFrame:
     """Two runs of the marts under one switch; the second writes only some of
     them, the manifest carries the others."""
-    silver, root = materialize(c.silver, "silver-store"), scratch_path(c.spark, "gold-release")
+    silver, root = materialize(c.mart_silver, "silver-store"), scratch_path(c.spark, "gold-release")
     builders = {n: (lambda b=b: b(silver)) for n, b in MART_BUILDERS.items()}
     releases.publish_release(c.spark, builders, root, parallelism=4)
     releases.publish_release(c.spark, {n: builders[n] for n in ("gold_peak_hours", "gold_revenue_city")}, root)
