@@ -18,6 +18,11 @@ as the model asks.  No piece of such a model reaches over a mark, so a text is
 cut before its marks, each distinct part segmented once and remembered in a
 bounded per-worker cache.
 
+Short words of Latin-1 and the pieces' most frequent characters are segmented by merges
+many at a time: the automaton stands in arrays (next state, longest piece that
+ends there, next shorter one), and all words take a character a step, with the
+same relaxing; what merging keeps apart is remembered in an array too.
+
 Decoding joins pieces and bytes and turns marks back into spaces.  Defined
 results: a null or empty text has no ids and decodes to an empty text; a mark
 U+2581 in a text decodes as a space; repeated rows give equal ids.
@@ -26,7 +31,9 @@ U+2581 in a text decodes as a space; repeated rows give equal ids.
 from __future__ import annotations
 
 import re
+from collections import Counter, deque
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -40,10 +47,113 @@ from .token_cache import blocks
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 _PARTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-MAX_PARTS, MAX_PAIRS = 120_000, 200_000
+MAX_PARTS, MAX_PAIRS = 120_000, 400_000
+# words segmented together, their characters and length at most, slots for pairs (a power of two)
+MANY, CHARS, SHORT, SLOTS = 8192, 127, 48, 1 << 20
 _codecs: dict[tuple[str, str], "PieceCodec"] = {}
 
 
+class ManyWords:
+    """A codec's automaton as arrays over Latin-1 and the ``CHARS`` most frequent
+    characters of its pieces: ``by_merges`` for many words, a character of each a step."""
+
+    def __init__(self, codec: "PieceCodec") -> None:
+        self.survives, self.byte_ids = codec._survives, codec.byte_ids
+        pieces = [(i, p) for i, p in enumerate(codec.piece_of) if p in codec.score_of]
+        seen = Counter(chain.from_iterable(p for _, p in pieces))
+        at = {c: i for i, c in enumerate(dict.fromkeys([*map(chr, range(9, 256)), *[c for c, _ in seen.most_common(CHARS)]]))}
+        self.common = re.compile(f"[{re.escape(''.join(at))}]{{1,{SHORT}}}")
+        self.index = np.zeros(max(map(ord, at)) + 1, np.int32)
+        self.index[[ord(c) for c in at]] = list(at.values())
+        self.size = np.ones(len(codec.piece_of) + 1, np.int32)  # the last: an unknown character
+        children: list[dict[int, int]] = [{}]
+        own: dict[int, int] = {}
+        for i, piece in pieces:
+            if at.keys() >= set(piece):
+                node = 0
+                for c in piece:
+                    if at[c] not in children[node]:
+                        children[node][at[c]] = len(children)
+                        children.append({})
+                    node = children[node][at[c]]
+                own[node], self.size[i] = i, len(piece)
+        self.next = np.zeros((len(children), len(at)), np.int32)
+        self.longest = np.full(len(children), -1, np.int32)
+        self.shorter = np.full(len(codec.piece_of), -1, np.int32)
+        left = deque([(0, 0)])  # states in breadth and the state of their longest proper suffix
+        while left:
+            node, suffix = left.popleft()
+            row = self.next[suffix].copy()
+            left.extend((child, int(row[c]) if node else 0) for c, child in children[node].items())
+            row[list(children[node])] = list(children[node].values())
+            self.next[node] = row
+            self.longest[node] = own.get(node, self.longest[suffix])
+            if node in own:
+                self.shorter[own[node]] = self.longest[suffix]
+        self.pairs, self.kept = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, bool)
+
+    def _survive(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether merging keeps the two pieces of each pair apart."""
+        keys = (left.astype(np.int64) + 1) << 32 | right
+        slots = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).view(np.int64) & SLOTS - 1
+        out, new = self.kept[slots], np.flatnonzero(self.pairs[slots] != keys)
+        if len(new):
+            some, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
+            found = np.array([self.survives((k >> 32) - 1, k & 0xFFFFFFFF) for k in some.tolist()])
+            out[new] = found[back]
+            at = slots[new[first]]
+            self.pairs[at] = some
+            # of keys that share a slot one stands there, with its own answer
+            won = self.pairs[at] == some
+            self.kept[at[won]] = found[won]
+        return out
+
+    def _with_bytes(self, word: str, pieces: list[int]) -> bytes:
+        """The payload of a word's pieces, -1: bytes of an unknown character."""
+        out, at = [], 0
+        for p in pieces:
+            out += [p] if p >= 0 else [self.byte_ids[b] for b in word[at].encode()]
+            at += int(self.size[p])
+        return np.array(out, "<u4").tobytes()
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """The payload of each word (of characters in ``common``)."""
+        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
+        sizes = np.array([len(words[i]) for i in order])
+        codes = self.index[np.frombuffer("".join([words[i] for i in order]).encode("utf-32-le"), "<u4")]
+        starts = np.cumsum(sizes) - sizes
+        last = np.full((len(words), sizes[0] + 1), -1, np.int32)  # the piece that ends there
+        states = np.zeros(len(words), np.int32)
+        for end in range(1, sizes[0] + 1):
+            n = int(np.searchsorted(-sizes, -end, "right"))  # words that go on so far
+            states = self.next[states[:n], codes[starts[:n] + end - 1]]
+            piece = self.longest[states]
+            rows = np.flatnonzero(piece >= 0)
+            piece = piece[rows]
+            while len(rows):
+                kept = self._survive(last[rows, end - self.size[piece]], piece)
+                last[rows[kept], end] = piece[kept]
+                rows, piece = rows[~kept], self.shorter[piece[~kept]]
+                rows, piece = rows[piece >= 0], piece[piece >= 0]
+        rows, at, steps = np.arange(len(words)), sizes, []
+        counts, known = np.zeros(len(words), np.int64), np.ones(len(words), bool)
+        while len(rows):
+            piece = last[rows, at]
+            steps.append((rows, piece))
+            counts[rows] += 1
+            known[rows[piece < 0]] = False
+            at = at - self.size[piece]
+            rows, at = rows[at > 0], at[at > 0]
+        ends = np.cumsum(counts)
+        flat = np.empty(int(ends[-1]), "<i4")
+        for t, (rows, piece) in enumerate(steps):
+            flat[ends[rows] - 1 - t] = piece
+        payload, out = flat.tobytes(), [b""] * len(words)
+        for i, a, b, ok in zip(order, (ends - counts).tolist(), ends.tolist(), known.tolist()):
+            out[i] = payload[4 * a:4 * b] if ok else self._with_bytes(words[i], flat[a:b].tolist())
+        return out
+
+
 class PieceCodec:
     def __init__(self, path: str, kind: str) -> None:
         self.segment = {"bpe": self.by_merges, "unigram": self.by_scores}[kind]
@@ -72,6 +182,7 @@ class PieceCodec:
         self.automaton.make_automaton()
         self.unknown, self.crossing = lowest - UNKNOWN_PENALTY, crossing
         self.known: dict[str, bytes] = {}
+        self.many = ManyWords(self) if kind == "bpe" and not crossing else None
 
     def by_scores(self, part: str) -> list[int]:
         """Ids of the segmentation with the best sum of scores."""
@@ -155,14 +266,26 @@ class PieceCodec:
             return [p[1:] for p in _PARTS.findall(MARK + text.replace(" ", MARK))]
         return text.split(" ")
 
+    def _learn(self, parts: list[str]) -> None:
+        """Segment new parts: short ones of common characters many at a time."""
+        known = self.known
+        if self.many:
+            fits = self.many.common.fullmatch
+            short = [p for p in parts if fits(MARK + p)]
+            for i in range(0, len(short), MANY):
+                some = short[i:i + MANY]
+                known.update(zip(some, self.many.ids([MARK + p for p in some]), strict=True))
+        for part in parts:
+            if part not in known:
+                known[part] = np.array(self.segment(MARK + part), "<u4").tobytes()
+
     def payloads(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.parts(t) for t in texts]
         needed = set().union(*cut)
         if len(self.known) > MAX_PARTS:
-            self.known.clear()
-        for part in needed.difference(self.known):
-            self.known[part] = np.array(self.segment(MARK + part), "<u4").tobytes()
+            self.known = {p: self.known[p] for p in needed.intersection(self.known)}
+        self._learn(list(needed.difference(self.known)))
         get = self.known.__getitem__
         return [b"".join(map(get, parts)) for parts in cut]
 

@@ -101,6 +101,24 @@ def test_bpe_ids_are_the_library_ids():
         assert codec.text(p) == t.replace("▁", " ")
 
 
+def test_many_words_at_once_are_the_library_ids(monkeypatch):
+    """New words of common characters take a character a step together, also with
+    few slots for pairs and small caches; only the others are segmented alone."""
+    monkeypatch.setattr(pieces, "SLOTS", 64)
+    monkeypatch.setattr(pieces, "MAX_PARTS", 500)
+    monkeypatch.setattr(pieces, "MAX_PAIRS", 300)
+    sp, codec = sentencepiece.SentencePieceProcessor(model_file=MODEL), pieces.PieceCodec(MODEL, "bpe")
+    alone, by_merges = [], codec.segment
+    codec.segment = lambda part: alone.append(part) or by_merges(part)
+    rnd = random.Random(4)
+    syllables = ["th", "er", "on", "tion", "é", "ñ", "Ü", "st", "ing", "a", "s", ".", "\n", "\t", "'", "42", "日", "ст", "z" * 20]
+    some = [" ".join("".join(rnd.choice(syllables) for _ in range(rnd.randint(0, 6))) for _ in range(40)) for _ in range(200)]
+    for at in range(0, len(some), 20):
+        for t, p in zip(some[at:at + 20], codec.payloads(some[at:at + 20]), strict=True):
+            assert sp.encode(t) == np.frombuffer(p, "<u4").tolist(), repr(t)
+    assert alone and all("日" in w or len(w) > pieces.SHORT for w in alone)
+
+
 def best_sum(codec, part):
     """Best sum of scores by trying every piece at every position."""
     best = [0.0] + [-math.inf] * len(part)
