@@ -23,7 +23,9 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,8 @@ MISS_BLOCK = 4096
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _COMMON = re.compile(f"[\\n -~{_LETTERS}]+")
 _PRETOKENS = {
-    "words": re.compile(f"\0|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9\0]+"),
-    "spaced": re.compile(f"\0|'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9\0]+|\\s+(?![^\\s\0])|\\s+"),
+    "words": re.compile(f"[{_LETTERS}]+|\0|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\\s{_LETTERS}0-9\0]+"),
+    "spaced": re.compile(f" ?[{_LETTERS}]+|\0|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\\s{_LETTERS}0-9\0]+|\\s+(?![^\\s\0])|\\s+"),
 }
 _MARK, _MARK_ID = "\0", b"\xff" * 4  # no common character, no id
 # a part beside whose cut white space may go on, or with a separator in it
@@ -46,6 +48,32 @@ _HARD = re.compile(r"^ \s|^(?! )\s|\s\Z|[\x1c-\x1f]")
 _encoders: dict[tuple[str, str], "WordCache"] = {}
 
 
+class Merged(dict):
+    """Payloads of pre-tokens; a new one's come from the library's merge model,
+    where each byte stands as a character of its own (``stand``). Once
+    there are over ``MAX_MERGED``, the first three quarters stay: frequent ones
+    are met early, and a task's cache ends with it."""
+
+    def __init__(self, tokenize: Callable, stand: dict) -> None:
+        self.tokenize, self.stand, self.space = tokenize, stand, stand.get(ord(" "), " ")
+        self.letters = all(stand.get(ord(c), c) == c for c in ascii_letters)
+        self[_MARK] = _MARK_ID
+
+    def __missing__(self, pretoken: str) -> bytes:
+        if self.letters and pretoken.isascii() and pretoken.replace(" ", "", 1).isalpha():
+            stands = pretoken.replace(" ", self.space)
+        else:
+            stands = pretoken.translate(self.stand)
+        found = self[pretoken] = array("I", [t.id for t in self.tokenize(stands)]).tobytes()
+        return found
+
+    def trim(self) -> None:
+        if len(self) > MAX_MERGED:
+            early = dict(islice(self.items(), 3 * MAX_MERGED // 4))
+            self.clear()
+            self.update(early)
+
+
 class WordCache:
     def __init__(self, path: str, cut: str) -> None:
         from tokenizers import Tokenizer
@@ -53,23 +81,16 @@ class WordCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = cut
         self.known: dict[str | bytes, bytes | None] = {}
-        self.merged: dict[str, bytes] = {}
-        # each byte of a pre-token stands as a character of its own in the model
         chars = [chr(c) for c in (10, *range(32, 127), *range(0xC0, 0x100)) if _COMMON.fullmatch(chr(c))]
         plain = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self.stand = str.maketrans({c: "".join(t for t, _ in plain(c)) for c in chars if plain(c)})
+        self.merged = Merged(self.tokenizer.model.tokenize,
+                             str.maketrans({c: "".join(t for t, _ in plain(c)) for c in chars if plain(c)}))
 
     def _forget(self, needed: set) -> None:
         """Keep only the words in use once there are too many."""
         if len(self.known) > MAX_CACHED:
             self.known = {w: self.known[w] for w in needed if w in self.known}
 
-    def _merge(self, pretokens: set) -> None:
-        """Ids of new pre-tokens from the library's merge model."""
-        tokenize, stand, merged = self.tokenizer.model.tokenize, self.stand, self.merged
-        for p in pretokens:
-            merged[p] = array("I", [t.id for t in tokenize(p.translate(stand))]).tobytes()
-
     def _encoded(self, strings: list[str]) -> list[bytes]:
         """The ids of each string, as a word of its own."""
         got = self.tokenizer.encode(strings, is_pretokenized=True, add_special_tokens=False)
@@ -100,10 +121,7 @@ class WordCache:
         one string, in which a mark that none of them holds ends each."""
         one = _MARK.join(strings) + _MARK
         found = _PRETOKENS[self.cut].findall(one.lower() if self.cut == "words" else one)
-        if len(self.merged) > MAX_MERGED:
-            self.merged = {}
-        self.merged[_MARK] = _MARK_ID
-        self._merge(set(found).difference(self.merged))
+        self.merged.trim()
         payload = b"".join(map(self.merged.__getitem__, found))
         ends = (4 * np.flatnonzero(np.frombuffer(payload, "<u4") == 0xFFFFFFFF)).tolist()
         return [payload[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]

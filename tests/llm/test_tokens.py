@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from ordermart.llm import id_shards, packing
+from ordermart.llm import id_shards, packing, token_cache
 from ordermart.llm.common import fresh_folder
 from ordermart.llm.token_cache import WordCache
 
@@ -124,3 +124,20 @@ def test_cut_texts_equal_the_library(monkeypatch):
             rnd.shuffle(texts)
             for t, payload in zip(texts, cache.payloads(texts), strict=True):
                 assert memoryview(payload).cast("I").tolist() == library.encode(t, add_special_tokens=False).ids, (cut, t)
+
+
+@pytest.mark.parametrize("path, cut", [(WORDS, "words"), (BYTES, "spaced")])
+def test_frequent_pretokens_are_merged_once(path, cut, monkeypatch):
+    """A full cache keeps what was met early, and ids stay the library's."""
+    monkeypatch.setattr(token_cache, "MAX_MERGED", 400)
+    cache, library, merged = WordCache(path, cut), Tokenizer.from_file(path), []
+    tokenize = cache.merged.tokenize
+    cache.merged.tokenize = lambda p: merged.append(p) or tokenize(p)
+    frequent = " ".join(f"{a}{b}{c}" for a in ("th", "é", "Qu") for b in "aeiou" for c in ("n", "st", "\n"))
+    for i in range(30):
+        rare = " ".join("x" + "".join(chr(97 + (i * 50 + j) // 26 ** k % 26) for k in range(3)) for j in range(50))
+        for t, p in zip(both := [frequent, rare], cache.payloads(both), strict=True):
+            assert np.frombuffer(p, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+    assert len(cache.merged) <= 500
+    known = [p for p in merged if "x" not in p]
+    assert len(known) == len(set(known)), "a frequent pre-token was merged again"
