@@ -33,6 +33,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,7 @@ END = b""
 SHARD_TOKENS = 2_000_000
 SLICE = 16  # the first round learns from one in so many texts
 BLOCK_CHARS = 400_000
+ROWS, SAFE = 256, 80.0  # rows scored at a time; scores below it need no shift before exp
 PARAMS = {"r": (N_UNITS + 1, DIM), "c": (CONTEXT, DIM), "t": (N_UNITS, DIM), "b": (N_UNITS,)}
 
 
@@ -110,9 +112,10 @@ class Units:
 
     def ids(self, tokens: list[bytes]) -> np.ndarray:
         """Head index of each token, or -1 - class for the others."""
-        get = self.at.get
-        return np.fromiter((i if (i := get(t)) is not None else -1 - class_of(t) for t in tokens),
-                           np.int64, len(tokens))
+        out = np.fromiter(map(self.at.get, tokens, repeat(-1)), np.int64, len(tokens))
+        others = np.flatnonzero(out < 0)
+        out[others] = [-1 - class_of(tokens[i]) for i in others.tolist()]
+        return out
 
     def units(self, ids: np.ndarray) -> np.ndarray:
         if not len(self.unit):
@@ -176,15 +179,21 @@ class Model:
 
     def log_prob(self, units: np.ndarray, ctx: np.ndarray) -> np.ndarray:
         """Normalised natural log-probability of each unit in its context."""
-        out = np.empty(len(units))
-        for a in range(0, len(units), BATCH):
-            u = units[a:a + BATCH]
-            s = self.predicted(ctx[:, a:a + BATCH]) @ self.p["t"].T + self.p["b"]
-            top = s.max(1)
-            own = s[np.arange(len(u)), u]
-            s -= top[:, None]
+        out, ones = np.empty(len(units)), np.ones(N_UNITS, np.float32)
+        t = np.vstack([self.p["t"].T, self.p["b"]])  # the bias meets a column of ones
+        reach, most = np.linalg.norm(self.p["t"], axis=1).max(), np.abs(self.p["b"]).max()
+        q, scores = np.ones((ROWS, DIM + 1), np.float32), np.empty((ROWS, N_UNITS), np.float32)
+        for a in range(0, len(units), ROWS):
+            u = units[a:a + ROWS]
+            n = len(u)
+            q[:n, :DIM] = self.predicted(ctx[:, a:a + n])
+            s = np.matmul(q[:n], t, out=scores[:n])
+            own, top = s[np.arange(n), u].astype(float), 0.0
+            if not np.linalg.norm(q[:n, :DIM], axis=1).max() * reach + most < SAFE:
+                top = s.max(1)
+                s -= top[:, None]
             np.exp(s, out=s)
-            out[a:a + BATCH] = own - top - np.log(s.sum(1))
+            out[a:a + n] = own - top - np.log(s @ ones)
         return out
 
 
@@ -284,11 +293,18 @@ SCORED = ("key {kind}, held_out boolean, row_id long, n_tokens long, n_known lon
           "log_model double, rare array<struct<token:binary,n:long>>")
 
 
+def _lists(rare: list[Counter]) -> pa.ListArray:
+    """One list of (token, n) a text."""
+    offsets = np.cumsum([0, *map(len, rare)])
+    pairs = pa.StructArray.from_arrays([pa.array([w for x in rare for w in x], pa.binary()),
+                                        pa.array([k for x in rare for k in x.values()], pa.int64())], ["token", "n"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
+
+
 def _score_known(docs: DataFrame, units: Units, model: Model, key: str, text: str) -> DataFrame:
     """What needs only the head: model score and count sums, and the rare tokens."""
     kind = docs.schema[key].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast((units, model))
-    rare_type = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, lbl = sent.value
@@ -303,14 +319,14 @@ def _score_known(docs: DataFrame, units: Units, model: Model, key: str, text: st
                 logs = np.where(head, known.log_count[np.maximum(ids, 0)], 0.0) if len(known.log_count) else np.zeros(len(ids))
                 scores += logs * (u >= N_WORDS)
                 at = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])[:-1]
-                rare = [list(Counter(w for w, k in zip(t, head[a:a + len(t)].tolist()) if not k).items())
-                        for t, a in zip(tokens, at.tolist())]
+                rare = [Counter(compress(t, other)) for t, other in
+                        zip(tokens, [x.tolist() for x in np.split(~head, at[1:])])]
                 n = len(tokens)
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(start, n), b.column(1).slice(start, n), pa.array(np.arange(row, row + n)),
                     pa.array([len(t) for t in tokens], pa.int64()), pa.array(np.add.reduceat(head.astype(np.int64), at)),
                     pa.array(np.add.reduceat(logs, at)), pa.array(np.add.reduceat(scores, at)),
-                    pa.array([[{"token": w, "n": k} for w, k in x] for x in rare], rare_type)],
+                    _lists(rare)],
                     names=["key", "held_out", "row_id", "n_tokens", "n_known", "log_counts", "log_model", "rare"])
                 row += n
 

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -72,6 +73,33 @@ def test_probabilities_add_up():
     assert math.isclose(np.exp(model.log_prob(np.arange(lbl.N_UNITS), ctx)).sum(), 1, rel_tol=1e-5)
 
 
+def test_log_probabilities_are_exact_in_little_memory():
+    """Against float64, with scores that exp can take and with larger ones; a run
+    of many tokens holds the scores of some rows only."""
+    rnd = np.random.default_rng(3)
+    units = rnd.integers(0, lbl.N_UNITS, 30_000)
+    ctx = rnd.integers(0, lbl.N_UNITS + 1, (lbl.CONTEXT, len(units)))
+    for scale in (0.3, 6.0):
+        p = {k: (rnd.normal(size=s) * scale).astype(np.float32) for k, s in lbl.PARAMS.items()}
+        tracemalloc.start()
+        got = lbl.Model(p).log_prob(units, ctx)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        wide = lbl.Model({k: v.astype(float) for k, v in p.items()})
+        s = wide.predicted(ctx[:, :2000]) @ wide.p["t"].T + wide.p["b"]
+        top = s.max(1)
+        want = s[np.arange(2000), units[:2000]] - top - np.log(np.exp(s - top[:, None]).sum(1))
+        assert np.allclose(got[:2000], want, rtol=1e-5, atol=2e-3 if scale > 1 else 1e-5)
+        assert np.isfinite(got).all() and peak < 3_000_000, peak
+
+
+def test_head_ids_and_classes():
+    units = lbl.Units([{"token": t, "n": 3} for t in (b"the", b"", b"of")], (9, 3), {})
+    tokens = [b"of", b"rare", b"", b"the", b"x", b"rare"]
+    assert units.ids(tokens).tolist() == [2, -1 - lbl.class_of(b"rare"), 1, 0, -1 - lbl.class_of(b"x"), -1 - lbl.class_of(b"rare")]
+    assert units.ids([]).tolist() == []
+
+
 def test_classes_agree_between_spark_and_numpy(spark):
     words = ["a", "ab", "abc", "abcd", "été", "日本語", "x" * 50]
     df = spark.createDataFrame([(w.encode(), 3) for w in words], "token binary, n long")
