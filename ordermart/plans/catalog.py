@@ -646,7 +646,7 @@ def _src_malformed(c: Ctx) -> DataFrame:
     text = orders.withColumns({
         name: F.when(F.col("order_id") % m == 0, F.lit(bad)).otherwise(F.col(name).cast("string"))
         for name, (m, bad) in _BROKEN.items()})
-    path = write_raw_csv(text, scratch_path(c.spark, "raw-orders-csv"))
+    path = write_raw_csv(text, scratch_path(c.spark, "raw-orders-csv"), compression="gzip")
     rows = materialize(raw.read_csv(c.spark, path, orders.schema, corrupt=True), "bronze-orders")
     flagged = S.flagged_orders(rows, order_by=TIEBREAK_COLS, drop=TIEBREAK_COLS)
     flag = F.col("dq_flag")

@@ -41,12 +41,20 @@ def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet",
     return path
 
 
-def write_raw_csv(df: DataFrame, path: str) -> str:
+RAW_FILE_ROWS = 500_000
+
+
+def write_raw_csv(df: DataFrame, path: str, compression: str | None = None) -> str:
     """CSV with header that round-trips values exactly (Spark's CSV writer
-    trims surrounding whitespace unless told not to)."""
-    (df.write.mode("overwrite").option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
+    trims surrounding whitespace unless told not to).
+
+    ``compression``: a codec for the files (text shrinks to about a third). A compressed
+    file is read by one task, so each then holds at most ``RAW_FILE_ROWS`` rows."""
+    w = (df.write.mode("overwrite").option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if compression:
+        w = w.option("compression", compression).option("maxRecordsPerFile", RAW_FILE_ROWS)
+    w.csv(path)
     return path
 
 
