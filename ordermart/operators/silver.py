@@ -19,7 +19,7 @@ from ..functions.text import normalise_city
 from ..session import materialize
 from ..schemas import CORRUPT_COL, CUSTOMER_DIM_COLS, PARTNER_DIM_COLS, RESTAURANT_DIM_COLS
 from . import quality
-from .history import (HEAVY_ROWS, customer_history, customer_history_hybrid,
+from .history import (HEAVY_ROWS, OUT_COLS, customer_history, customer_history_hybrid,
                       customer_history_window)
 from .skew_join import data_bytes, left_join
 
@@ -117,10 +117,18 @@ def normalise_dimension_city(dim: DataFrame, col: str = "city",
     return dim.withColumn(col, normalise_city(col, aliases)) if col in dim.columns else dim
 
 
+HISTORY_FIRST = ("customer_id", "restaurant_id", "delivery_partner_id")
+# without the history: restaurants, the smallest dimension, last (mostly broadcast, so no
+# shuffle moves their columns); customers after partners, so the rows of a customer are
+# together in what is stored, and aggregates by customer collapse before their shuffle
+HISTORY_UNREAD = ("delivery_partner_id", "customer_id", "restaurant_id")
+
+
 def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame,
            partners: DataFrame, broadcast_dims: bool | int = False,
            dedup_dims: bool = False, normalise_dims: bool = False,
-           salt_rows: int | None = None, counts_from: DataFrame | None = None) -> DataFrame:
+           salt_rows: int | None = None, counts_from: DataFrame | None = None,
+           joins: Sequence[str] = HISTORY_FIRST) -> DataFrame:
     """Three LEFT joins to the dimensions (orphans keep NULL attributes).
 
     ``salt_rows``: joins to dimensions beyond the broadcast threshold deal the
@@ -143,7 +151,8 @@ def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame
     customer's join partition, because the restaurant join re-shuffles
     anyway. Joining customers first would leave the hot customer in one join
     task: the window above it needs customer clustering, so AQE would not
-    split it.
+    split it. ``joins`` names another order of the keys, for a fact whose history
+    nobody reads (then nothing is partitioned by customer yet).
 
     ``dedup_dims`` keeps one row per dimension key first (the pipeline does
     not, so a duplicated key multiplies fact rows); ``normalise_dims`` applies
@@ -158,9 +167,10 @@ def enrich(clean_orders: DataFrame, customers: DataFrame, restaurants: DataFrame
         restaurants = unique_dimension(restaurants, "restaurant_id")
         partners = unique_dimension(partners, "delivery_partner_id")
     out = clean_orders
-    for key, dim, cols in (("customer_id", customers, CUSTOMER_DIM_COLS),
-                           ("restaurant_id", restaurants, RESTAURANT_DIM_COLS),
-                           ("delivery_partner_id", partners, PARTNER_DIM_COLS)):
+    dims = {"customer_id": (customers, CUSTOMER_DIM_COLS), "restaurant_id": (restaurants, RESTAURANT_DIM_COLS),
+            "delivery_partner_id": (partners, PARTNER_DIM_COLS)}
+    for key in joins:
+        dim, cols = dims[key]
         if salt_rows and not broadcast_dims:
             out = left_join(out, dim.select(*cols), key, ["order_id"], salt_rows, counts_from)
         else:
@@ -211,6 +221,32 @@ def flagged_orders(raw_orders: DataFrame, null_policy: str = "pass", **clean_kw)
     return good.unionByName(bad.withColumn("dq_flag", F.lit(rules.MALFORMED_FLAG)))
 
 
+def clean_orders_of(raw_orders: DataFrame, columns: Sequence[str], null_policy: str = "pass",
+                    key: str = "order_id", order_by: Sequence[str] | None = None,
+                    city_aliases: Mapping[str, str] | None = None, drop: Sequence[str] = ()) -> DataFrame:
+    """Some columns of the clean rows of ``flagged_orders``, with less to shuffle.
+
+    A row is normalised and classified by itself, so both come before the dedup, which
+    then moves these columns only, and of a row that would go to quarantine no more
+    than its key and its place in the order (it may still be the one that is kept).
+    With the default order (all columns) nothing can be left out."""
+    broken = CORRUPT_COL in raw_orders.columns
+    if order_by is None or key in _NORMALISED:
+        return quality.split(flagged_orders(
+            raw_orders, null_policy, key=key, order_by=order_by, city_aliases=city_aliases, drop=drop))[0].select(*columns)
+    # records that could not be parsed take no part in the dedup
+    rows = raw_orders.filter(F.col(CORRUPT_COL).isNull()) if broken else raw_orders
+    places = {f"_by{i}": c for i, c in enumerate(order_by)}
+    rows = quality.classify(_normalise(rows.withColumns({p: F.col(c) for p, c in places.items()}), city_aliases), null_policy)
+    ok = F.col("_ok")
+    rows = rows.withColumn("_ok", F.col("dq_flag") == rules.OK_FLAG).select(
+        key, *[F.when(ok, F.col(c)).alias(c) for c in columns if c != key], "_ok", *places)
+    return dedup(rows, key, list(places)).filter(ok).select(*columns)
+
+
+# columns that the cleaning steps change
+_NORMALISED = (*rules.FILL_ZERO_COLUMNS, "delivery_city", "final_amount", "order_date", "order_timestamp",
+               "order_amount", "delivery_time_minutes")
 # order columns that the joins, the history and the derived columns read
 _DERIVED_FROM = ("order_id", "customer_id", "restaurant_id", "delivery_partner_id", "order_date",
                  "final_amount", "delivery_time_minutes")
@@ -255,13 +291,15 @@ def build_silver_parts(raw_orders: DataFrame, customers: DataFrame, restaurants:
         flagged = materialize(flagged, "flagged-orders")
     clean_rows, quarantine = quality.split(flagged)
     if columns is not None:
-        clean_rows = clean_rows.select(*[c for c in clean_rows.columns if c in {*columns, *_DERIVED_FROM}])
+        clean_rows = clean_orders_of(raw_orders, [c for c in clean_rows.columns if c in {*columns, *_DERIVED_FROM}],
+                                     null_policy, **clean_kw)
         if stage:
             clean_rows = materialize(clean_rows, "clean-orders")
     hist = with_history(clean_rows, skew_safe, heavy_rows=heavy_rows)
     silver = derive(enrich(hist, customers, restaurants, partners, broadcast_dims,
                            dedup_dims, normalise_dims,
-                           salt_rows=salt_rows, counts_from=clean_rows if stage else None))
+                           salt_rows=salt_rows, counts_from=clean_rows if stage else None,
+                           joins=HISTORY_UNREAD if columns is not None and not {*columns} & {*OUT_COLS} else HISTORY_FIRST))
     silver = silver.withColumn("silver_load_time", local_load_time(now))
     return {"silver": silver.select(*[c for c in silver_column_order(silver.columns)
                                       if columns is None or c in columns]),

@@ -104,7 +104,8 @@ class Ctx:
         """The silver columns that the marts read; no others are staged."""
         st = self.star
         return S.build_silver_parts(st.orders, st.customers, st.restaurants, st.partners, now=NOW,
-                                    order_by=TIEBREAK_COLS, drop=TIEBREAK_COLS, columns=M.MART_COLS)["silver"]
+                                    broadcast_dims=True, order_by=TIEBREAK_COLS, drop=TIEBREAK_COLS,
+                                    columns=M.MART_COLS)["silver"]
 
 
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -726,7 +727,7 @@ def _snk_table(c: Ctx) -> DataFrame:
     for name, body in MART_SQL.items())))
 def _publish(c: Ctx) -> DataFrame:
     from ..plans.pipeline import persist_silver
-    silver = persist_silver(c.silver, scratch_path(c.spark, "silver-store"))
+    silver = persist_silver(c.mart_silver, scratch_path(c.spark, "silver-store"))
     # as pipeline.run: builders published by concurrent jobs
     builders = {name: (lambda b=b: b(silver)) for name, b in MART_BUILDERS.items()}
     paths = writers.publish(builders, scratch_path(c.spark, "gold"), parallelism=4)
