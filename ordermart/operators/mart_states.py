@@ -12,6 +12,10 @@ that still have orders.
 
 Each batch is committed by one atomically created file; ``compact`` replaces all
 batches by their sum, so the states grow with days and keys, not with batches.
+
+The states of a large batch that have about as many groups as rows are stored in
+buckets by the hash of their keys. The shuffle that sums a batch deals them so; no
+later sum by the same keys (``compact``, the marts of single days) shuffles them again.
 """
 
 from __future__ import annotations
@@ -21,19 +25,23 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import hour_of, month_label
 from ..functions.money import MILLIONTHS, half_up_ratio, units, units_to_double
-from ..sinks import manifests
+from ..sinks import manifests, writers
 from . import marts as M
+from .skew_join import estimated_bytes
 
 BATCH = "batch-"
+BUCKETS_FROM = 64 << 20  # bytes of a batch (by Spark's estimate); below, files would be tiny
 
 ORDERS, CENTS = ("orders",), ("cents", "amounts")
 RATING, MINUTES = ("rating_units", "ratings"), ("minutes", "timed")
+TOTALS = ("cents", "rating_units", "minutes")
 STATUS, BANDS = ("delivered", "cancelled"), ("fast", "medium", "slow")
 
 
@@ -67,13 +75,19 @@ STATES: dict[str, tuple[tuple[str, ...], tuple[str, ...], bool]] = {
 }
 
 
+# states that are stored in buckets: an id or a vehicle in the key makes many groups
+MANY_GROUPS = ("city_customer", "restaurant", "customer", "partner", "partner_ids", "delivery")
+
+
 def build(silver: DataFrame, sign: int = 1) -> dict[str, DataFrame]:
     """The states of some silver rows; ``sign`` -1 takes them back."""
     rows = silver.withColumn("order_hour", hour_of("order_timestamp"))
     out = {}
     for name, (keys, measures, delivered) in STATES.items():
         part = rows.filter(F.col("order_status") == "DELIVERED") if delivered else rows
-        sums = {m: F.sum(_measure(m)) for m in measures} | {"n_rows": F.count(F.lit(1))}
+        # sums first, then the counts, that are mostly equal: side by side they compress best
+        ordered = sorted(measures, key=lambda m: m not in TOTALS)
+        sums = {m: F.sum(_measure(m)) for m in ordered} | {"n_rows": F.count(F.lit(1))}
         out[name] = part.groupBy(*keys).agg(*[(s * F.lit(sign)).alias(m) for m, s in sums.items()])
     return out
 
@@ -186,36 +200,65 @@ def _summary(s: dict[str, DataFrame], customers: DataFrame) -> DataFrame:
 
 
 class MartStates:
-    """Stored states below a folder."""
+    """Stored states below a folder. ``buckets_from``: bytes of a batch from which its
+    states are bucketed; batches of one store may differ in it."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, buckets_from: int = BUCKETS_FROM) -> None:
+        self.spark, self.folder, self.buckets_from = spark, folder.rstrip("/"), buckets_from
 
     def _commits(self) -> list[dict]:
         return [json.loads(t) for _, t in manifests.read_text(self.spark, self.folder, BATCH)]
 
-    def _commit(self, states: dict[str, DataFrame], commits: list[dict], replaces: bool) -> None:
+    def _commit(self, states: dict[str, DataFrame], commits: list[dict], replaces: bool, buckets: int) -> None:
+        """``buckets`` 0: plain files."""
         number, tag = len(commits), uuid.uuid4().hex[:12]
+        dealt = {n: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in states[n].schema) for n in MANY_GROUPS if buckets}
+
+        def write(name: str) -> None:
+            part, how = f"{number:06d}-{tag}", {"compression": "zstd"}
+            if name in dealt:
+                writers.write_bucketed(states[name], f"{self._dealt(name, buckets)}/{part}", STATES[name][0], buckets, how)
+            else:
+                writers.write_overwrite(states[name], f"{self.folder}/{name}/{part}", options=how)
+
         with ThreadPoolExecutor(max_workers=4) as pool:  # independent small jobs
-            for job in [pool.submit(copy_context().run, df.write.parquet, f"{self.folder}/{name}/{number:06d}-{tag}")
-                        for name, df in states.items()]:
+            for job in [pool.submit(copy_context().run, write, name) for name in states]:
                 job.result()
         made = manifests.write_once(self.spark, f"{self.folder}/{BATCH}{number:06d}", json.dumps(
-            {"part": f"{number:06d}-{tag}", "replaces": replaces}))
+            {"part": f"{number:06d}-{tag}", "replaces": replaces, "buckets": buckets, "dealt": dealt}))
         if not made:
             raise RuntimeError(f"{self.folder}: another writer has added batch {number}")
 
+    def _dealt(self, name: str, buckets: int) -> str:
+        return f"{self.folder}/{name}-in-{buckets}"
+
     def add(self, silver: DataFrame, sign: int = 1) -> None:
         """Add the states of a batch of silver rows (or take them back)."""
-        self._commit(build(silver, sign), self._commits(), False)
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200")) if estimated_bytes(silver) >= self.buckets_from else 0
+        self._commit(build(silver, sign), self._commits(), False, buckets)
 
-    def states(self) -> dict[str, DataFrame]:
-        """All states since the last compaction, not summed yet."""
+    def _present(self) -> list[dict]:
+        """The commits since the last compaction."""
         commits = self._commits()
         if not commits:
             raise FileNotFoundError(f"{self.folder}: no states")
-        start = max((i for i, c in enumerate(commits) if c["replaces"]), default=0)
-        return {n: self.spark.read.parquet(*[f"{self.folder}/{n}/{c['part']}" for c in commits[start:]]) for n in STATES}
+        return commits[max((i for i, c in enumerate(commits) if c["replaces"]), default=0):]
+
+    def states(self) -> dict[str, DataFrame]:
+        """All states since the last compaction, not summed yet."""
+        commits, out = self._present(), {}
+        for n, (keys, _, _) in STATES.items():
+            plain, dealt = [], {}  # one scan for all parts of a number of buckets
+            for c in commits:
+                if n in c.get("dealt", {}):
+                    dealt.setdefault(c["buckets"], []).append((c["part"], c["dealt"][n]))
+                else:
+                    plain.append(c["part"])
+            parts = [self.spark.read.parquet(*[f"{self.folder}/{n}/{p}" for p in plain])] if plain else []
+            parts += [writers.read_bucketed(self.spark, self._dealt(n, k), [p for p, _ in some], some[0][1], keys, k)
+                      for k, some in dealt.items()]
+            out[n] = reduce(DataFrame.unionByName, parts)
+        return out
 
     def builders(self, as_of=None) -> dict[str, Callable[[], DataFrame]]:
         """For ``releases.publish_release``."""
@@ -229,4 +272,4 @@ class MartStates:
         later batch can still take rows back."""
         summed = {n: df.groupBy(*STATES[n][0]).agg(*[F.sum(c).alias(c) for c in df.columns if c in _MEASURES]).filter("n_rows <> 0")
                   for n, df in self.states().items()}
-        self._commit(summed, self._commits(), True)
+        self._commit(summed, self._commits(), True, max(c.get("buckets", 0) for c in self._present()))

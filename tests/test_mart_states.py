@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF001, rows
 from ordermart.operators import marts as M
 from ordermart.operators import silver as S
-from ordermart.operators.mart_states import MartStates
+from ordermart.operators.mart_states import MANY_GROUPS, STATES, MartStates
 from ordermart.session import materialize
 from ordermart.sources.adapter import TIEBREAK_COLS, star_schema
 
@@ -60,3 +60,44 @@ def test_no_rows(spark, silver, tmp_path):
     states = MartStates(spark, str(tmp_path / "s"))
     states.add(silver.limit(0))
     assert_equal_marts(states.marts(AS_OF), M.all_marts(silver.limit(0), AS_OF))
+
+
+def exchanges(df):
+    return str(df._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning")
+
+
+def test_bucketed_states(spark, silver, tmp_path):
+    """Batches in buckets and a small plain one between them: the same marts; sums by
+    the keys of a state shuffle nothing that is in buckets."""
+    folder, k = str(tmp_path / "s"), F.col("order_id") % 4
+    tables = {t.name for t in spark.catalog.listTables()}
+    states = MartStates(spark, folder, buckets_from=0)
+    states.add(silver.filter(k == 0))
+    states.add(silver.filter((k == 1) | (k == 3)))
+    for name in MANY_GROUPS:
+        assert exchanges(states.states()[name].groupBy(*STATES[name][0]).sum("n_rows")) == 0, name
+    states.compact()
+    states.add(silver.filter(k == 3), sign=-1)
+    for name in MANY_GROUPS:
+        keys, state = STATES[name][0], states.states()[name]
+        summed = state.groupBy(*keys).sum("n_rows")
+        assert exchanges(summed) == 0 and len(rows(summed)) == len({r for r in rows(state, keys)}), name
+    assert_equal_marts(states.marts(AS_OF), M.all_marts(silver.filter(k < 2), AS_OF))
+    MartStates(spark, folder).add(silver.filter(k == 2))  # plain files
+    states.compact()
+    assert_equal_marts(states.marts(AS_OF), M.all_marts(silver.filter(k < 3), AS_OF))
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_bucketed_states_without_rows(spark, silver, tmp_path):
+    states = MartStates(spark, str(tmp_path / "s"), buckets_from=0)
+    states.add(silver.limit(0))
+    states.compact()
+    assert_equal_marts(states.marts(AS_OF), M.all_marts(silver.limit(0), AS_OF))
+
+
+def test_small_batches_are_plain_files(spark, silver, tmp_path):
+    states = MartStates(spark, str(tmp_path / "s"))
+    states.add(silver)
+    states.compact()
+    assert [c["buckets"] for c in states._commits()] == [0, 0]
