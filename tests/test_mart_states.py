@@ -101,3 +101,16 @@ def test_small_batches_are_plain_files(spark, silver, tmp_path):
     states.add(silver)
     states.compact()
     assert [c["buckets"] for c in states._commits()] == [0, 0]
+
+
+def test_monthly_trends_of_bucketed_days(spark, silver, tmp_path):
+    """The customers of a month come from day states of several batches: each pair once,
+    and a pair whose rows were all taken back not at all."""
+    states, k = MartStates(spark, str(tmp_path / "s"), buckets_from=0), F.col("order_id") % 3
+    states.add(silver.filter(k < 2))
+    states.add(silver.filter(k == 2))
+    states.compact()
+    states.add(silver.filter(k == 1), sign=-1)
+    left = silver.filter(k != 1)
+    assert rows(states.builders(AS_OF)["gold_monthly_trends"]()) == rows(M.monthly_trends(left))
+    assert [c["buckets"] > 0 for c in states._commits()] == [True] * 4
